@@ -56,8 +56,12 @@ def join_location(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
 
 
-def glob_for(table: str, fmt: str) -> str:
-    """Glob that matches ``<table>.<ext>`` with the extension in any case."""
+def _any_case(text: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.lower() != c.upper() else c for c in text)
+
+
+def glob_for(table: str, fmt: str, any_case: bool = False) -> str:
+    """Glob that matches ``<table>.<ext>`` with the extension, or all of it, in any case."""
     ext = next(e for e, f in FORMATS.items() if f == fmt)
     stem = re.sub(r"([\\*?\[\]{}])", r"\\\1", table)
-    return stem + "." + "".join(f"[{c}{c.upper()}]" for c in ext)
+    return (_any_case(stem) if any_case else stem) + "." + _any_case(ext)

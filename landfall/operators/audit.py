@@ -4,20 +4,18 @@ import datetime as dt
 import logging
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.operators.publish import append_table
 from landfall.operators.schema import CREATE, MISSING, NO_OP
 
 log = logging.getLogger(__name__)
 
-AUDIT = (
-    "process_id string, `table` string, step string, status string, message string, timestamp string, meta string"
-)
-BATCH_LOG = (
-    "batch_id string, source_file string, table_name string, status string,"
-    " started_at string, finished_at string, message string"
-)
+# Columns of the audit and batch log tables, all strings.
+AUDIT_COLUMNS = ["process_id", "table", "step", "status", "message", "timestamp", "meta"]
+BATCH_LOG_COLUMNS = [
+    "batch_id", "source_file", "table_name", "status", "started_at", "finished_at", "message",
+]
 
 
 def process_id(run_ts: dt.datetime) -> str:
@@ -25,12 +23,11 @@ def process_id(run_ts: dt.datetime) -> str:
     return f"proc_{run_ts:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
 
 
-def _step(name: str, status: str, message="", **meta):
-    message = message if not isinstance(message, str) else F.lit(message)
-    entries = [F.lit(k) if i == 0 else v for k, v in meta.items() for i in (0, 1)]
-    as_json = F.to_json(F.create_map(*entries)) if meta else F.lit("{}")
+def _step(name: str, status: str, message: str | Column = "", **meta: Column) -> Column:
+    text = F.lit(message) if isinstance(message, str) else message
+    details = F.to_json(F.struct(*[v.alias(k) for k, v in meta.items()])) if meta else F.lit("{}")
     return F.struct(
-        F.lit(name).alias("step"), F.lit(status).alias("status"), message.alias("message"), as_json.alias("meta")
+        F.lit(name).alias("step"), F.lit(status).alias("status"), text.alias("message"), details.alias("meta")
     )
 
 
@@ -42,7 +39,6 @@ def audit_steps(
     ``outcomes``: tbl, action, target_exists, sync_error, format_error. The
     steps, statuses and messages below are fixed values.
     """
-    meta = F.col("target_exists").cast("string")
     where = F.concat(F.lit(location.rstrip("/") + "/"), F.col("tbl"), F.lit("/"))
     synced = (
         F.when(F.col("sync_error").isNotNull(), _step("FDP_SYNC", "FAILED", F.col("sync_error")))
@@ -52,7 +48,7 @@ def audit_steps(
     )
     not_found = F.concat(F.lit(f"Landing table {landing_db}."), F.col("tbl"), F.lit(" not found"))
     start = _step("PROCESS_START", "STARTED")
-    check = _step("FDP_CHECK", "STARTED", fdp_exists=meta)
+    check = _step("FDP_CHECK", "STARTED", fdp_exists=F.col("target_exists"))
     mark = _step("ICEBERG_CREATE", "STARTED")
     marked = _step("ICEBERG_CREATE", "COMPLETED", "Iceberg table created/updated")
     steps = (
@@ -79,8 +75,7 @@ def audit_steps(
 def append_audit(spark: SparkSession, rows: DataFrame, db: str, table: str, location: str) -> bool:
     """Append a run's audit rows. A failure is logged and never stops the run."""
     try:
-        columns = [f.split()[0].strip("`") for f in AUDIT.split(", ")]
-        append_table(spark, rows.select(*columns), db, table, location)
+        append_table(spark, rows.select(*AUDIT_COLUMNS), db, table, location)
     except Exception:
         log.exception("audit rows not written")
         return False
@@ -113,12 +108,9 @@ def batch_log(
 ) -> DataFrame:
     """Batch log rows of statuses with source_file, table_name, status, message; all strings."""
     iso = "%Y-%m-%dT%H:%M:%S"
-    return statuses.select(
-        F.lit(batch_id).alias("batch_id"),
-        "source_file",
-        "table_name",
-        "status",
-        F.lit(started_at.strftime(iso)).alias("started_at"),
-        F.lit(finished_at.strftime(iso)).alias("finished_at"),
-        "message",
-    )
+    values = {
+        "batch_id": F.lit(batch_id),
+        "started_at": F.lit(started_at.strftime(iso)),
+        "finished_at": F.lit(finished_at.strftime(iso)),
+    }
+    return statuses.select(*[values.get(c, F.col(c)).alias(c) for c in BATCH_LOG_COLUMNS])

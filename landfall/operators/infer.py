@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from landfall.functions.types import (
     STRING, catalog_type, frame_type, rank_label, rank_storage, text_rank, value_rank,
 )
-from landfall.sources.records import line_object
+from landfall.sources.records import is_json_value, line_object
 
 
 class ColumnSpec(NamedTuple):
@@ -147,7 +147,7 @@ def infer_json(
             F.monotonically_increasing_id().alias("seq"),
         )
     parsed = records.withColumn("object", line_object(F.col("value")))
-    bad = F.col("object").isNull() & F.try_parse_json("value").isNull()
+    bad = F.col("object").isNull() & ~is_json_value(F.col("value"))
     pairs = parsed.select(
         "file", "block", "seq", bad.cast("int").alias("bad"),
         F.posexplode_outer("object").alias("idx", "key", "text"),

@@ -46,6 +46,7 @@ def write_files(
     fmt: str = "csv",
     mode: str = "overwrite",
     max_files: int | None = None,
+    partition_by: list[str] | None = None,
     **options,
 ) -> int:
     """Write files in csv, tsv, json, text, xml or parquet and return the row count.
@@ -57,7 +58,8 @@ def write_files(
     df, seen = _observed(df)
     source = "csv" if fmt == "tsv" else fmt
     settings = {**WRITE_OPTIONS.get(fmt, {}), **options}
-    df.write.mode(mode).format(source).options(**settings).save(path)
+    writer = df.write.mode(mode).format(source).options(**settings)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
     return seen.get["rows"]
 
 

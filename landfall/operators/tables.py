@@ -36,7 +36,7 @@ def _create(spark, db, table, location, schema, source, options) -> None:
 
 
 def ensure_table(
-    spark: SparkSession, db: str, table: str, location: str, schema: T.StructType, source: str = "csv", **options
+    spark: SparkSession, db: str, table: str, location: str, schema: T.StructType | None, source: str = "csv", **options
 ) -> bool:
     """Create an external table if missing; an existing one is left alone. True if created."""
     if table_exists(spark, db, table):
@@ -123,12 +123,13 @@ def mark_table_format(
     location: str,
     table_format: str = "iceberg",
     properties: dict[str, str] | None = None,
+    source: str = "parquet",
 ) -> None:
     """Note a table format on an entry, adding to its properties and setting its location.
 
-    A missing entry is created without columns.
+    A missing entry is created over the files at the location, with their columns.
     """
-    if not ensure_table(spark, db, table, location, T.StructType([]), "csv"):
+    if not ensure_table(spark, db, table, location, None, source):
         if not same_location(table_source(spark, db, table)[1], location):
             set_location(spark, db, table, location)
     set_properties(spark, db, table, {FORMAT_PROPERTY: table_format, **(properties or {})})

@@ -91,3 +91,12 @@ def header_schema(spark: SparkSession, path, **options) -> T.StructType:
     return fill_blank_names(read_csv(spark, path, **options)).schema
 
 
+
+
+def long_rows(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFrame:
+    """Texts of CSV or TSV rows with more fields than the header."""
+    sep = "\t" if fmt == "tsv" else ","
+    names = fill_blank_names(read_csv(spark, path, sep=sep, **options)).columns
+    wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    fields = F.from_csv("line", wide, {"sep": sep})
+    return read_text(spark, path, **options).filter(fields[f"c{len(names)}"].isNotNull())

@@ -47,17 +47,21 @@ def is_json_document(spark: SparkSession, path: str | list[str], **options) -> b
     return spark.range(1).filter(line_object(F.lit(line)).isNull()).count() == 1
 
 
+def _line_values(line: Column, value_type: str) -> Column:
+    """The JSON values of a line, read as an array so trailing text is an error."""
+    strict = {"allowSingleQuotes": "false"}
+    return F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<{value_type}>", strict)
+
+
 def line_object(line: Column) -> Column:
-    """The single object of a line as a map of texts in key order, null if unreadable.
+    """The single object of a line as a map of texts in key order, null if there is none."""
+    values = _line_values(line, "map<string,string>")
+    return F.when(F.size(values) == 1, values[0])
 
-    Reading the line as a one-element array makes trailing text an error.
-    """
-    objects = F.from_json(
-        F.concat(F.lit("["), line, F.lit("]")),
-        "array<map<string,string>>",
-        {"allowSingleQuotes": "false"},
-    )
-    return F.when(F.size(objects) == 1, objects[0])
+
+def is_json_value(line: Column) -> Column:
+    """True for a line holding one readable JSON value of any kind."""
+    return F.coalesce(F.size(_line_values(line, "string")) == 1, F.lit(False))
 
 
 def json_documents(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
