@@ -179,7 +179,8 @@ def sync_group(
     else:
         extra = {"recursiveFileLookup": "true"} if target_part else {}
         ensure_table(spark, curated_db, table, base, df.schema, "text" if text else "csv", **extra)
-    spark.catalog.refreshTable(qualified(curated_db, table))
+    for name in (qualified(landing_db, group.table), qualified(curated_db, table)):
+        spark.catalog.refreshTable(name)
     return table, rows
 
 

@@ -56,8 +56,8 @@ def stream_files(
     ensure_database(spark, landing_db)
     ensure_database(spark, curated_db)
 
+    # The caller's session does the work, so that its view of the tables is fresh.
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         started = run_ts or _now()
         wanted = batch.filter(key_matches(F.col("path"), prefix, ".csv"))
         # A batch holds at most files_per_batch paths.
@@ -73,7 +73,7 @@ def stream_files(
             landing = {"pathGlobFilter": glob_for(table, "csv", any_case=True), "recursiveFileLookup": "true"}
             try:
                 used, count = sync_group(
-                    session, FileGroup(table, "csv", table), group_paths, target, landing_db, curated_db,
+                    spark, FileGroup(table, "csv", table), group_paths, target, landing_db, curated_db,
                     batch_ts, job, target_part=part, landing_path=source, landing_options=landing, **options,
                 )
                 state = (used, "SUCCEEDED", count, "")
@@ -82,7 +82,7 @@ def stream_files(
                 state = (table, f"FAILED: {reason}", None, reason)
             rows += [(p.rpartition("/")[2], *state) for p in group_paths]
         if log_path and rows:
-            statuses = session.createDataFrame(rows, STATUS)
+            statuses = spark.createDataFrame(rows, STATUS)
             logged = batch_log(statuses, part, started, run_ts or _now())
             logged.write.mode("overwrite").parquet(join_location(log_path, part))
 
