@@ -28,6 +28,15 @@ def file_format(path: Column) -> Column:
     return F.create_map(*pairs)[extension(path)]
 
 
+def unit_path(path: Column) -> Column:
+    """What was delivered: the file, or the folder of part files named like a file.
+
+    ``in/a.csv/part-0.csv`` belongs to ``in/a.csv``.
+    """
+    extensions = "|".join(FORMATS)
+    return F.regexp_replace(path, rf"(?i)^(.*?\.(?:{extensions}))/.+$", "$1")
+
+
 def table_name(path: Column, lower: bool = False, prefix: str = "") -> Column:
     """Table name of a file: base name without its extension."""
     base = F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")

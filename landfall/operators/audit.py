@@ -4,6 +4,7 @@ import datetime as dt
 import logging
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.operators.publish import append_table
@@ -18,6 +19,15 @@ BATCH_LOG_COLUMNS = [
 ]
 
 
+def failure_text(error: Exception) -> str:
+    """One line saying what went wrong."""
+    if isinstance(error, PySparkException):
+        raised = (error.getMessageParameters() or {}).get("errorMessage")
+        if raised:
+            return raised
+    return (str(error) or type(error).__name__).split("\n")[0]
+
+
 def process_id(run_ts: dt.datetime) -> str:
     """One id per run."""
     return f"proc_{run_ts:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"

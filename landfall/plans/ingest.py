@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.functions.names import glob_for, join_location, versioned_name
 from landfall.functions.types import parse_value
+from landfall.operators.audit import failure_text
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
 from landfall.operators.infer import (
     ColumnSpec, collect_columns, infer_json, infer_table, infer_xml, storage_schema, text_schema,
@@ -23,13 +24,22 @@ from landfall.sources.records import is_json_document, json_records, xml_records
 STATUS = "source_file string, table_name string, status string, row_count bigint, message string"
 EMPTY = "{} appears empty or unreadable."
 
+# Marks a name delivered as several folders, or as folder and file.
+AMBIGUOUS = "?"
+
 
 class FileGroup(NamedTuple):
-    """The files of a zone that share a base name and format; they form one table."""
+    """The files of a zone that share a base name and format; they form one table.
+
+    ``folder`` is set when they are the part files of one delivered folder;
+    otherwise ``files`` counts them.
+    """
 
     base: str
     fmt: str
     table: str
+    folder: str | None = None
+    files: int = 1
 
 
 class Landed(NamedTuple):
@@ -45,14 +55,22 @@ def file_groups(files: DataFrame, suffix_format: bool | None = None) -> list[Fil
     ``suffix_format`` adds the format to the table name: always, never, or by
     default only where two formats share a base name.
     """
-    groups = files.groupBy("table_name", "format").agg(F.count("*").alias("files"))
+    is_folder = F.col("unit") != F.col("path")
+    groups = files.groupBy("table_name", "format").agg(
+        F.min(F.when(is_folder, F.col("unit"))).alias("folder"),
+        F.max(F.when(is_folder, F.col("unit"))).alias("last_folder"),
+        F.count(F.when(~is_folder, 1)).alias("files"),
+    )
     shared = groups.groupBy("table_name").agg(F.count("*").alias("formats"))
     rows = groups.join(shared, "table_name").orderBy("table_name", "format").collect()
     result = []
     for r in rows:
         suffix = r["formats"] > 1 if suffix_format is None else suffix_format
         name = f"{r['table_name']}_{r['format']}" if suffix else r["table_name"]
-        result.append(FileGroup(r["table_name"], r["format"], name))
+        folder = r["folder"]
+        if folder and (folder != r["last_folder"] or r["files"]):
+            folder = AMBIGUOUS
+        result.append(FileGroup(r["table_name"], r["format"], name, folder, r["files"]))
     return result
 
 
@@ -152,6 +170,9 @@ def sync_group(
 ) -> tuple[str, int]:
     """Register and publish one group of files. Returns the table used and its row count."""
     options = read_options or {}
+    if group.files > 1 and group.fmt in ("csv", "tsv"):
+        # Every file must carry the same header; values are matched by position.
+        land_options = {**land_options, "enforceSchema": "false"}
     landed = land_files(spark, path, group.fmt, **land_options, **options)
     ensure_table(
         spark, landing_db, group.table, landing_path or path, storage_schema(landed.columns), landed.source,
@@ -199,8 +220,8 @@ def sync_files(
 ) -> DataFrame:
     """Ingest every supported file below ``source``.
 
-    Files with the same base name and format are read together as one table. A
-    group that fails gets a FAILED status and does not stop the others. Returns
+    Files with the same base name and format are read together as one table; a
+    folder of part files named like a file counts as that file. A group that fails gets a FAILED status and does not stop the others. Returns
     source_file, table_name, status, row_count, message.
 
     Options: detect_types, row_tag, bad_lines, strict, on_mismatch,
@@ -212,16 +233,21 @@ def sync_files(
     groups = file_groups(list_files(spark, source, formats), suffix_format)
 
     def one(group: FileGroup) -> tuple:
-        pattern = glob_for(group.base, group.fmt)
-        reading = {"pathGlobFilter": pattern, "recursiveFileLookup": "true"}
+        path, reading = source, {"recursiveFileLookup": "true"}
+        if group.folder:
+            path = group.folder
+        else:
+            reading["pathGlobFilter"] = glob_for(group.base, group.fmt)
         label = f"{group.base}.{'txt' if group.fmt == 'text' else group.fmt}"
         try:
+            if group.folder == AMBIGUOUS:
+                raise ValueError(f"{label} was delivered in several places")
             table, rows = sync_group(
-                spark, group, source, target, landing_db, curated_db, run_ts, job,
+                spark, group, path, target, landing_db, curated_db, run_ts, job,
                 read_options=reading, **options,
             )
         except Exception as error:  # one bad file must not stop the others
-            reason = str(error).split("\n")[0]
+            reason = failure_text(error)
             return label, group.table, f"FAILED: {reason}", None, reason
         return label, table, "SUCCEEDED", rows, ""
 

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from landfall.functions.names import join_location
-from landfall.operators.audit import append_audit, audit_steps, process_id
+from landfall.operators.audit import append_audit, audit_steps, failure_text, process_id
 from landfall.operators.clean import INGEST_COLUMNS
 from landfall.operators.publish import write_files
 from landfall.operators.schema import (
@@ -82,13 +82,13 @@ def sync_tables(
                 if action != NO_OP:
                     _bring_in_step(spark, landing_db, curated_db, table, action, target, extra_columns if action == CREATE else extra)
             except Exception as error:
-                sync_error = str(error).split("\n")[0]
+                sync_error = failure_text(error)
         if action != MISSING and sync_error is None:
             try:
                 place = join_location(target, table) + "/"
                 mark_table_format(spark, curated_db, table, place, table_format, properties)
             except Exception as error:
-                format_error = str(error).split("\n")[0]
+                format_error = failure_text(error)
         outcomes.append((table, action, row["target_exists"], sync_error, format_error))
     outcome_rows = spark.createDataFrame(
         outcomes, "tbl string, action string, target_exists boolean, sync_error string, format_error string"

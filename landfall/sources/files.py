@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import FORMATS, base_name, file_format, key_matches, table_name
+from landfall.functions.names import FORMATS, base_name, file_format, key_matches, table_name, unit_path
 
 LISTING = "path string, modificationTime timestamp, length bigint"
 
@@ -17,13 +17,18 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, formats: list[str] | None = None) -> DataFrame:
-    """Supported files below ``path`` with their format and table name."""
+    """Supported files below ``path`` with their unit, format and table name.
+
+    The unit is the file itself or the folder of part files it belongs to.
+    Files without a single byte hold nothing to ingest and are not listed.
+    """
     wanted = formats or list(FORMATS.values())
     return (
         _listing(spark, path)
-        .withColumn("format", file_format(F.col("path")))
+        .withColumn("unit", unit_path(F.col("path")))
+        .withColumn("format", file_format(F.col("unit")))
         .filter(F.col("format").isin(wanted))
-        .withColumn("table_name", table_name(F.col("path")))
+        .withColumn("table_name", table_name(F.col("unit")))
     )
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from landfall.functions.names import FORMATS
+from landfall.functions.names import FORMATS, unit_path
 from landfall.operators.clean import fill_blank_names
 from landfall.sources.files import first_file, list_keys
 from landfall.sources.records import json_documents, is_json_document, xml_records, xml_tags
@@ -79,8 +79,9 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def read_first_csv(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
-    """The first CSV file below ``path`` in path order, types by the whole file."""
-    first = first_file(list_keys(spark, path)).select("path").first()
+    """The first CSV file (or delivered folder) in path order, types by all of it."""
+    units = list_keys(spark, path).select(unit_path(F.col("path")).alias("path"))
+    first = first_file(units).first()
     if first is None:
         raise FileNotFoundError(f"No CSV files found in {path}.")
     return read_csv(spark, first["path"], infer=True), first["path"]

@@ -5,8 +5,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions.names import glob_for, join_location, key_matches, table_name
-from landfall.operators.audit import batch_log
+from landfall.functions.names import glob_for, join_location, key_matches, table_name, unit_path
+from landfall.operators.audit import batch_log, failure_text
 from landfall.operators.tables import ensure_database
 from landfall.plans.ingest import STATUS, FileGroup, sync_group
 from landfall.sources.files import LISTING
@@ -61,26 +61,31 @@ def stream_files(
         started = run_ts or _now()
         wanted = batch.filter(key_matches(F.col("path"), prefix, ".csv"))
         # A batch holds at most files_per_batch paths.
-        found = wanted.select("path", table_name(F.col("path"), lower=True).alias("table"), "modificationTime")
-        files = sorted(found.collect())
-        paths: dict[str, list[str]] = {}
-        for file in files:
-            paths.setdefault(file["table"], []).append(file["path"])
+        unit = unit_path(F.col("path"))
+        found = wanted.select("path", unit.alias("unit"), table_name(unit, lower=True).alias("table"), "modificationTime")
+        groups: dict[str, list] = {}
+        for file in sorted(found.collect()):
+            groups.setdefault(file["table"], []).append(file)
         # The newest file dates the batch, so a repeated batch names the same tables.
-        batch_ts = run_ts or max((f["modificationTime"] for f in files), default=started)
+        newest = max((f["modificationTime"] for g in groups.values() for f in g), default=started)
         part, rows = f"batch-{batch_id:09d}", []
-        for table, group_paths in paths.items():
-            landing = {"pathGlobFilter": glob_for(table, "csv", any_case=True), "recursiveFileLookup": "true"}
+        for table, files in groups.items():
+            paths, units = [f["path"] for f in files], {f["unit"] for f in files}
+            landing, place = {"recursiveFileLookup": "true"}, source
+            if len(units) == 1 and units.isdisjoint(paths):
+                place = units.pop()
+            else:
+                landing["pathGlobFilter"] = glob_for(table, "csv", any_case=True)
             try:
                 used, count = sync_group(
-                    spark, FileGroup(table, "csv", table), group_paths, target, landing_db, curated_db,
-                    batch_ts, job, target_part=part, landing_path=source, landing_options=landing, **options,
+                    spark, FileGroup(table, "csv", table, files=len(paths)), paths, target, landing_db, curated_db,
+                    run_ts or newest, job, target_part=part, landing_path=place, landing_options=landing, **options,
                 )
                 state = (used, "SUCCEEDED", count, "")
             except Exception as error:
-                reason = str(error).split("\n")[0]
+                reason = failure_text(error)
                 state = (table, f"FAILED: {reason}", None, reason)
-            rows += [(p.rpartition("/")[2], *state) for p in group_paths]
+            rows += [(p.rpartition("/")[2], *state) for p in paths]
         if log_path and rows:
             statuses = spark.createDataFrame(rows, STATUS)
             logged = batch_log(statuses, part, started, run_ts or _now())

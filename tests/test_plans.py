@@ -113,6 +113,24 @@ def test_ingest_table_names(spark, db, zone, tmp_path):
     assert got == {"s.csv": ("s_csv", "SUCCEEDED", 1)}
 
 
+def test_ingest_of_delivered_folders(spark, db, zone, tmp_path):
+    landing, curated = db
+    publish.write_files(spark.range(0, 50, 1, 3), zone.path + "/ids.csv")
+    publish.write_files(spark.range(0, 40, 1, 3), zone.path + "/nums.tsv", "tsv")
+    publish.write_files(spark.range(0, 30, 1, 3), zone.path + "/two.csv")
+    publish.write_files(spark.range(0, 30, 1, 3), zone.path + "/sub/two.csv")
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated))
+    assert got == {"ids.csv": ("ids", "SUCCEEDED", 50), "nums.tsv": ("nums", "SUCCEEDED", 40), "two.csv": ("two", "FAILED", None)}
+    assert spark.table(f"{landing}.ids").count() == spark.table(f"{curated}.ids").count() == 50
+
+
+def test_files_of_one_table_must_share_a_header(spark, db, zone, tmp_path):
+    zone("x/a.csv", "p,q\n1,2")
+    zone("y/a.csv", "q,p\n1,2")
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), *db))
+    assert got["a.csv"][1] == "FAILED"
+
+
 def test_strict_ingest_fails_on_long_rows(spark, db, zone, tmp_path):
     landing, curated = db
     zone("l.csv", "a,b\n1,2,3")
