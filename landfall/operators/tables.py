@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 # Own property, since the catalog reserves its own format key.
 FORMAT_PROPERTY = "sync.table_format"
 
+# Read options are noted under this prefix, so that a replaced entry keeps them.
+OPTION_PREFIX = "sync.option."
+
 
 def qualified(db: str, table: str) -> str:
     return f"`{db}`.`{table}`"
@@ -31,8 +34,9 @@ def table_exists(spark: SparkSession, db: str, table: str) -> bool:
 
 
 def _create(spark, db, table, location, schema, source, options) -> None:
-    options = {"header": "true", **options} if source == "csv" else options
-    spark.catalog.createTable(qualified(db, table), path=location, source=source, schema=schema, **options)
+    defaults = {"header": "true"} if source == "csv" else {}
+    spark.catalog.createTable(qualified(db, table), path=location, source=source, schema=schema, **{**defaults, **options})
+    set_properties(spark, db, table, {OPTION_PREFIX + k: v for k, v in options.items()})
 
 
 def ensure_table(
@@ -51,7 +55,8 @@ def upsert_table(
     """Create the entry, or bring an existing one to this schema and location.
 
     Trailing additions are ALTERs; anything else replaces the external entry
-    and keeps its properties. Files are never touched.
+    and keeps its properties and, for the same source, its read options. Files
+    are never touched.
     """
     if ensure_table(spark, db, table, location, schema, source, **options):
         return "CREATED"
@@ -64,7 +69,11 @@ def upsert_table(
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema[len(old):])
         spark.sql(f"ALTER TABLE {qualified(db, table)} ADD COLUMNS ({added})")
         return "EXTENDED"
-    properties = table_properties(spark, db, table)
+    noted = table_properties(spark, db, table)
+    properties = {k: v for k, v in noted.items() if not k.startswith(OPTION_PREFIX)}
+    if kind == source:
+        old_options = {k.removeprefix(OPTION_PREFIX): v for k, v in noted.items() if k not in properties}
+        options = {**old_options, **options}
     spark.sql(f"DROP TABLE {qualified(db, table)}")
     _create(spark, db, table, location, schema, source, options)
     set_properties(spark, db, table, properties)

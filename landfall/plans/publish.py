@@ -8,6 +8,7 @@ from landfall.operators.infer import ColumnSpec, infer_spark_types
 from landfall.operators.audit import guard_status
 from landfall.operators.publish import append_table, replace_table, write_catalog_files
 from landfall.operators.tables import ensure_database, upsert_table
+from landfall.sources.files import list_keys
 from landfall.sources.readers import read_csv, read_table
 
 
@@ -68,7 +69,7 @@ def register_path(
     fields = [f.dataType if c.type != "string" else T.StringType() for f, c in zip(df.schema, columns, strict=True)]
     schema = T.StructType([T.StructField(c.name, t) for c, t in zip(columns, fields, strict=True)])
     folder, _, name = path.rpartition("/")
-    is_file = bool(name) and "." in name
+    is_file = bool(name) and not list_keys(spark, path, suffix=f"/{name}").isEmpty()
     ensure_database(spark, db)
     options = {"pathGlobFilter": name} if is_file else {}
     location = join_location(folder) + "/" if is_file else path

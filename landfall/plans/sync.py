@@ -105,10 +105,8 @@ def record_versions(spark: SparkSession, inventory: DataFrame, history: str) ->
 
     Returns the whole history with the new versions.
     """
-    try:
-        old = spark.read.schema(INVENTORY).parquet(history)
-    except Exception:
-        old = spark.createDataFrame([], INVENTORY)
+    spark.createDataFrame([], INVENTORY).write.mode("ignore").parquet(history)
+    old = spark.read.schema(INVENTORY).parquet(history)
     newest = old.groupBy("db", "tbl").agg(F.max("version").alias("last"))
     numbered = inventory.join(newest, ["db", "tbl"], "left").select(
         "db", "tbl", (F.coalesce("last", F.lit(0)) + 1).cast("bigint").alias("version"), "pos", "name", "type"

@@ -103,9 +103,11 @@ ORACLE = {
             CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier
     """,
     "add_ingest_columns_orders": f"SELECT *, {_STAMPS.format('orders.csv')} FROM orders",
-    "add_ingest_columns_from_files": f"SELECT *, {_STAMPS.format('part file')} FROM supplier",
+    "add_ingest_columns_from_files": f"""
+        SELECT * REPLACE (CAST(s_suppkey AS INTEGER) AS s_suppkey), {_STAMPS.format('part file')} FROM supplier
+    """,
     "parse_inferred_values": """
-        SELECT l_orderkey, l_linenumber, l_partkey AS padded, l_quantity AS signed,
+        SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey AS padded, l_quantity AS signed,
             CASE WHEN l_returnflag = 'A' THEN CAST('-Infinity' AS DOUBLE) ELSE 10.5 END AS spelled FROM lineitem
     """,
 }

@@ -185,11 +185,11 @@ _NAME = f"CASE WHEN {_BASE} LIKE '_%.%' THEN regexp_replace({_BASE}, '\\.[^.]*$'
 
 ORACLE = {
     "scan_csv": "SELECT * FROM orders",
-    "scan_csv_inferred": "SELECT * FROM supplier",
-    "scan_first_csv": "SELECT * FROM customer",
+    "scan_csv_inferred": "SELECT * REPLACE (CAST(s_suppkey AS INTEGER) AS s_suppkey) FROM supplier",
+    "scan_first_csv": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
     "scan_tsv": "SELECT * FROM lineitem",
-    "scan_json_lines": "SELECT * FROM part",
-    "scan_json_array": "SELECT * FROM customer",
+    "scan_json_lines": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
+    "scan_json_array": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
     "scan_json_texts": "SELECT * FROM pages",
     "scan_text_lines": "SELECT unnest(string_split(text, chr(10))) AS line FROM documents",
     "scan_opaque": """
@@ -197,7 +197,7 @@ ORACLE = {
         UNION ALL SELECT concat_ws(',', n_nationkey, n_name, n_regionkey) FROM nation
     """,
     "scan_xml": "SELECT * FROM customer",
-    "scan_xml_split": "SELECT * FROM part",
+    "scan_xml_split": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
     "scan_catalog_table": "SELECT * FROM part",
     "scan_unknown_extension": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
