@@ -6,11 +6,15 @@ inference is a plain ``max`` that partially aggregates on the map side.
 
 from pyspark.sql import Column, functions as F, types as T
 
-# What counts as white space around a value, an integer and a
-# floating-point literal. They describe text that int()/float() style parsers
-# accept: optional sign, digit groups joined by single underscores, exponent,
-# inf/infinity/nan in any case.
-SPACE = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*"
+# White space around a value, by the rule of str.strip().
+SPACES = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+_STARTS = [c for c in SPACES if chr(max(ord(c) - 1, 0)) not in SPACES]
+_ENDS = [c for c in SPACES if chr(ord(c) + 1) not in SPACES]
+SPACE = "[" + "".join(f"\\x{{{ord(a):x}}}-\\x{{{ord(b):x}}}" for a, b in zip(_STARTS, _ENDS, strict=True)) + "]*"
+
+# Integer and floating-point literals as int()/float() style
+# parsers accept them: optional sign, digit groups joined by single underscores,
+# exponent, inf/infinity/nan in any case.
 DIGITS = r"[0-9]+(?:_[0-9]+)*"
 INT_PATTERN = rf"^{SPACE}-?[0-9]+{SPACE}\z"
 DOUBLE_PATTERN = (
@@ -34,7 +38,12 @@ def text_rank(value: Column, empty_as: str = "string") -> Column:
         .when(value.try_cast("decimal(38,0)").isNotNull(), INT128)
         .otherwise(INT_ANY)
     )
-    rank = F.when(value.rlike(INT_PATTERN), width).when(value.rlike(DOUBLE_PATTERN), DOUBLE)
+    # Most text is settled by its first letter, without a regular expression.
+    first = F.ascii(value)
+    letter = (first.between(ord("A"), ord("Z")) | first.between(ord("a"), ord("z"))) & ~first.isin(
+        [ord(c) for c in "iInN"]
+    )
+    rank = F.when(letter, STRING).when(value.rlike(INT_PATTERN), width).when(value.rlike(DOUBLE_PATTERN), DOUBLE)
     if empty_as == "ignore":
         return F.when(value.rlike(rf"^{SPACE}\z"), None).otherwise(
             F.when(value.isNotNull(), rank.otherwise(STRING))
@@ -94,16 +103,14 @@ def parse_value(value: Column, storage: str) -> Column:
     """Convert text to its storage type, accepting every spelling the lattice accepts."""
     if storage == "string":
         return value.cast("string")
-    text = F.regexp_replace(value.cast("string"), rf"^{SPACE}|{SPACE}\z", "")
+    text = F.trim(value.cast("string"), F.lit(SPACES))
     if storage != "double":
         return text.try_cast(storage)
-    word = F.lower(F.regexp_replace(text, "^[+-]", ""))
-    infinity = F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))
-    return (
-        F.when(word == "nan", float("nan"))
-        .when(word.isin("inf", "infinity"), infinity)
-        .otherwise(F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    )
+    # The cast knows inf and nan; signed nan and digit groups need help, and a
+    # bare NaN of a JSON file arrives quoted.
+    plain = F.translate(text, '_"', "").try_cast("double")
+    signed_nan = F.when(F.lower(text).isin("+nan", "-nan"), float("nan"))
+    return F.coalesce(plain, signed_nan)
 
 
 def catalog_type(data_type: T.DataType, legacy: bool = False) -> str:

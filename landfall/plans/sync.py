@@ -100,19 +100,24 @@ def sync_tables(
     return steps
 
 
-def record_versions(spark: SparkSession, inventory: DataFrame, history: str) -> DataFrame:
-    """Append an inventory to the schema history as the next version of each table.
+def record_versions(spark: SparkSession, inventory: DataFrame, history: str, run_ts: dt.datetime) -> DataFrame:
+    """Add an inventory to the schema history as the next version of each table.
 
-    Returns the whole history with the new versions.
+    Every run has its own folder, written in overwrite mode, so a run that is
+    repeated after a failure counts once. Returns the whole history.
     """
-    spark.createDataFrame([], INVENTORY).write.mode("ignore").parquet(history)
-    old = spark.read.schema(INVENTORY).parquet(history)
+    run = f"run-{compact_ts(run_ts)}"
+    reader = spark.read.schema(INVENTORY).option("recursiveFileLookup", True)
+    spark.createDataFrame([], INVENTORY).write.mode("ignore").parquet(join_location(history, "start"))
+    old = reader.parquet(history).filter(~F.col("_metadata.file_path").contains(f"/{run}/"))
     newest = old.groupBy("db", "tbl").agg(F.max("version").alias("last"))
     numbered = inventory.join(newest, ["db", "tbl"], "left").select(
         "db", "tbl", (F.coalesce("last", F.lit(0)) + 1).cast("bigint").alias("version"), "pos", "name", "type"
     )
-    numbered.write.mode("append").parquet(history)
-    return spark.read.schema(INVENTORY).parquet(history)
+    # A few rows per table; brought here so that nothing reads what is overwritten.
+    numbered = spark.createDataFrame(numbered.collect(), numbered.schema)
+    numbered.write.mode("overwrite").parquet(join_location(history, run))
+    return reader.parquet(history)
 
 
 def schema_report(
@@ -137,7 +142,7 @@ def schema_report(
     landing = catalog_inventory(spark, landing_db, prefix)
     curated = catalog_inventory(spark, curated_db, prefix)
     names = spark.createDataFrame([(t,) for t in tables], "tbl string") if tables is not None else None
-    versions = record_versions(spark, landing, history).filter(F.col("db") == landing_db)
+    versions = record_versions(spark, landing, history, run_ts).filter(F.col("db") == landing_db)
     evolved = current_evolution(versions).select("tbl", "evolved")
     pairs = compare_zones(landing, curated, names).join(evolved, "tbl", "left")
     decided = decide(pairs.withColumn("evolved", F.coalesce("evolved", F.lit(False))))

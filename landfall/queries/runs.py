@@ -1,5 +1,7 @@
 """Queries over whole runs: ingest, sync, report, arrival, audit, summary."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.functions.types import parse_value
@@ -135,7 +137,8 @@ def schema_report_run(spark, sf):
         if run == 3:
             place = table_source(spark, landing, "part")[1]
             upsert_table(spark, landing, "part", place, read_table(spark, landing, "part").drop("p_size").schema)
-        _, decisions = schema_report(spark, landing, curated, target, history, "", report_path=reports, run_ts=RUN_TS)
+        at = RUN_TS + dt.timedelta(hours=run)
+        _, decisions = schema_report(spark, landing, curated, target, history, "", report_path=reports, run_ts=at)
         rows = decisions.select(F.lit(run).alias("run"), "tbl", "action", "schema_changed")
         result = rows if result is None else result.unionByName(rows)
     written = read_csv(spark, reports).groupBy(F.col("Table").alias("tbl")).agg(F.count("*").alias("reports"))

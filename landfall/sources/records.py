@@ -74,24 +74,34 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
     than the pieces of one split or the split summaries of one file. An object
     that never closes comes out as an unreadable text.
     """
-    in_split = Window.partitionBy("file", "block").orderBy("seq")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_split = Window.partitionBy("file", "block")
+    so_far = in_split.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def less(text: Column, char: str) -> Column:
         return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
+    def opened(text: Column) -> Column:
+        return less(F.regexp_replace(text, '"[^"]*(?:"|$)', ""), "{")
+
+    # All text work happens here, before any shuffle: the summary below moves
+    # only numbers. A piece is counted for both of its possible beginnings.
     pieces = (
         _pieces(spark, path, "}", _size=True, **options)
         .withColumn("bare", F.regexp_replace("value", r"(?s)\\.", ""))
-        .withColumn("quotes", less(F.col("bare"), '"'))
+        .select(
+            "value", "file", "block", "seq", "size",
+            (F.octet_length("value") + 1).alias("bytes"),
+            less(F.col("bare"), '"').alias("quotes"),
+            opened(F.col("bare")).alias("open_outside"),
+            opened(F.regexp_replace("bare", '^[^"]*(?:"|$)', "")).alias("open_inside"),
+        )
         .withColumn("odd", (F.sum("quotes").over(so_far) - F.col("quotes")) % 2 == 1)
-        .withColumn("last_piece", F.lead("seq").over(in_split).isNull())
+        .withColumn("last_piece", F.col("seq") == F.max("seq").over(in_split))
     )
     # State 0: the split starts outside a string; state 1: inside one.
     for state, in_string in ((0, F.col("odd")), (1, ~F.col("odd"))):
-        text = F.when(in_string, F.regexp_replace("bare", '^[^"]*(?:"|$)', "")).otherwise(F.col("bare"))
         pieces = (
-            pieces.withColumn(f"opened{state}", less(F.regexp_replace(text, '"[^"]*(?:"|$)', ""), "{"))
+            pieces.withColumn(f"opened{state}", F.when(in_string, F.col("open_inside")).otherwise(F.col("open_outside")))
             .withColumn(f"close{state}", (F.col("quotes") % 2 == 0) != in_string)
             .withColumn(
                 f"depth{state}",
@@ -102,7 +112,7 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
     # Depth is never negative and is zero exactly where an object ends. The
     # last piece is kept apart: a file's tail has no "}" and closes nothing.
     summary = [F.sum("quotes").alias("quotes"), F.max("size").alias("size")]
-    summary.append((F.sum(F.octet_length("value")) + F.count("*")).alias("bytes"))
+    summary.append(F.sum("bytes").alias("bytes"))
     for s in (0, 1):
         inner = F.col(f"close{s}") & ~F.col("last_piece")
         summary += [
@@ -110,9 +120,10 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
             F.max(F.when(F.col("last_piece"), F.col(f"depth{s}"))).alias(f"total{s}"),
             F.max(F.when(F.col("last_piece"), F.col(f"close{s}"))).alias(f"closed{s}"),
         ]
-    in_file = Window.partitionBy("file").orderBy("block")
-    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    after = in_file.rowsBetween(1, Window.unboundedFollowing)
+    in_file = Window.partitionBy("file")
+    before = in_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Later splits come first in this order, which keeps the frame a running one.
+    after = in_file.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
 
     def chosen(name: str) -> Column:
         return F.when(F.col("state") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
@@ -122,8 +133,8 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
         .agg(*summary)
         .withColumn("state", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
         .withColumn("start", F.coalesce(F.sum(chosen("total")).over(before), F.lit(0)))
-        .withColumn("last_split", F.lead("block").over(in_file).isNull())
-        .withColumn("cut_off", F.sum("bytes").over(Window.partitionBy("file")) > F.col("size"))
+        .withColumn("last_split", F.col("block") == F.max("block").over(in_file))
+        .withColumn("cut_off", F.sum("bytes").over(in_file) > F.col("size"))
         .withColumn("tail", F.col("last_split") & F.col("cut_off"))
         .withColumn(
             "has_end",
@@ -139,12 +150,12 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
     starts = (chosen("opened") > 0) & (depth - chosen("opened") + chosen("close").cast("int") == 0)
     # A piece belongs to the next end: in its own split, numbered there, or
     # else the first end of the next split that has one.
-    to_end = in_split.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    last_end = F.max(F.when(F.col("end") == 1, F.col("seq"))).over(in_split)
     placed = (
         pieces.join(splits, ["file", "block"])
         .withColumn("end", is_end.cast("int"))
         .withColumn("starts", starts)
-        .withColumn("here", F.max("end").over(to_end) == 1)
+        .withColumn("here", F.coalesce(F.col("seq") <= last_end, F.lit(False)))
         .withColumn("ended", F.sum("end").over(so_far) - F.col("end"))
         .withColumn("end_block", F.when(F.col("here"), F.col("block")).otherwise(F.col("next_block")))
         .filter(F.col("end_block").isNotNull() | F.col("starts"))

@@ -80,6 +80,10 @@ def test_ingest_with_detection_stamps_and_one_file(spark, db, zone, tmp_path):
         detect_types=True, ingest_columns=True, max_files=1,
     )
     assert statuses(result)["n.csv"] == ("n", "SUCCEEDED", 2)
+    zone("j.json", '{"w": NaN, "x": 1}\n{"w": 2.5, "x": 1e3}')
+    landfall.sync_files(spark, zone.path, str(target), landing, curated, run_ts=TS, formats=["json"])
+    values = sorted(r["w"] for r in spark.table(f"{curated}.j").collect() if r["w"] == r["w"])
+    assert values == [2.5] and spark.table(f"{curated}.j").filter("isnan(w)").count() == 1
     rows = spark.table(f"{curated}.n").orderBy("i").collect()
     assert [r["i"] for r in rows] == [7, 8] and rows[0]["d"] == 1000.5 and rows[1]["d"] != rows[1]["d"]
     assert (rows[0]["source_filename"], rows[0]["job_name"], rows[0]["record_status"]) == ("n.csv", "nightly", "ACTIVE")
@@ -231,22 +235,27 @@ def test_schema_report(spark, db, tmp_path):
     land(spark, landing, "b", spark.range(2), str(tmp_path / "b"))
     land(spark, curated, "b", spark.range(2), str(tmp_path / "c" / "b"))
 
-    def run(**more):
-        rows, decisions = landfall.schema_report(spark, landing, curated, target, history, run_ts=TS, **more)
+    def run(hours, **more):
+        at = TS + dt.timedelta(hours=hours)
+        rows, decisions = landfall.schema_report(spark, landing, curated, target, history, run_ts=at, **more)
         return {r["tbl"]: (r["action"], r["schema_changed"]) for r in decisions.collect()}, rows
 
     # First sight counts as evolved.
-    assert run()[0] == {"a": ("CREATE_FDP", "YES"), "b": ("UPDATE_FDP", "YES")}
-    assert run()[0] == {"a": ("NO_OP", "NO"), "b": ("NO_OP", "NO")}
+    assert run(0)[0] == {"a": ("CREATE_FDP", "YES"), "b": ("UPDATE_FDP", "YES")}
+    assert run(1)[0] == {"a": ("NO_OP", "NO"), "b": ("NO_OP", "NO")}
     tables.upsert_table(spark, landing, "a", str(tmp_path / "a"), T.StructType.fromDDL("id bigint, n string"))
     spark.sql(f"DROP TABLE {curated}.b")
-    actions, rows = run(report_path=str(tmp_path / "report"), tables=["a", "b", "gone"])
+    actions, rows = run(2, report_path=str(tmp_path / "report"), tables=["a", "b", "gone"])
     assert actions == {"a": ("UPDATE_FDP", "YES"), "b": ("CREATE_FDP", "NO"), "gone": ("LANDING_MISSING", "NO")}
     assert spark.table(f"{curated}.a").columns == ["id", "n"]
     spark.sql(f"DROP TABLE {curated}.a")
     land(spark, curated, "a", spark.range(1), str(tmp_path / "elsewhere"))
-    assert run(apply=False)[0]["a"] == ("SYNC_FDP_SCHEMA", "YES")
-    written = list((tmp_path / "report").glob("report=schema_report_*_20251113_181953Z/part-*.csv"))
+    assert run(3, apply=False)[0]["a"] == ("SYNC_FDP_SCHEMA", "YES")
+    # A repeated run sees what the first attempt saw.
+    assert run(2, apply=False)[0]["a"] == ("SYNC_FDP_SCHEMA", "YES")
+    history_rows = spark.read.option("recursiveFileLookup", True).parquet(history)
+    assert history_rows.filter("tbl = 'a'").select("version").distinct().count() == 4
+    written = list((tmp_path / "report").glob("report=schema_report_*_20251113_201953Z/part-*.csv"))
     assert len(written) == 2
     row = read_csv(spark, str(tmp_path / "report")).filter("`Table` = 'a'").first()
     assert json.loads(row["Details"]) == [{"Name": "id", "Type": "bigint"}, {"Name": "n", "Type": "string"}]
