@@ -43,6 +43,16 @@ def table_name(path: Column, lower: bool = False, prefix: str = "") -> Column:
     return F.concat(F.lit(prefix), F.lower(base) if lower else base)
 
 
+def catalog_name(name: str) -> str:
+    """A table name the catalog accepts: letters, digits and underscores."""
+    return re.sub(r"[^A-Za-z0-9_]", "_", name)
+
+
+def decoded(path: Column) -> Column:
+    """A path or file name as written on disk; Spark's file metadata is percent-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def key_matches(path: Column, prefix: str = "", suffix: str = ".csv") -> Column:
     return path.startswith(prefix) & path.endswith(suffix)
 

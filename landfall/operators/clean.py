@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landfall.functions.names import clean_name
+from landfall.functions.names import clean_name, decoded
 
 # Default names of the ingest columns, all strings.
 INGEST_COLUMNS = ["ingestion_timestamp", "source_filename", "job_name", "record_status"]
@@ -44,7 +44,7 @@ def source_name(df: DataFrame) -> Column:
         df.select("_metadata.file_name")
     except AnalysisException:
         return F.lit("")
-    return F.col("_metadata.file_name")
+    return decoded(F.col("_metadata.file_name"))
 
 
 def add_ingest_columns(

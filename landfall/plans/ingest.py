@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import glob_for, join_location, versioned_name
+from landfall.functions.names import catalog_name, glob_for, join_location, versioned_name
 from landfall.functions.types import parse_value
 from landfall.operators.audit import failure_text
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
@@ -18,12 +18,16 @@ from landfall.operators.tables import (
     ensure_database, ensure_table, qualified, same_location, set_location, table_exists, table_source,
 )
 from landfall.sources.files import list_files
-from landfall.sources.readers import long_rows, read_csv, read_json, read_text, read_tsv, read_xml
+from landfall.sources.readers import long_rows, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
 from landfall.sources.records import is_json_document, json_records, xml_records, xml_tags
+from landfall.workspace import written
 
 STATUS = "source_file string, table_name string, status string, row_count bigint, message string"
 EMPTY = "{} appears empty or unreadable."
 
+# Carries the name of the source file where rows are cut from record texts.
+SOURCE_COLUMN = "_source_file"
+
 # Marks a name delivered as several folders, or as folder and file.
 AMBIGUOUS = "?"
 
@@ -47,13 +51,15 @@ class Landed(NamedTuple):
     data: DataFrame
     source: str
     options: dict[str, str]
+    source_column: str | None = None
 
 
-def file_groups(files: DataFrame, suffix_format: bool | None = None) -> list[FileGroup]:
-    """One entry per base name and format, at most one per table.
+def file_groups(files: DataFrame, suffix_format: bool = False) -> list[FileGroup]:
+    """One entry per base name and format, each with a table of its own.
 
-    ``suffix_format`` adds the format to the table name: always, never, or by
-    default only where two formats share a base name.
+    The format is added to the table name where two formats share a base name,
+    or always with ``suffix_format``. Names the catalog takes for the same get
+    a number.
     """
     is_folder = F.col("unit") != F.col("path")
     groups = files.groupBy("table_name", "format").agg(
@@ -63,10 +69,15 @@ def file_groups(files: DataFrame, suffix_format: bool | None = None) -> list[Fil
     )
     shared = groups.groupBy("table_name").agg(F.count("*").alias("formats"))
     rows = groups.join(shared, "table_name").orderBy("table_name", "format").collect()
-    result = []
+    result, taken = [], set()
     for r in rows:
-        suffix = r["formats"] > 1 if suffix_format is None else suffix_format
-        name = f"{r['table_name']}_{r['format']}" if suffix else r["table_name"]
+        suffix = suffix_format or r["formats"] > 1
+        stem = catalog_name(f"{r['table_name']}_{r['format']}" if suffix else r["table_name"])
+        name, n = stem, 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{stem}_{n}"
+        taken.add(name.lower())
         folder = r["folder"]
         if folder and (folder != r["last_folder"] or r["files"]):
             folder = AMBIGUOUS
@@ -101,11 +112,16 @@ def land_files(
     if fmt == "json":
         document = is_json_document(spark, path, **options)
         records = json_records(spark, path, document, **options)
+        if document:
+            records = written(spark, records, "json-objects")
         columns = collect_columns(infer_json(records, bad_lines))
         if not columns:
             raise ValueError(EMPTY.format("JSON"))
-        df = read_json(spark, path, text_schema(columns), document, **options)
-        return Landed(columns, df, "json", {"multiLine": str(document).lower()})
+        shape, line_options = text_schema(columns), {"multiLine": str(document).lower()}
+        if document:
+            return Landed(columns, parse_json(records, shape, SOURCE_COLUMN), "json", line_options, SOURCE_COLUMN)
+        mode = {"mode": "DROPMALFORMED"} if bad_lines == "skip" else {}
+        return Landed(columns, read_json(spark, path, shape, False, **options, **mode), "json", line_options)
     if fmt == "xml":
         root, tag = xml_tags(spark, path, **options)
         if root is None:
@@ -117,8 +133,8 @@ def land_files(
             columns = collect_columns(infer_xml(xml_records(spark, path, row_tag, **options)))
             if not columns:
                 raise ValueError("XML has no records.")
-            df = read_xml(spark, path, row_tag, text_schema(columns), **options)
-            return Landed(columns, df, "xml", {"rowTag": row_tag})
+            df = read_xml(spark, path, row_tag, text_schema(columns), source_column=SOURCE_COLUMN, **options)
+            return Landed(columns, df, "xml", {"rowTag": row_tag}, SOURCE_COLUMN)
     if fmt == "text":
         return Landed([ColumnSpec("line", "string")], read_text(spark, path, **options), "text", {})
     raise ValueError(f"unsupported format {fmt}")
@@ -182,7 +198,8 @@ def sync_group(
     table, existing = _target_table(spark, curated_db, group.table, landed.columns, on_mismatch, run_ts)
     df = landed.data
     if ingest_columns:
-        df = add_ingest_columns(df, run_ts, job)
+        source = F.col(landed.source_column) if landed.source_column else None
+        df = add_ingest_columns(df, run_ts, job, source=source)
     stamps = [F.col(c) for c in INGEST_COLUMNS] if ingest_columns else []
     df = df.select(*_storage_values(landed), *stamps)
     text = group.fmt == "text" and not ingest_columns
@@ -213,7 +230,7 @@ def sync_files(
     curated_db: str,
     run_ts: dt.datetime | None = None,
     job: str = "sync_files",
-    suffix_format: bool | None = None,
+    suffix_format: bool = False,
     formats: list[str] | None = None,
     workers: int = 4,
     **options,

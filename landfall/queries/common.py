@@ -76,13 +76,6 @@ def land_json_arrays(spark: SparkSession, df: DataFrame, file_name: str, key: st
     return path
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a small result that several branches use, so that it is computed once."""
-    path = fresh_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def new_db(spark: SparkSession, name: str) -> str:
     """A database of its own for one call."""
     db = f"landfall_{name}_{uuid.uuid4().hex[:8]}"

@@ -9,7 +9,8 @@ from landfall.operators.schema import (
     as_inventory, compare_zones, current_evolution, decide, diff, evolution, missing_columns, report, signatures,
     tolerant_match, versioned_targets,
 )
-from landfall.queries.common import RUN_TS, TABLES, inventory_sql, label_sql, load, load_all, rank_sql, stored, types_sql
+from landfall.queries.common import RUN_TS, TABLES, inventory_sql, label_sql, load, load_all, rank_sql, types_sql
+from landfall.workspace import written
 
 PAIR = ["customer", "supplier"]
 ZONE = ["customer", "orders", "part", "supplier", "nation", "events"]
@@ -74,7 +75,7 @@ def schema_evolution_newest(spark, sf):
 
 def _zones(spark, sf):
     """Landing with two versions, and a curated zone that lags behind in places."""
-    columns = stored(spark, infer_many(load_all(spark, sf, ZONE)), "columns")
+    columns = written(spark, infer_many(load_all(spark, sf, ZONE)), "columns")
     name, tbl = F.col("name"), F.col("tbl")
     landing = as_inventory(columns, "landing", version=2)
     earlier = as_inventory(

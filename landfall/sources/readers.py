@@ -1,11 +1,12 @@
 """Readers of the landing formats. Each returns a plain DataFrame."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from landfall.functions.names import FORMATS, unit_path
-from landfall.operators.clean import fill_blank_names
+from landfall.functions.names import FORMATS, base_name, decoded, unit_path
+from landfall.operators.clean import fill_blank_names, source_name
 from landfall.sources.files import first_file, list_keys
-from landfall.sources.records import json_documents, is_json_document, xml_records, xml_tags
+from landfall.sources.records import is_json_document, json_documents, xml_records, xml_tags
+from landfall.workspace import written
 
 # Above this size an XML file is cut at its record tags instead of being read
 # by one task.
@@ -33,8 +34,27 @@ def read_json(spark: SparkSession, path, schema=None, document: bool | None = No
     if schema is None:
         from landfall.operators.infer import collect_columns, infer_json, storage_schema
 
+        records = written(spark, records, "json-objects")
         schema = storage_schema(collect_columns(infer_json(records)))
-    return records.select(F.from_json("value", schema).alias("record")).select("record.*")
+    return parse_json(records, schema)
+
+
+def parse_json(records: DataFrame, schema: T.StructType, source_column: str | None = None) -> DataFrame:
+    """Rows of JSON object texts, with the name of the file each came from if asked."""
+    return _parsed(records, F.from_json("value", schema), source_column)
+
+
+def parse_xml(
+    records: DataFrame, schema: T.StructType, row_tag: str, source_column: str | None = None
+) -> DataFrame:
+    """Rows of XML record texts, with the name of the file each came from if asked."""
+    return _parsed(records, F.from_xml("value", schema, {"rowTag": row_tag}), source_column)
+
+
+def _parsed(records: DataFrame, record: Column, source_column: str | None) -> DataFrame:
+    extra = [decoded(base_name(F.col("file"))).alias(source_column)] if source_column else []
+    rows = records.select(record.alias("_record"), *extra)
+    return rows.select("_record.*", *([source_column] if source_column else []))
 
 
 def read_text(spark: SparkSession, path, column: str = "line", **options) -> DataFrame:
@@ -42,7 +62,13 @@ def read_text(spark: SparkSession, path, column: str = "line", **options) -> Dat
 
 
 def read_xml(
-    spark: SparkSession, path, row_tag: str | None = None, schema=None, split: bool | None = None, **options
+    spark: SparkSession,
+    path,
+    row_tag: str | None = None,
+    schema=None,
+    split: bool | None = None,
+    source_column: str | None = None,
+    **options,
 ) -> DataFrame:
     """XML records; ``row_tag`` defaults to the first child of the root.
 
@@ -57,14 +83,14 @@ def read_xml(
         split = not sizes.filter(F.col("length") > XML_FILE_BYTES).isEmpty()
     if not split:
         reader = spark.read.option("rowTag", row_tag).options(**options)
-        return (reader.schema(schema) if schema is not None else reader).xml(path)
+        df = (reader.schema(schema) if schema is not None else reader).xml(path)
+        return df.select("*", source_name(df).alias(source_column)) if source_column else df
     records = xml_records(spark, path, row_tag, **options)
     if schema is None:
         from landfall.operators.infer import collect_columns, infer_xml, storage_schema
 
         schema = storage_schema(collect_columns(infer_xml(records)))
-    record = F.from_xml("value", schema, {"rowTag": row_tag})
-    return records.select(record.alias("record")).select("record.*")
+    return parse_xml(records, schema, row_tag, source_column)
 
 
 def read_landing(spark: SparkSession, path, fmt: str, **options) -> DataFrame:

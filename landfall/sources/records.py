@@ -7,6 +7,8 @@ the start of its split (``block``) and its order within the split (``seq``).
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from landfall.workspace import written
+
 
 def _pieces(
     spark: SparkSession, path: str | list[str], separator: str, _size: bool = False, **options
@@ -83,9 +85,11 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
     def opened(text: Column) -> Column:
         return less(F.regexp_replace(text, '"[^"]*(?:"|$)', ""), "{")
 
-    # All text work happens here, before any shuffle: the summary below moves
-    # only numbers. A piece is counted for both of its possible beginnings.
-    pieces = (
+    # All text work happens here. A piece is counted for both of its possible
+    # beginnings. The pieces are written once: the split summaries and the pieces
+    # must come from the same splits, and two scans might be split differently.
+    # The summary then reads only the numbers.
+    counted = (
         _pieces(spark, path, "}", _size=True, **options)
         .withColumn("bare", F.regexp_replace("value", r"(?s)\\.", ""))
         .select(
@@ -95,6 +99,9 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
             opened(F.col("bare")).alias("open_outside"),
             opened(F.regexp_replace("bare", '^[^"]*(?:"|$)', "")).alias("open_inside"),
         )
+    )
+    pieces = (
+        written(spark, counted, "json-pieces")
         .withColumn("odd", (F.sum("quotes").over(so_far) - F.col("quotes")) % 2 == 1)
         .withColumn("last_piece", F.col("seq") == F.max("seq").over(in_split))
     )

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions.names import glob_for, join_location, key_matches, table_name, unit_path
+from landfall.functions.names import catalog_name, glob_for, join_location, key_matches, table_name, unit_path
 from landfall.operators.audit import batch_log, failure_text
 from landfall.operators.tables import ensure_database
 from landfall.plans.ingest import STATUS, FileGroup, sync_group
@@ -69,16 +69,17 @@ def stream_files(
         # The newest file dates the batch, so a repeated batch names the same tables.
         newest = max((f["modificationTime"] for g in groups.values() for f in g), default=started)
         part, rows = f"batch-{batch_id:09d}", []
-        for table, files in groups.items():
+        for name, files in groups.items():
+            table = catalog_name(name)
             paths, units = [f["path"] for f in files], {f["unit"] for f in files}
             landing, place = {"recursiveFileLookup": "true"}, source
             if len(units) == 1 and units.isdisjoint(paths):
                 place = units.pop()
             else:
-                landing["pathGlobFilter"] = glob_for(table, "csv", any_case=True)
+                landing["pathGlobFilter"] = glob_for(name, "csv", any_case=True)
             try:
                 used, count = sync_group(
-                    spark, FileGroup(table, "csv", table, files=len(paths)), paths, target, landing_db, curated_db,
+                    spark, FileGroup(name, "csv", table, files=len(paths)), paths, target, landing_db, curated_db,
                     run_ts or newest, job, target_part=part, landing_path=place, landing_options=landing, **options,
                 )
                 state = (used, "SUCCEEDED", count, "")

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from landfall.functions.names import join_location
 
@@ -27,3 +27,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """New, unused folder below the shared one."""
     return join_location(shared_folder(spark), "landfall", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several branches use to the shared folder and read it back.
+
+    It is computed once, and a lost executor cannot make the branches differ.
+    """
+    path = fresh_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

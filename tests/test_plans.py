@@ -135,6 +135,40 @@ def test_files_of_one_table_must_share_a_header(spark, db, zone, tmp_path):
     assert got["a.csv"][1] == "FAILED"
 
 
+def test_ingest_names_the_source_file(spark, db, zone, tmp_path):
+    landing, curated = db
+    for name, fmt in (("a b+c%.csv", "csv"), ("d e.json", "json"), ("f.json", "ndjson"), ("g h.xml", "xml")):
+        zone(name, customers(fmt))
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, ingest_columns=True))
+    assert got == {
+        "a b+c%.csv": ("a_b_c_", "SUCCEEDED", 3), "d e.json": ("d_e", "SUCCEEDED", 3),
+        "f.json": ("f", "SUCCEEDED", 3), "g h.xml": ("g_h", "SUCCEEDED", 3),
+    }
+    for file, (table, _, _) in got.items():
+        assert {r["source_filename"] for r in spark.table(f"{curated}.{table}").collect()} == {file}
+        assert spark.table(f"{landing}.{table}").count() == 3
+
+
+def test_table_names_never_clash(spark, db, zone, tmp_path):
+    for name in ("a-b.csv", "a_b.csv", "A_B.csv", "s.csv"):
+        zone(name, f"v\n{name}")
+    landing, curated = db
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated))
+    assert len({t.lower() for t, _, _ in got.values()}) == 4
+    for file, (table, _, _) in got.items():
+        assert [r["v"] for r in spark.table(f"{curated}.{table}").collect()] == [file]
+        assert [r["v"] for r in spark.table(f"{landing}.{table}").collect()] == [file]
+
+
+def test_bad_json_lines_can_be_skipped(spark, db, zone, tmp_path):
+    zone("a.json", '{"x": 1}\n{"x": \n{"x": 2}')
+    landing, curated = db
+    assert statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated))["a.json"][1] == "FAILED"
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, bad_lines="skip"))
+    assert got["a.json"] == ("a", "SUCCEEDED", 2)
+    assert sorted(r["x"] for r in spark.table(f"{curated}.a").collect()) == [1, 2]
+
+
 def test_strict_ingest_fails_on_long_rows(spark, db, zone, tmp_path):
     landing, curated = db
     zone("l.csv", "a,b\n1,2,3")
