@@ -31,18 +31,22 @@ STORAGE = ["bigint", "bigint", "decimal(38,0)", "string", "double", "string"]
 
 
 def text_rank(value: Column, empty_as: str = "string") -> Column:
-    """Rank of a text value; null and empty text rank as string unless ignored."""
-    width = (
-        F.when(value.try_cast("int").isNotNull(), INT32)
-        .when(value.try_cast("bigint").isNotNull(), INT64)
-        .when(value.try_cast("decimal(38,0)").isNotNull(), INT128)
-        .otherwise(INT_ANY)
-    )
-    # Most text is settled by its first letter, without a regular expression.
+    """Rank of a text value; null and empty text rank as string unless ignored.
+
+    A leading letter settles most text without a regular expression. Widths go
+    by length first, because a failing cast is slow.
+    """
     first = F.ascii(value)
     letter = (first.between(ord("A"), ord("Z")) | first.between(ord("a"), ord("z"))) & ~first.isin(
         [ord(c) for c in "iInN"]
     )
+    length, small = F.length(value), value.try_cast("bigint").between(-(2**31), 2**31 - 1)
+    width = (
+        F.when((length <= 9) | ((length <= 18) & small), INT32)
+        .when((length <= 18) | value.try_cast("bigint").isNotNull(), F.when(small, INT32).otherwise(INT64))
+        .when(value.try_cast("decimal(38,0)").isNotNull(), INT128)
+        .otherwise(INT_ANY)
+    )
     rank = F.when(letter, STRING).when(value.rlike(INT_PATTERN), width).when(value.rlike(DOUBLE_PATTERN), DOUBLE)
     if empty_as == "ignore":
         return F.when(value.rlike(rf"^{SPACE}\z"), None).otherwise(

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.functions.names import catalog_name, glob_for, join_location, versioned_name
 from landfall.functions.types import parse_value
-from landfall.operators.audit import failure_text
+from landfall.operators.audit import batch_log, failure_text, process_id
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
 from landfall.operators.infer import (
     ColumnSpec, collect_columns, infer_json, infer_table, infer_xml, storage_schema, text_schema,
 )
-from landfall.operators.publish import write_files
+from landfall.operators.publish import append_table, write_files
 from landfall.operators.tables import (
     ensure_database, ensure_table, qualified, same_location, set_location, table_exists, table_source,
 )
@@ -233,13 +233,17 @@ def sync_files(
     suffix_format: bool = False,
     formats: list[str] | None = None,
     workers: int = 4,
+    log_db: str | None = None,
+    log_table: str = "batch_log",
+    batch_id: str | None = None,
     **options,
 ) -> DataFrame:
     """Ingest every supported file below ``source``.
 
     Files with the same base name and format are read together as one table; a
     folder of part files named like a file counts as that file. A group that fails gets a FAILED status and does not stop the others. Returns
-    source_file, table_name, status, row_count, message.
+    source_file, table_name, status, row_count, message; with ``log_db`` the
+    same goes to the batch log table.
 
     Options: detect_types, row_tag, bad_lines, strict, on_mismatch,
     ingest_columns, max_files.
@@ -270,4 +274,10 @@ def sync_files(
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(one, groups))
-    return spark.createDataFrame(rows, STATUS)
+    statuses = spark.createDataFrame(rows, STATUS)
+    if log_db:
+        ensure_database(spark, log_db)
+        finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        logged = batch_log(statuses, batch_id or process_id(run_ts), run_ts, finished)
+        append_table(spark, logged, log_db, log_table, join_location(target, log_table))
+    return statuses

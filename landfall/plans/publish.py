@@ -1,14 +1,14 @@
 """Publish, copy and register single tables."""
 
-from pyspark.sql import SparkSession, types as T
+from pyspark.sql import SparkSession, functions as F, types as T
 
-from landfall.functions.names import join_location
+from landfall.functions.names import catalog_name, join_location, table_name, unit_path
 from landfall.operators.clean import drop_repeated_header, normalize_names
-from landfall.operators.infer import ColumnSpec, infer_spark_types
 from landfall.operators.audit import guard_status
-from landfall.operators.publish import append_table, replace_table, write_catalog_files
-from landfall.operators.tables import ensure_database, upsert_table
-from landfall.sources.files import list_keys
+from landfall.operators.infer import ColumnSpec, infer_spark_types, opaque_schema
+from landfall.operators.publish import append_table, copy_files, replace_table, write_catalog_files
+from landfall.operators.tables import ensure_database, ensure_table, qualified, upsert_table
+from landfall.sources.files import latest_file, list_keys
 from landfall.sources.readers import read_csv, read_table
 
 
@@ -57,6 +57,24 @@ def copy_table(
     return "SUCCEEDED", write_catalog_files(spark, df, target_db, target_table, location, "csv", mode)
 
 
+def copy_latest(spark: SparkSession, source: str, target: str, db: str, prefix: str = "fdp_") -> tuple[str, int] | None:
+    """Copy the CSV file with the greatest base name unchanged and register it.
+
+    The table has one column of whole lines. None if there is no CSV file.
+    """
+    unit = unit_path(F.col("path"))
+    units = list_keys(spark, source).select(unit.alias("path"))
+    row = latest_file(units).select("path", "file_name", table_name(F.col("path"), prefix=prefix).alias("t")).first()
+    if row["path"] is None:
+        return None
+    table, place = catalog_name(row["t"]), join_location(target, row["file_name"])
+    ensure_database(spark, db)
+    rows = copy_files(spark, row["path"], place, "text")
+    ensure_table(spark, db, table, place, opaque_schema(), "text")
+    spark.catalog.refreshTable(qualified(db, table))
+    return table, rows
+
+
 def register_path(
     spark: SparkSession, path: str, db: str, table: str, legacy: bool = False
 ) -> tuple[str, list[ColumnSpec]]:

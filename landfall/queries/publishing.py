@@ -10,7 +10,7 @@ from landfall.operators.publish import (
 from landfall.operators.tables import (
     FORMAT_PROPERTY, ensure_table, list_tables, lookup, mark_table_format, set_location, table_properties, upsert_table,
 )
-from landfall.plans.publish import copy_table, publish_table, register_path
+from landfall.plans.publish import copy_latest, copy_table, publish_table, register_path
 from landfall.queries.cleaning import CAST_CUSTOMER
 from landfall.queries.common import TABLES, as_text, land, load, load_all, new_db
 from landfall.sources.readers import read_csv, read_json, read_landing, read_table, read_xml
@@ -126,6 +126,17 @@ def copy_table_clean(spark, sf):
     return read_table(spark, db, "curated")
 
 
+def copy_latest_file(spark, sf):
+    """Of several deliveries the last by name, copied and registered line by line."""
+    db, zone = new_db(spark, "latest"), fresh_folder(spark, "zone")
+    for name in ("customer", "orders", "part"):
+        land(spark, load(spark, sf, name), f"{name}.csv", zone)
+    table, _ = copy_latest(spark, zone, fresh_folder(spark, "curated"), db)
+    header = ",".join(TABLES["part"])
+    copied = read_table(spark, db, table).filter(F.col("data") != header)
+    return copied.select(F.lit(table).alias("tbl"), "data")
+
+
 def register_path_table(spark, sf):
     """A path registered with the schema Spark infers."""
     db = new_db(spark, "register")
@@ -214,7 +225,7 @@ QUERIES = {
     for f in (
         publish_overwrite, publish_append, publish_few_files, publish_formats, publish_replace_table,
         publish_append_table, publish_table_clean_names, publish_catalog_files, copy_files_unchanged,
-        convert_json_to_csv, convert_xml_to_csv, copy_table_clean, register_path_table, ensure_table_once,
+        convert_json_to_csv, convert_xml_to_csv, copy_table_clean, copy_latest_file, register_path_table, ensure_table_once,
         upsert_table_schema, mark_table_format_kept, repoint_table, table_prefix_filter, row_counts_guard, empty_guard,
     )
 }
@@ -238,6 +249,9 @@ ORACLE = {
     "convert_json_to_csv": "SELECT * FROM part",
     "convert_xml_to_csv": "SELECT * FROM supplier",
     "copy_table_clean": f"SELECT {CAST_CUSTOMER} FROM customer",
+    "copy_latest_file": """
+        SELECT 'fdp_part' AS tbl, concat_ws(',', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) AS data FROM part
+    """,
     "register_path_table": "SELECT * REPLACE (CAST(s_suppkey AS INTEGER) AS s_suppkey) FROM supplier",
     "ensure_table_once": "SELECT * FROM nation",
     "upsert_table_schema": """

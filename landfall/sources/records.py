@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from landfall.workspace import written
 
+HEAD_LINES = 50
+
 
 def _pieces(
     spark: SparkSession, path: str | list[str], separator: str, _size: bool = False, **options
@@ -41,12 +43,17 @@ def json_lines(spark: SparkSession, path: str | list[str], **options) -> DataFra
 
 
 def is_json_document(spark: SparkSession, path: str | list[str], **options) -> bool:
-    """True for an array or an object spread over lines, false for one object per line."""
+    """True for an array or an object spread over lines, false for one object per line.
+
+    A file that starts with an object holds lines if any of its first lines is
+    an object by itself, so that one bad line does not change the form.
+    """
     head = head_pieces(spark, path, "}", 1, **options)
     if not head or not head[0].lstrip("\ufeff \t\r\n").startswith("{"):
         return bool(head)
-    line = head_pieces(spark, path, "\n", 1, **options)[0]
-    return spark.range(1).filter(line_object(F.lit(line)).isNull()).count() == 1
+    lines = head_pieces(spark, path, "\n", HEAD_LINES, **options)
+    is_object = F.exists(F.array(*[F.lit(line) for line in lines]), lambda line: line_object(line).isNotNull())
+    return not spark.range(1).select(is_object.alias("v")).first()["v"]
 
 
 def _line_values(line: Column, value_type: str) -> Column:

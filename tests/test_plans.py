@@ -167,6 +167,9 @@ def test_bad_json_lines_can_be_skipped(spark, db, zone, tmp_path):
     got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, bad_lines="skip"))
     assert got["a.json"] == ("a", "SUCCEEDED", 2)
     assert sorted(r["x"] for r in spark.table(f"{curated}.a").collect()) == [1, 2]
+    zone("first.json", '{"x": \n{"x": 1}\n{"x": 2}')
+    got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, bad_lines="skip"))
+    assert got["first.json"] == ("first", "SUCCEEDED", 2)
 
 
 def test_strict_ingest_fails_on_long_rows(spark, db, zone, tmp_path):
@@ -219,6 +222,25 @@ def test_copy_table(spark, db, zone, tmp_path):
     assert spark.table(f"{curated}.r").count() == 2
 
 
+def test_copy_latest(spark, db, zone, tmp_path):
+    _, curated = db
+    zone("x/b.csv", "h\n1")
+    zone("y/a.csv", "h\n2")
+    assert landfall.copy_latest(spark, zone.path, str(tmp_path / "out"), curated) == ("fdp_b", 2)
+    assert sorted(r["data"] for r in spark.table(f"{curated}.fdp_b").collect()) == ["1", "h"]
+    (tmp_path / "none").mkdir()
+    assert landfall.copy_latest(spark, str(tmp_path / "none"), str(tmp_path / "out"), curated) is None
+
+
+def test_batch_log_table(spark, db, zone, tmp_path):
+    landing, curated = db
+    zone("a.csv", "x\n1")
+    for batch in ("b1", "b2"):
+        landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, run_ts=TS, log_db=curated, batch_id=batch)
+    rows = spark.table(f"{curated}.batch_log").select("batch_id", "source_file", "table_name", "status", "started_at").collect()
+    assert sorted(map(tuple, rows)) == [(b, "a.csv", "a", "SUCCEEDED", "2025-11-13T18:19:53") for b in ("b1", "b2")]
+
+
 def test_register_path(spark, db, zone):
     landing, _ = db
     path = zone("reg.csv", "a,b,c,d,e\n1,2.5,true,x,2024-01-01\n5000000000,1,false,y,2024-01-02")
