@@ -50,7 +50,8 @@ def catalog_name(name: str) -> str:
 
 def decoded(path: Column) -> Column:
     """A path or file name as written on disk; Spark's file metadata is percent-encoded."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), plain).otherwise(path)
 
 
 def key_matches(path: Column, prefix: str = "", suffix: str = ".csv") -> Column:

@@ -41,6 +41,15 @@ def _step(name: str, status: str, message: str | Column = "", **meta: Column) ->
     )
 
 
+OUTCOMES = "tbl string, action string, target_exists boolean, sync_error string, format_error string"
+
+
+def without_errors(decisions: DataFrame) -> DataFrame:
+    """Outcomes of decisions that were all carried out."""
+    errors = [F.lit(None).cast("string").alias(c) for c in ("sync_error", "format_error")]
+    return decisions.select("tbl", "action", "target_exists", *errors)
+
+
 def audit_steps(
     outcomes: DataFrame, run_id: str, run_ts: dt.datetime, landing_db: str, location: str = ""
 ) -> DataFrame:

@@ -241,7 +241,8 @@ def sync_files(
     """Ingest every supported file below ``source``.
 
     Files with the same base name and format are read together as one table; a
-    folder of part files named like a file counts as that file. A group that fails gets a FAILED status and does not stop the others. Returns
+    folder of part files named like a file counts as that file. A group that
+    fails gets a FAILED status and does not stop the others. Returns
     source_file, table_name, status, row_count, message; with ``log_db`` the
     same goes to the batch log table.
 

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from landfall.functions.names import join_location
-from landfall.operators.audit import append_audit, audit_steps, failure_text, process_id
+from landfall.operators.audit import OUTCOMES, append_audit, audit_steps, failure_text, process_id
 from landfall.operators.clean import INGEST_COLUMNS
 from landfall.operators.publish import write_files
 from landfall.operators.schema import (
@@ -80,7 +80,8 @@ def sync_tables(
         if action != MISSING:
             try:
                 if action != NO_OP:
-                    _bring_in_step(spark, landing_db, curated_db, table, action, target, extra_columns if action == CREATE else extra)
+                    stamps = extra_columns if action == CREATE else extra
+                    _bring_in_step(spark, landing_db, curated_db, table, action, target, stamps)
             except Exception as error:
                 sync_error = failure_text(error)
         if action != MISSING and sync_error is None:
@@ -90,10 +91,7 @@ def sync_tables(
             except Exception as error:
                 format_error = failure_text(error)
         outcomes.append((table, action, row["target_exists"], sync_error, format_error))
-    outcome_rows = spark.createDataFrame(
-        outcomes, "tbl string, action string, target_exists boolean, sync_error string, format_error string"
-    )
-    steps = audit_steps(outcome_rows, run_id, run_ts, landing_db, target)
+    steps = audit_steps(spark.createDataFrame(outcomes, OUTCOMES), run_id, run_ts, landing_db, target)
     if audit_db:
         ensure_database(spark, audit_db)
         append_audit(spark, steps, audit_db, audit_table, audit_location or join_location(target, audit_table))

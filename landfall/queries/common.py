@@ -64,7 +64,9 @@ def land_json_arrays(spark: SparkSession, df: DataFrame, file_name: str, key: st
     )
     first = F.row_number().over(Window.partitionBy("doc").orderBy("k")) == 1
     lines = numbered.select("doc", "k", F.lit(1).alias("part"), F.concat(F.when(first, "[").otherwise(","), "text").alias("line"))
-    ends = numbered.select("doc").distinct().select("doc", F.lit(None).alias("k"), F.lit(2).alias("part"), F.lit("]").alias("line"))
+    ends = numbered.select("doc").distinct().select(
+        "doc", F.lit(None).alias("k"), F.lit(2).alias("part"), F.lit("]").alias("line")
+    )
     (
         lines.unionByName(ends)
         .repartition("doc")

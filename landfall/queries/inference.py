@@ -6,6 +6,7 @@ from landfall.functions.types import infer_type
 from landfall.operators.infer import (
     infer_frame_types, infer_groups, infer_json, infer_many, infer_spark_types, infer_table, infer_xml,
 )
+from landfall.operators.schema import as_inventory, tidy
 from landfall.queries.common import (
     TABLES, as_text, inventory_sql, label_sql, land, land_json_arrays, load, load_all, rank_sql, types_sql,
 )
@@ -173,10 +174,9 @@ def header_only_schema(spark, sf):
 
 def column_inventory(spark, sf):
     """The columns of every table, names and types tidied."""
-    from landfall.operators.schema import as_inventory, tidy
-
     columns = infer_many(load_all(spark, sf, TABLES))
-    return as_inventory(columns, "landing").select("db", "tbl", "version", "pos", tidy("name").alias("name"), tidy("type").alias("type"))
+    tidied = [tidy(c).alias(c) for c in ("name", "type")]
+    return as_inventory(columns, "landing").select("db", "tbl", "version", "pos", *tidied)
 
 
 QUERIES = {

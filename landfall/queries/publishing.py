@@ -162,11 +162,11 @@ def upsert_table_schema(spark, sf):
     upsert_table(spark, db, "supplier", path, df.schema)
     upsert_table(spark, db, "supplier", path, T.StructType([*df.schema, T.StructField("record_status", T.StringType())]))
     extended = read_table(spark, db, "supplier").agg(F.count("*").alias("n"), F.count("record_status").alias("stamped"))
-    counts = extended.first()
+    counts = [F.lit(v).cast("bigint") for v in extended.first()]
     changed = T.StructType([T.StructField(f.name, T.StringType() if f.name == "s_suppkey" else f.dataType) for f in df.schema])
     upsert_table(spark, db, "supplier", path, changed)
     return read_table(spark, db, "supplier").select(
-        "*", F.lit(counts["n"]).cast("bigint").alias("rows_before"), F.lit(counts["stamped"]).cast("bigint").alias("stamped_before")
+        "*", counts[0].alias("rows_before"), counts[1].alias("stamped_before")
     )
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.functions.types import parse_value
-from landfall.operators.audit import append_audit, audit_steps, batch_log, run_summary
+from landfall.operators.audit import OUTCOMES, append_audit, audit_steps, batch_log, run_summary, without_errors
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, normalize_names
 from landfall.operators.infer import collect_columns, infer_table
 from landfall.operators.publish import replace_table, write_files
@@ -174,7 +174,7 @@ def audit_append(spark, sf):
     db, place = new_db(spark, "audit"), fresh_folder(spark, "audit")
     columns = collect_columns(infer_table(load(spark, sf, "lineitem")))
     rows = [("lineitem", "CREATE_FDP", False, None, None), *[(c.name, "NO_OP", True, None, None) for c in columns]]
-    outcomes = spark.createDataFrame(rows, "tbl string, action string, target_exists boolean, sync_error string, format_error string")
+    outcomes = spark.createDataFrame(rows, OUTCOMES)
     for run in ("run-1", "run-2"):
         append_audit(spark, audit_steps(outcomes, run, RUN_TS, "landing", "zone"), db, "audit", place)
     return read_table(spark, db, "audit").groupBy("process_id", "step", "status").agg(F.count("*").alias("n"))
@@ -192,12 +192,12 @@ def land_clean_publish(spark, sf):
     replace_table(spark, stamped, db, "customer", place)
 
     published = read_table(spark, db, "customer")
-    before = spark.createDataFrame([("customer", i + 1, *c) for i, c in enumerate(columns)], "tbl string, pos int, name string, type string, storage string")
+    rows = [("customer", i + 1, c.name, c.type) for i, c in enumerate(columns)]
+    before = spark.createDataFrame(rows, "tbl string, pos int, name string, type string")
     after = infer_table(published).withColumn("tbl", F.lit("customer"))
     pairs = compare_zones(as_inventory(before, "landing"), as_inventory(after, "curated"), ignore=INGEST_COLUMNS)
     decisions = decide(pairs.withColumn("evolved", F.lit(False)))
-    outcomes = decisions.select("tbl", "action", "target_exists", F.lit(None).cast("string").alias("sync_error"), F.lit(None).cast("string").alias("format_error"))
-    append_audit(spark, audit_steps(outcomes, "run-1", RUN_TS, db, place), db, "audit", fresh_folder(spark, "audit"))
+    append_audit(spark, audit_steps(without_errors(decisions), "run-1", RUN_TS, db, place), db, "audit", fresh_folder(spark, "audit"))
     step = read_table(spark, db, "audit").filter("step LIKE 'SCHEMA%'").first()["step"]
     return published.withColumn("audit_step", F.lit(step))
 
@@ -232,7 +232,9 @@ ORACLE = {
         for f, t in _DELIVERIES
     ) + f" UNION ALL SELECT 'broken.json', 'broken', 'FAILED: {_UNREADABLE}', NULL, '{_UNREADABLE}'",
     "ingest_zone_rows": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
-    "ingest_zone_landing": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation",
+    "ingest_zone_landing": """
+        SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation
+    """,
     "ingest_with_detection": f"""
         SELECT * EXCLUDE (l_shipdate) REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber), {_STAMPS.format('', 'nightly')}
         FROM lineitem

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from landfall.operators.audit import audit_steps
+from landfall.operators.audit import audit_steps, without_errors
 from landfall.operators.clean import INGEST_COLUMNS
 from landfall.operators.infer import infer_groups, infer_many
 from landfall.operators.schema import (
-    as_inventory, compare_zones, current_evolution, decide, diff, evolution, missing_columns, report, signatures,
+    INVENTORY, as_inventory, compare_zones, current_evolution, decide, diff, evolution, missing_columns, report, signatures,
     tolerant_match, versioned_targets,
 )
 from landfall.queries.common import RUN_TS, TABLES, inventory_sql, label_sql, load, load_all, rank_sql, types_sql
@@ -84,8 +84,8 @@ def _zones(spark, sf):
     curated = as_inventory(
         columns.filter(~tbl.isin("part", "nation") & ~((tbl == "orders") & (name == "o_orderpriority"))), "curated"
     )
-    stamps = spark.createDataFrame([("events", c, "string") for c in INGEST_COLUMNS], "tbl string, name string, type string")
-    stamps = stamps.select(F.lit("curated").alias("db"), "tbl", F.lit(1).cast("bigint").alias("version"), F.lit(99).alias("pos"), "name", "type")
+    rows = [("curated", "events", 1, 99, c, "string") for c in INGEST_COLUMNS]
+    stamps = spark.createDataFrame(rows, INVENTORY)
     return landing, earlier, curated.unionByName(stamps)
 
 
@@ -114,11 +114,7 @@ def schema_report(spark, sf):
 def audit_step_rows(spark, sf):
     """The audit rows of a table sync."""
     decisions = _decisions(spark, sf, evolving=False)[1]
-    outcomes = decisions.select(
-        "tbl", "action", "target_exists", F.lit(None).cast("string").alias("sync_error"),
-        F.lit(None).cast("string").alias("format_error"),
-    )
-    return audit_steps(outcomes, "run-1", RUN_TS, "landing", "zone/curated")
+    return audit_steps(without_errors(decisions), "run-1", RUN_TS, "landing", "zone/curated")
 
 
 def versioned_target(spark, sf):

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from landfall.functions.names import FORMATS, base_name, decoded, unit_path
 from landfall.operators.clean import fill_blank_names, source_name
+from landfall.operators.infer import collect_columns, infer_json, infer_xml, storage_schema
 from landfall.sources.files import first_file, list_keys
 from landfall.sources.records import is_json_document, json_documents, xml_records, xml_tags
 from landfall.workspace import written
@@ -32,8 +33,6 @@ def read_json(spark: SparkSession, path, schema=None, document: bool | None = No
         return (reader.schema(schema) if schema is not None else reader).json(path)
     records = json_documents(spark, path, **options)
     if schema is None:
-        from landfall.operators.infer import collect_columns, infer_json, storage_schema
-
         records = written(spark, records, "json-objects")
         schema = storage_schema(collect_columns(infer_json(records)))
     return parse_json(records, schema)
@@ -87,8 +86,6 @@ def read_xml(
         return df.select("*", source_name(df).alias(source_column)) if source_column else df
     records = xml_records(spark, path, row_tag, **options)
     if schema is None:
-        from landfall.operators.infer import collect_columns, infer_xml, storage_schema
-
         schema = storage_schema(collect_columns(infer_xml(records)))
     return parse_xml(records, schema, row_tag, source_column)
 
