@@ -1,5 +1,6 @@
 """Names: columns, tables, files and locations."""
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, functions as F
@@ -67,9 +68,9 @@ def parent_location(path: Column) -> Column:
     return F.regexp_replace(path, "[^/]+$", "")
 
 
-def versioned_name(table: Column, run_ts: Column) -> Column:
-    """Name of the side table that takes rows whose schema does not fit."""
-    return F.concat(table, F.lit("__v"), F.date_format(run_ts, "yyyyMMdd_HHmmss"))
+def version_suffix(run_ts: dt.datetime) -> str:
+    """Ends the name of the side table that takes rows whose schema does not fit."""
+    return f"__v{run_ts:%Y%m%d_%H%M%S}"
 
 
 def join_location(base: str, *parts: str) -> str:

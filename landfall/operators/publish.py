@@ -5,8 +5,10 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from landfall.functions.names import join_location
+from landfall.operators.infer import collect_columns, infer_xml, text_schema
 from landfall.operators.tables import ensure_database, qualified, table_exists, upsert_table
-from landfall.sources.readers import read_landing
+from landfall.sources.readers import read_landing, read_xml
+from landfall.sources.records import xml_records, xml_tags
 
 # A requested file count is raised until no file holds more rows than this.
 ROWS_PER_FILE = 5_000_000
@@ -115,7 +117,15 @@ def write_catalog_files(
 
 
 def copy_files(spark: SparkSession, source: str, target: str, fmt: str, **options) -> int:
-    """Publish files again in the format they came in, values unchanged."""
-    df = read_landing(spark, source, fmt, **options)
-    extra = {k: v for k, v in options.items() if k in ("rowTag", "rootTag")}
-    return write_files(df, target, fmt, **extra)
+    """Publish files again in the format they came in, values unchanged.
+
+    JSON comes out as lines and XML under its own root and record tags.
+    """
+    if fmt != "xml":
+        return write_files(read_landing(spark, source, fmt, **options), target, fmt)
+    root, tag = xml_tags(spark, source, **options)
+    if tag is None:
+        raise ValueError("XML has no records.")
+    columns = collect_columns(infer_xml(xml_records(spark, source, tag, **options)))
+    df = read_xml(spark, source, tag, text_schema(columns), **options)
+    return write_files(df, target, fmt, rootTag=root, rowTag=tag)

@@ -8,7 +8,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from landfall.functions.names import versioned_name
+from landfall.functions.names import version_suffix
 from landfall.functions.types import catalog_type
 from landfall.operators.clean import INGEST_COLUMNS
 from landfall.operators.tables import list_tables
@@ -170,5 +170,5 @@ def report(decisions: DataFrame, landing: DataFrame, db: str, run_ts: dt.datetim
 
 def versioned_targets(matches: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Target name per table: its own where the schema fits, else a versioned one."""
-    name = versioned_name(F.col("tbl"), F.lit(run_ts))
+    name = F.concat("tbl", F.lit(version_suffix(run_ts)))
     return matches.select("tbl", F.when(F.col("matches"), F.col("tbl")).otherwise(name).alias("target"))

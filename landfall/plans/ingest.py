@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import catalog_name, glob_for, join_location, versioned_name
+from landfall.functions.names import catalog_name, glob_for, join_location, version_suffix
 from landfall.functions.types import parse_value
 from landfall.operators.audit import batch_log, failure_text, process_id
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
@@ -146,24 +146,31 @@ def _storage_values(landed: Landed) -> list[Column]:
 
 
 def _target_table(
-    spark: SparkSession, db: str, table: str, columns: list[ColumnSpec], on_mismatch: str, run_ts: dt.datetime
+    spark: SparkSession,
+    db: str,
+    table: str,
+    columns: list[ColumnSpec],
+    source: str,
+    on_mismatch: str,
+    run_ts: dt.datetime,
 ) -> tuple[str, list[str] | None]:
     """Table to publish to and, if it exists and fits, its columns.
 
-    An existing table fits when it has every incoming column, whatever the
-    types. If it does not, a versioned table takes the rows, or the ingest of
+    An existing table fits when it has the same file format and every incoming
+    column, whatever the types. If it does not, a versioned table takes the rows, or the ingest of
     the file fails with ``on_mismatch="fail"``.
     """
     if not table_exists(spark, db, table):
         return table, None
     have = spark.table(qualified(db, table)).columns
     missing = {c.name.strip().lower() for c in columns} - {c.strip().lower() for c in have}
-    if not missing:
+    kind = table_source(spark, db, table)[0]
+    if not missing and kind == source:
         return table, have
     if on_mismatch == "fail":
-        raise ValueError(f"columns missing from {db}.{table}: {sorted(missing)}")
-    named = spark.range(1).select(versioned_name(F.lit(table), F.lit(run_ts)).alias("n"))
-    return named.first()["n"], None
+        reason = f"columns missing: {sorted(missing)}" if missing else f"{kind} files, not {source}"
+        raise ValueError(f"{db}.{table} does not fit: {reason}")
+    return table + version_suffix(run_ts), None
 
 
 def sync_group(
@@ -195,28 +202,28 @@ def sync_group(
         **(landing_options or options), **landed.options,
     )
 
-    table, existing = _target_table(spark, curated_db, group.table, landed.columns, on_mismatch, run_ts)
+    source = "text" if landed.source == "text" and not ingest_columns else "csv"
+    table, existing = _target_table(spark, curated_db, group.table, landed.columns, source, on_mismatch, run_ts)
     df = landed.data
     if ingest_columns:
-        source = F.col(landed.source_column) if landed.source_column else None
-        df = add_ingest_columns(df, run_ts, job, source=source)
+        origin = F.col(landed.source_column) if landed.source_column else None
+        df = add_ingest_columns(df, run_ts, job, source=origin)
     stamps = [F.col(c) for c in INGEST_COLUMNS] if ingest_columns else []
     df = df.select(*_storage_values(landed), *stamps)
-    text = group.fmt == "text" and not ingest_columns
     if existing:
         present = {c.strip().lower() for c in df.columns}
         df = df.select(
             *[F.col(f"`{c}`") if c.strip().lower() in present else F.lit(None).cast("string").alias(c) for c in existing]
         )
     base = join_location(target, table)
-    rows = write_files(df, join_location(base, target_part) if target_part else base, "text" if text else "csv",
-                       max_files=max_files)
+    place = join_location(base, target_part) if target_part else base
+    rows = write_files(df, place, source, max_files=max_files)
     if existing:
         if not same_location(table_source(spark, curated_db, table)[1], base):
             set_location(spark, curated_db, table, base)
     else:
         extra = {"recursiveFileLookup": "true"} if target_part else {}
-        ensure_table(spark, curated_db, table, base, df.schema, "text" if text else "csv", **extra)
+        ensure_table(spark, curated_db, table, base, df.schema, source, **extra)
     for name in (qualified(landing_db, group.table), qualified(curated_db, table)):
         spark.catalog.refreshTable(name)
     return table, rows

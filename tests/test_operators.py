@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from landfall import workspace
 from landfall.functions.names import (
-    file_format, glob_for, key_matches, parent_location, table_name, target_location, versioned_name,
+    file_format, glob_for, key_matches, parent_location, table_name, target_location, version_suffix,
 )
 from landfall.operators import audit, clean, publish, schema, tables
 from landfall.sources import files, readers
@@ -37,7 +37,7 @@ def test_names(spark):
     assert one(spark, target_location(lit("s/base//"), lit("t"))) == "s/base/t/"
     assert one(spark, parent_location(lit("s/base/f.csv"))) == "s/base/"
     assert one(spark, parent_location(lit("s/base/"))) == "s/base/"
-    assert one(spark, versioned_name(lit("t"), F.lit(TS))) == "t__v20251113_181953"
+    assert version_suffix(TS) == "__v20251113_181953"
     assert one(spark, key_matches(lit("in/x.csv"), "in/", ".csv")) is True
     assert one(spark, key_matches(lit("in/x.CSV"), "in/", ".csv")) is False
     assert glob_for("a[1]", "csv") == r"a\[1\].[cC][sS][vV]"
@@ -265,6 +265,14 @@ def test_replace_and_append_table(spark, db, tmp_path):
     assert spark.table(f"{curated}.t").count() == 5
 
 
+@pytest.mark.parametrize("fmt", ["json", "xml"])
+def test_copy_records(spark, zone, tmp_path, fmt):
+    target = str(tmp_path / "copy")
+    assert publish.copy_files(spark, zone(f"c.{fmt}", customers(fmt)), target, fmt) == 3
+    back = readers.read_landing(spark, target, fmt)
+    assert set(back.columns) == set(CUSTOMER_COLUMNS) and back.filter("age = 45").count() == 1
+
+
 def test_copy_files(spark, zone, tmp_path):
     target = str(tmp_path / "copy")
     assert publish.copy_files(spark, zone("c.csv", customers("csv")), target, "csv") == 3

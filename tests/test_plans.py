@@ -107,6 +107,16 @@ def test_ingest_again_versions_a_table_that_does_not_fit(spark, db, zone, tmp_pa
     assert [tuple(r) for r in spark.table(f"{curated}.a").collect()] == [(None, "5")]
 
 
+def test_ingest_keeps_file_formats_apart(spark, db, zone, tmp_path):
+    landing, curated = db
+    zone("a.csv", "line\nx")
+    landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, run_ts=TS)
+    zone("b/a.txt", "y")
+    got = statuses(landfall.sync_files(spark, zone.path + "/b", str(tmp_path / "c"), landing, curated, run_ts=TS))
+    assert got["a.txt"] == ("a__v20251113_181953", "SUCCEEDED", 1)
+    assert [r["line"] for r in spark.table(f"{curated}.a").collect()] == ["x"]
+
+
 def test_ingest_table_names(spark, db, zone, tmp_path):
     landing, curated = db
     zone("s.csv", "a\n1")
@@ -345,6 +355,13 @@ def test_arrival_sees_each_file_once(spark, db, zone, tmp_path):
     assert len(run()) == 3
 
 
+def test_a_repeated_batch_changes_nothing(spark, db, zone, tmp_path):
+    zone("a.csv", "v\n1\n2")
+    for checkpoint in ("one", "two"):
+        landfall.stream_files(spark, zone.path, str(tmp_path / "c"), *db, str(tmp_path / checkpoint)).awaitTermination()
+        assert spark.table(f"{db[1]}.a").count() == 2
+
+
 def test_arrival_isolates_failures(spark, db, zone, tmp_path):
     landing, curated = db
     zone("bad.csv", "\n")
