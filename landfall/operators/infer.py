@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from landfall.functions.types import (
-    STRING, catalog_type, frame_type, rank_label, rank_storage, text_rank, value_rank,
+    STRING, catalog_type, frame_type, parse_value, rank_label, rank_storage, text_rank, value_rank,
 )
 from landfall.sources.records import is_json_value, line_object
 
@@ -216,6 +216,15 @@ def collect_columns(columns: DataFrame) -> list[ColumnSpec]:
     return [ColumnSpec(*r) for r in rows]
 
 
+def storage_values(df: DataFrame, columns: list[ColumnSpec]) -> list[Column]:
+    """Inferred columns in their order and storage types; only text needs parsing."""
+    values = []
+    for c in columns:
+        value, is_text = F.col(f"`{c.name}`"), isinstance(df.schema[c.name].dataType, T.StringType)
+        values.append((parse_value(value, c.storage) if is_text else value.cast(c.storage)).alias(c.name))
+    return values
+
+
 def storage_schema(columns: list[ColumnSpec]) -> T.StructType:
     """Spark schema of inferred columns, in their order."""
     return T.StructType([T.StructField(c.name, _data_type(c.storage)) for c in columns])

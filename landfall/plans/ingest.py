@@ -4,14 +4,13 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.functions.names import catalog_name, glob_for, join_location, version_suffix
-from landfall.functions.types import parse_value
 from landfall.operators.audit import batch_log, failure_text, process_id
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
 from landfall.operators.infer import (
-    ColumnSpec, collect_columns, infer_json, infer_table, infer_xml, storage_schema, text_schema,
+    ColumnSpec, collect_columns, infer_json, infer_table, infer_xml, storage_schema, storage_values, text_schema,
 )
 from landfall.operators.publish import append_table, write_files
 from landfall.operators.tables import (
@@ -140,11 +139,6 @@ def land_files(
     raise ValueError(f"unsupported format {fmt}")
 
 
-def _storage_values(landed: Landed) -> list[Column]:
-    """Columns in registered order, numbers in one plain spelling."""
-    return [parse_value(F.col(f"`{c.name}`"), c.storage).alias(c.name) for c in landed.columns]
-
-
 def _target_table(
     spark: SparkSession,
     db: str,
@@ -209,7 +203,7 @@ def sync_group(
         origin = F.col(landed.source_column) if landed.source_column else None
         df = add_ingest_columns(df, run_ts, job, source=origin)
     stamps = [F.col(c) for c in INGEST_COLUMNS] if ingest_columns else []
-    df = df.select(*_storage_values(landed), *stamps)
+    df = df.select(*storage_values(landed.data, landed.columns), *stamps)
     if existing:
         present = {c.strip().lower() for c in df.columns}
         df = df.select(

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from landfall.operators.clean import (
     add_ingest_columns, drop_repeated_header, fill_blank_names, normalize_names,
 )
-from landfall.operators.infer import collect_columns, infer_table
-from landfall.functions.types import parse_value
+from landfall.operators.infer import collect_columns, infer_table, storage_values
 from landfall.queries.common import RUN_TS, TABLES, as_text, land, load
 from landfall.sources.readers import read_csv, read_text
 
@@ -73,7 +72,7 @@ def parse_inferred_values(spark, sf):
         F.when(F.col("l_returnflag") == "A", "-inf").otherwise(F.lit("1_0.5")).alias("spelled"),
     )
     columns = collect_columns(infer_table(df))
-    return df.select(*[parse_value(F.col(c.name), c.storage).alias(c.name) for c in columns])
+    return df.select(*storage_values(df, columns))
 
 
 QUERIES = {

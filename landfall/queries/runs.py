@@ -4,10 +4,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from landfall.functions.types import parse_value
 from landfall.operators.audit import OUTCOMES, append_audit, audit_steps, batch_log, run_summary, without_errors
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, normalize_names
-from landfall.operators.infer import collect_columns, infer_table
+from landfall.operators.infer import collect_columns, infer_table, storage_values
 from landfall.operators.publish import replace_table, write_files
 from landfall.operators.schema import as_inventory, catalog_inventory, compare_zones, decide
 from landfall.operators.tables import table_source, upsert_table
@@ -187,7 +186,7 @@ def land_clean_publish(spark, sf):
     landed = normalize_names(read_csv(spark, land(spark, messy, "customer.csv")))
     inferred = infer_table(landed)
     columns = collect_columns(inferred)
-    typed = landed.select(*[parse_value(F.col(c.name), c.storage).alias(c.name) for c in columns])
+    typed = landed.select(*storage_values(landed, columns))
     stamped = add_ingest_columns(typed, RUN_TS, "land_clean_publish", source="customer.csv")
     replace_table(spark, stamped, db, "customer", place)
 
