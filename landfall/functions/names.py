@@ -3,6 +3,7 @@
 import datetime as dt
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, functions as F
 
 # File extension -> format.
@@ -81,8 +82,22 @@ def _any_case(text: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.lower() != c.upper() else c for c in text)
 
 
+def literal_path(path: str) -> str:
+    """A path that readers take as it is and not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def glob_for(table: str, fmt: str, any_case: bool = False) -> str:
     """Glob that matches ``<table>.<ext>`` with the extension, or all of it, in any case."""
     ext = next(e for e, f in FORMATS.items() if f == fmt)
-    stem = re.sub(r"([\\*?\[\]{}])", r"\\\1", table)
+    stem = literal_path(table)
     return (_any_case(stem) if any_case else stem) + "." + _any_case(ext)
+
+
+def failure_text(error: Exception) -> str:
+    """One line saying what went wrong."""
+    if isinstance(error, PySparkException):
+        raised = (error.getMessageParameters() or {}).get("errorMessage")
+        if raised:
+            return raised
+    return (str(error) or type(error).__name__).split("\n")[0]

@@ -4,11 +4,10 @@ import datetime as dt
 import logging
 import uuid
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.operators.publish import append_table
-from landfall.operators.schema import CREATE, MISSING, NO_OP
+from landfall.operators.schema import CREATE, MISSING, NO_OP, UNREADABLE
 
 log = logging.getLogger(__name__)
 
@@ -19,15 +18,6 @@ BATCH_LOG_COLUMNS = [
 ]
 
 
-def failure_text(error: Exception) -> str:
-    """One line saying what went wrong."""
-    if isinstance(error, PySparkException):
-        raised = (error.getMessageParameters() or {}).get("errorMessage")
-        if raised:
-            return raised
-    return (str(error) or type(error).__name__).split("\n")[0]
-
-
 def process_id(run_ts: dt.datetime) -> str:
     """One id per run."""
     return f"proc_{run_ts:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
@@ -72,6 +62,7 @@ def audit_steps(
     marked = _step("ICEBERG_CREATE", "COMPLETED", "Iceberg table created/updated")
     steps = (
         F.when(F.col("action") == MISSING, F.array(start, _step("PROCESS", "FAILED", not_found)))
+        .when(F.col("action") == UNREADABLE, F.array(start, _step("PROCESS", "FAILED", F.col("sync_error"))))
         .when(F.col("sync_error").isNotNull(), F.array(start, check, synced))
         .when(
             F.col("format_error").isNotNull(),

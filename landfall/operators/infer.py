@@ -21,6 +21,9 @@ class ColumnSpec(NamedTuple):
     storage: str = "string"
 
 
+COLUMN_ROWS = "pos int, name string, type string, storage string"
+
+
 def _column_rows(names: list[str], ranks: list[Column], widen: bool) -> Column:
     """One array element per column, ready for ``inline``."""
     return F.array(
@@ -84,20 +87,15 @@ def infer_many(tables: Mapping[str, DataFrame], **options) -> DataFrame:
     return result
 
 
-def _infer_pairs(
-    pairs: DataFrame, widen: bool, unreadable: str | None = None, first_record_only: bool = False
-) -> DataFrame:
+def _infer_pairs(pairs: DataFrame, widen: bool, unreadable: str | None = None) -> DataFrame:
     """Fold (file, block, seq, idx, key, rank, bad) rows into ordered columns.
 
     The first fold is keyed by key and split, with plain integer buffers, so it
     hash-aggregates on the map side; what remains has one row per key and split.
     """
-    row = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1))
-    place = F.shiftleft(row, 20) + F.least(F.col("idx"), F.lit((1 << 20) - 1))
-    if first_record_only:
-        firsts = pairs.groupBy("file", "block").agg(F.min("seq").alias("seq"))
-        first = firsts.orderBy("file", "block").limit(1)
-        pairs = pairs.join(F.broadcast(first), ["file", "block", "seq"], "left_semi")
+    # 33 bits of row number, made signed, and 31 of position fill one integer.
+    row = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1)) - F.lit(1 << 32)
+    place = F.shiftleft(row, 31) + F.col("idx")
     by_split = pairs.groupBy("key", "file", "block").agg(
         F.max("rank").alias("rank"), F.min(place).alias("place"), F.sum("bad").alias("bad")
     )
@@ -158,31 +156,11 @@ def infer_json(
     return _infer_pairs(pairs, widen, unreadable)
 
 
-def xml_children(record: Column) -> Column:
-    """(tag, own text) of each child element of a record text, in order."""
-    inner = F.regexp_extract(record, r"(?s)^<[^>]*>(.*)</[^>]*>$", 1)
-    child = F.lit(r"(?s)<([^\s<>/!?]+)(?:\s[^>]*?)?(?:/>|>(.*?)</\1\s*>)")
-    return F.arrays_zip(
-        F.regexp_extract_all(inner, child, 1).alias("tag"),
-        F.transform(
-            F.regexp_extract_all(inner, child, 2), lambda t: F.regexp_extract(t, "^[^<]*", 0)
-        ).alias("text"),
-    )
-
-
-def infer_xml(
-    records: DataFrame, first_record_only: bool = False, empty_as: str = "string", widen: bool = False
-) -> DataFrame:
-    """Columns of XML record texts: child tags in order of first appearance.
-
-    A repeated tag merges its types; only an element's own text counts.
-    """
-    pairs = records.select("file", "block", "seq", F.posexplode(xml_children(F.col("value"))).alias("idx", "c"))
-    pairs = pairs.select(
-        "file", "block", "seq", "idx", F.lit(0).alias("bad"),
-        F.col("c.tag").alias("key"), text_rank(F.col("c.text"), empty_as).alias("rank"),
-    )
-    return _infer_pairs(pairs, widen, first_record_only=first_record_only)
+def infer_present(df: DataFrame, empty_as: str = "string", widen: bool = False) -> DataFrame:
+    """Column types of text columns by their non-null values; a column without any is a string."""
+    ranks = [F.max(F.when(F.col(f"`{c}`").isNotNull(), text_rank(F.col(f"`{c}`"), empty_as))).alias(f"_r{i}") for i, c in enumerate(df.columns)]
+    rows = _column_rows(df.columns, [F.col(f"_r{i}") for i in range(len(df.columns))], widen)
+    return df.agg(*ranks).select(F.inline(rows)) if df.columns else df.sparkSession.createDataFrame([], COLUMN_ROWS)
 
 
 def infer_spark_types(df: DataFrame, legacy: bool = False) -> list[ColumnSpec]:

@@ -1,47 +1,41 @@
 """Sinks: files and tables. Row counts come from the write itself."""
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from landfall.functions.names import join_location
-from landfall.operators.infer import collect_columns, infer_xml, text_schema
-from landfall.operators.tables import ensure_database, qualified, table_exists, upsert_table
-from landfall.sources.readers import read_landing, read_xml
-from landfall.sources.records import xml_records, xml_tags
-
-# A requested file count is raised until no file holds more rows than this.
-ROWS_PER_FILE = 5_000_000
+from landfall.operators.tables import ensure_database, qualified, table_exists, table_source, upsert_table
+from landfall.sources.readers import infer_xml_columns, read_landing, read_xml
+from landfall.sources.records import xml_tags
 
 # One timestamp form that keeps microseconds through text.
 TIMESTAMPS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Values keep their blanks, quotes and line breaks through a delimited file ...
+EXACT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 WRITE_OPTIONS = {
-    "csv": {"header": True, **TIMESTAMPS},
-    "tsv": {"header": True, "sep": "\t", **TIMESTAMPS},
+    "csv": {"header": True, **EXACT, **TIMESTAMPS},
+    "tsv": {"header": True, "sep": "\t", **EXACT, **TIMESTAMPS},
     "json": {"ignoreNullFields": False, **TIMESTAMPS},
     "xml": {"rootTag": "records", "rowTag": "record", **TIMESTAMPS},
 }
 
+# ... if it is read with these. A quoted value may span lines, so a file is one task;
+# the writers are parallel and keep files small.
+# Null is a bare empty field and an empty text a quoted one; a null mark that no text equals keeps them apart.
+READ_BACK = {"csv": {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\uffff"}}
+READ_BACK["tsv"] = {"sep": "\t", **READ_BACK["csv"]}
+
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation(f"rows-{uuid.uuid4().hex}")
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def limit_files(df: DataFrame, max_files: int) -> DataFrame:
-    """Gather small output into few files.
-
-    The count is measured first: more rows than ``ROWS_PER_FILE`` each get more
-    files, so no single task ever carries a large table.
-    """
-    rows = df.count()
-    files = max(max_files, -(-rows // ROWS_PER_FILE))
-    return df.repartition(files) if files > 1 else df.coalesce(1)
-
-
 def write_files(
     df: DataFrame,
     path: str,
@@ -49,14 +43,19 @@ def write_files(
     mode: str = "overwrite",
     max_files: int | None = None,
     partition_by: list[str] | None = None,
+    max_records_per_file: int | None = None,
     **options,
 ) -> int:
     """Write files in csv, tsv, json, text, xml or parquet and return the row count.
 
-    Writers stay parallel unless ``max_files`` asks for few files.
+    Writers stay parallel unless ``max_files`` asks for that many tasks at the
+    end; what comes before them stays parallel. ``max_records_per_file`` makes
+    a task start another file after so many rows.
     """
     if max_files is not None:
-        df = limit_files(df, max_files)
+        df = df.repartition(max_files)
+    if max_records_per_file is not None:
+        options = {**options, "maxRecordsPerFile": max_records_per_file}
     df, seen = _observed(df)
     source = "csv" if fmt == "tsv" else fmt
     settings = {**WRITE_OPTIONS.get(fmt, {}), **options}
@@ -108,10 +107,23 @@ def append_table(spark: SparkSession, df: DataFrame, db: str, table: str, locati
 def write_catalog_files(
     spark: SparkSession, df: DataFrame, db: str, table: str, location: str, fmt: str = "csv", mode: str = "append"
 ) -> int:
-    """Write files and create or update the catalog table over them."""
+    """Write files and create or update the catalog table over them.
+
+    Columns are matched by name: an append takes the order of the table and is
+    refused if the columns are not the same. An overwrite goes to a folder of
+    its own, to which the table moves once it is complete.
+    """
     ensure_database(spark, db)
+    if mode == "append" and table_exists(spark, db, table):
+        have = spark.table(qualified(db, table)).columns
+        if sorted(c.lower() for c in have) != sorted(c.lower() for c in df.columns):
+            raise ValueError(f"{db}.{table} has columns {have}, not {df.columns}")
+        df = df.select(*[f"`{c}`" for c in have])
+        location = table_source(spark, db, table)[1]
+    elif mode == "overwrite":
+        location = join_location(location, f"run-{uuid.uuid4().hex}")
     rows = write_files(df, location, fmt, mode)
-    upsert_table(spark, db, table, location, df.schema, fmt)
+    upsert_table(spark, db, table, location, df.schema, "csv" if fmt == "tsv" else fmt, **READ_BACK.get(fmt, {}))
     spark.catalog.refreshTable(qualified(db, table))
     return rows
 
@@ -122,10 +134,20 @@ def copy_files(spark: SparkSession, source: str, target: str, fmt: str, **option
     JSON comes out as lines and XML under its own root and record tags.
     """
     if fmt != "xml":
-        return write_files(read_landing(spark, source, fmt, **options), target, fmt)
+        exact = {k: v for k, v in READ_BACK.get(fmt, {}).items() if k not in ("header", "sep")}
+        return write_files(read_landing(spark, source, fmt, **{**exact, **options}), target, fmt)
     root, tag = xml_tags(spark, source, **options)
     if tag is None:
         raise ValueError("XML has no records.")
-    columns = collect_columns(infer_xml(xml_records(spark, source, tag, **options)))
-    df = read_xml(spark, source, tag, text_schema(columns), **options)
+    df = read_xml(spark, source, tag, infer_xml_columns(spark, source, tag, **options), **options)
     return write_files(df, target, fmt, rootTag=root, rowTag=tag)
+
+
+def unused_folders(spark: SparkSession, db: str, table: str, location: str) -> list[str]:
+    """Run folders below ``location`` that hold files but are not where the table lies; for a clean-up by the caller."""
+    live = table_source(spark, db, table)[1].rstrip("/")
+    base = location.rstrip("/") + "/"
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location).select("path")
+    below = F.regexp_extract(F.regexp_replace("path", "^file:/+", "/"), "^" + re.escape(re.sub("^file:/+", "/", base)) + "([^/]+)/", 1)
+    runs = paths.select(below.alias("run")).filter("run != ''").distinct().orderBy("run").collect()
+    return [join_location(location, r["run"]) for r in runs if not live.endswith("/" + r["run"])]

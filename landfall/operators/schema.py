@@ -5,11 +5,11 @@ All operators work on many tables in one plan.
 """
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from landfall.functions.names import version_suffix
-from landfall.functions.types import catalog_type
+from landfall.functions.names import failure_text, version_suffix
 from landfall.operators.clean import INGEST_COLUMNS
 from landfall.operators.tables import list_tables
 
@@ -19,6 +19,7 @@ INVENTORY = "db string, tbl string, version bigint, pos int, name string, type s
 SAME, ADDED, REMOVED, TYPE_CHANGED = "SAME", "ADDED", "REMOVED", "TYPE_CHANGED"
 UPDATE, CREATE, SYNC, NO_OP = "UPDATE_FDP", "CREATE_FDP", "SYNC_FDP_SCHEMA", "NO_OP"
 MISSING = "LANDING_MISSING"
+UNREADABLE = "UNREADABLE"
 
 
 def tidy(value: str) -> Column:
@@ -26,14 +27,30 @@ def tidy(value: str) -> Column:
     return F.lower(F.trim(F.coalesce(F.col(value), F.lit(""))))
 
 
+def read_inventory(
+    spark: SparkSession, db: str, prefix: str = "", version: int = 1, workers: int = 4
+) -> tuple[DataFrame, dict[str, str]]:
+    """Columns of every table of a database whose name starts with ``prefix``, with their exact types.
+
+    Tables that cannot be read are left out and returned with the reason.
+    """
+
+    def one(table: str) -> tuple[str, list[tuple], str | None]:
+        try:
+            fields = spark.table(f"`{db}`.`{table}`").schema
+        except Exception as error:  # one bad entry must not hide the others
+            return table, [], failure_text(error)
+        return table, [(db, table, version, i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], None
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        found = list(pool.map(one, list_tables(spark, db, prefix)))
+    rows = [row for _, columns, _ in found for row in columns]
+    return spark.createDataFrame(rows, INVENTORY), {t: reason for t, _, reason in found if reason is not None}
+
+
 def catalog_inventory(spark: SparkSession, db: str, prefix: str = "", version: int = 1) -> DataFrame:
-    """Columns of every table of a database whose name starts with ``prefix``."""
-    rows = [
-        (db, t, version, i + 1, f.name, catalog_type(f.dataType))
-        for t in list_tables(spark, db, prefix)
-        for i, f in enumerate(spark.table(f"`{db}`.`{t}`").schema)
-    ]
-    return spark.createDataFrame(rows, INVENTORY)
+    """The readable part of ``read_inventory``."""
+    return read_inventory(spark, db, prefix, version)[0]
 
 
 def as_inventory(columns: DataFrame, db: str, tbl: str | Column | None = None, version: int | Column = 1) -> DataFrame:
@@ -156,7 +173,7 @@ def report(decisions: DataFrame, landing: DataFrame, db: str, run_ts: dt.datetim
     )
     details = landing.groupBy("tbl").agg(F.to_json(listed).alias("Details"))
     return (
-        decisions.filter(F.col("action") != MISSING)
+        decisions.filter(~F.col("action").isin(MISSING, UNREADABLE))
         .join(details, "tbl")
         .select(
             F.col("tbl").alias("Table"),

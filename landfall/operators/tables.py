@@ -9,12 +9,17 @@ FORMAT_PROPERTY = "sync.table_format"
 OPTION_PREFIX = "sync.option."
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def qualified(db: str, table: str) -> str:
     return f"`{db}`.`{table}`"
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
 
 
@@ -62,14 +67,15 @@ def upsert_table(
         return "CREATED"
     old = spark.table(qualified(db, table)).schema
     kind, where = table_source(spark, db, table)
-    same_place = kind == source and same_location(where, location)
+    noted = table_properties(spark, db, table)
+    same_options = all(noted.get(OPTION_PREFIX + k) == str(v) for k, v in options.items())
+    same_place = kind == source and same_location(where, location) and same_options
     if same_place and _types(old) == _types(schema):
         return "UNCHANGED"
     if same_place and _types(schema)[: len(old)] == _types(old):
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema[len(old):])
         spark.sql(f"ALTER TABLE {qualified(db, table)} ADD COLUMNS ({added})")
         return "EXTENDED"
-    noted = table_properties(spark, db, table)
     properties = {k: v for k, v in noted.items() if not k.startswith(OPTION_PREFIX)}
     if kind == source:
         old_options = {k.removeprefix(OPTION_PREFIX): v for k, v in noted.items() if k not in properties}
@@ -113,16 +119,12 @@ def table_properties(spark: SparkSession, db: str, table: str) -> dict[str, str]
 def set_properties(spark: SparkSession, db: str, table: str, properties: dict[str, str]) -> None:
     """Add properties; those already there stay."""
     if properties:
-        quote = "'{}'".format
-        pairs = ", ".join(
-            f"{quote(k)} = {quote(v)}"
-            for k, v in ((str(k).replace("'", "\\'"), str(v).replace("'", "\\'")) for k, v in properties.items())
-        )
+        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {qualified(db, table)} SET TBLPROPERTIES ({pairs})")
 
 
 def set_location(spark: SparkSession, db: str, table: str, location: str) -> None:
-    spark.sql(f"ALTER TABLE {qualified(db, table)} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {qualified(db, table)} SET LOCATION {_text(location)}")
 
 
 def mark_table_format(
@@ -133,12 +135,20 @@ def mark_table_format(
     table_format: str = "iceberg",
     properties: dict[str, str] | None = None,
     source: str = "parquet",
-) -> None:
-    """Note a table format on an entry, adding to its properties and setting its location.
+    move: bool = False,
+) -> bool:
+    """Note a table format on an entry, adding to its properties. True if anything was to do.
 
-    A missing entry is created over the files at the location, with their columns.
+    An entry stays where its data lies; ``move`` points it to ``location``. A
+    missing entry is created over the files at the location, with their columns.
     """
-    if not ensure_table(spark, db, table, location, None, source):
-        if not same_location(table_source(spark, db, table)[1], location):
-            set_location(spark, db, table, location)
-    set_properties(spark, db, table, {FORMAT_PROPERTY: table_format, **(properties or {})})
+    changed = ensure_table(spark, db, table, location, None, source)
+    if move and not same_location(table_source(spark, db, table)[1], location):
+        set_location(spark, db, table, location)
+        changed = True
+    wanted = {FORMAT_PROPERTY: table_format, **(properties or {})}
+    have = table_properties(spark, db, table)
+    if any(have.get(k) != str(v) for k, v in wanted.items()):
+        set_properties(spark, db, table, wanted)
+        changed = True
+    return changed

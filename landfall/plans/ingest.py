@@ -1,24 +1,23 @@
 """Ingest a zone of mixed files: discover, infer, register, publish, summarise."""
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import catalog_name, glob_for, join_location, version_suffix
-from landfall.operators.audit import batch_log, failure_text, process_id
+from landfall.functions.names import catalog_name, failure_text, glob_for, join_location, literal_path, version_suffix
+from landfall.operators.audit import batch_log, process_id
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
 from landfall.operators.infer import (
-    ColumnSpec, collect_columns, infer_json, infer_table, infer_xml, storage_schema, storage_values, text_schema,
+    ColumnSpec, collect_columns, infer_json, infer_table, storage_schema, storage_values, text_schema,
 )
-from landfall.operators.publish import append_table, write_files
-from landfall.operators.tables import (
-    ensure_database, ensure_table, qualified, same_location, set_location, table_exists, table_source,
-)
-from landfall.sources.files import list_files
-from landfall.sources.readers import long_rows, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
-from landfall.sources.records import is_json_document, json_records, xml_records, xml_tags
+from landfall.operators.publish import READ_BACK, append_table, write_files
+from landfall.operators.tables import ensure_database, ensure_table, qualified, table_exists, table_source, upsert_table
+from landfall.sources.files import empty_files, list_files
+from landfall.sources.readers import infer_xml, long_rows, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
+from landfall.sources.records import json_forms, json_records, line_object, xml_tags
 from landfall.workspace import written
 
 STATUS = "source_file string, table_name string, status string, row_count bigint, message string"
@@ -27,6 +26,9 @@ EMPTY = "{} appears empty or unreadable."
 # Carries the name of the source file where rows are cut from record texts.
 SOURCE_COLUMN = "_source_file"
 
+# Groups of up to so many files are read by path, larger ones by a pattern; the rows are the same.
+PATHS_READ = 100
+
 # Marks a name delivered as several folders, or as folder and file.
 AMBIGUOUS = "?"
 
@@ -51,6 +53,8 @@ class Landed(NamedTuple):
     source: str
     options: dict[str, str]
     source_column: str | None = None
+    note: str = ""
+    registered: bool = True
 
 
 def file_groups(files: DataFrame, suffix_format: bool = False) -> list[FileGroup]:
@@ -91,34 +95,51 @@ def land_files(
     detect_types: bool = False,
     row_tag: str | None = None,
     bad_lines: str = "fail",
-    strict: bool = False,
+    long_lines: str = "fail",
     **options,
 ) -> Landed:
     """Infer the columns of some files and read them in that column order.
 
     Values come back as text where the columns are text or the file is, so
-    nothing is lost on the way to another text format.
+    nothing is lost on the way to another text format. A delimited row with
+    more fields than the header fails the files; ``long_lines="cut"`` drops the
+    fields beyond it and notes the number of rows. All files of a table must
+    share a header.
     """
     if fmt in ("csv", "tsv"):
+        options = {"enforceSchema": "false", **options}
         df = fill_blank_names((read_tsv if fmt == "tsv" else read_csv)(spark, path, **options))
         if not df.columns:
             raise ValueError(EMPTY.format(fmt.upper()))
-        if strict and not long_rows(spark, path, fmt, **options).isEmpty():
+        too_long, note = long_rows(spark, path, fmt, **options), ""
+        if long_lines == "cut":
+            rows = too_long.count()
+            note = f"{rows} rows cut to the header" if rows else ""
+        elif not too_long.isEmpty():
             raise ValueError("a row is longer than the header")
         columns = collect_columns(infer_table(df, detect_types))
         sep = {"sep": "\t"} if fmt == "tsv" else {}
-        return Landed(columns, df, "csv", {"header": "true", **sep})
+        return Landed(columns, df, "csv", {"header": "true", "escape": '"', **sep}, note=note)
     if fmt == "json":
-        document = is_json_document(spark, path, **options)
-        records = json_records(spark, path, document, **options)
-        if document:
-            records = written(spark, records, "json-objects")
+        forms = json_forms(spark, path, **options)
+        document = any(forms.values())
+        if not document:
+            records = json_records(spark, path, False, **options)
+        else:
+            records = written(spark, json_records(spark, path, True if all(forms.values()) else None, **options), "json-objects")
         columns = collect_columns(infer_json(records, bad_lines))
         if not columns:
             raise ValueError(EMPTY.format("JSON"))
         shape, line_options = text_schema(columns), {"multiLine": str(document).lower()}
         if document:
-            return Landed(columns, parse_json(records, shape, SOURCE_COLUMN), "json", line_options, SOURCE_COLUMN)
+            # No table entry reads lines and documents alike.
+            alike = all(forms.values())
+            if not alike and bad_lines == "skip":
+                records = records.filter(line_object(F.col("value")).isNotNull())
+            return Landed(
+                columns, parse_json(records, shape, SOURCE_COLUMN), "json", line_options, SOURCE_COLUMN,
+                "" if alike else "landing table not registered: some files hold lines, some documents", alike,
+            )
         mode = {"mode": "DROPMALFORMED"} if bad_lines == "skip" else {}
         return Landed(columns, read_json(spark, path, shape, False, **options, **mode), "json", line_options)
     if fmt == "xml":
@@ -129,7 +150,7 @@ def land_files(
             row_tag = row_tag or tag
             if row_tag is None:
                 raise ValueError("XML has no records.")
-            columns = collect_columns(infer_xml(xml_records(spark, path, row_tag, **options)))
+            columns = collect_columns(infer_xml(spark, path, row_tag, **options))
             if not columns:
                 raise ValueError("XML has no records.")
             df = read_xml(spark, path, row_tag, text_schema(columns), source_column=SOURCE_COLUMN, **options)
@@ -139,6 +160,16 @@ def land_files(
     raise ValueError(f"unsupported format {fmt}")
 
 
+# Types a value of the other type can be stored as without loss.
+WIDER = {
+    ("bigint", "double"), ("bigint", "decimal(38,0)"), ("int", "bigint"), ("int", "double"), ("int", "decimal(38,0)"),
+}
+
+
+def _holds(have: str, storage: str) -> bool:
+    return have == "string" or have == storage or (storage, have) in WIDER
+
+
 def _target_table(
     spark: SparkSession,
     db: str,
@@ -151,18 +182,23 @@ def _target_table(
     """Table to publish to and, if it exists and fits, its columns.
 
     An existing table fits when it has the same file format and every incoming
-    column, whatever the types. If it does not, a versioned table takes the rows, or the ingest of
-    the file fails with ``on_mismatch="fail"``.
+    column in a type that holds its values: the same, text, or a wider number.
+    If it does not, a versioned table takes the rows, or the ingest of the file
+    fails with ``on_mismatch="fail"``.
     """
     if not table_exists(spark, db, table):
         return table, None
-    have = spark.table(qualified(db, table)).columns
-    missing = {c.name.strip().lower() for c in columns} - {c.strip().lower() for c in have}
+    have = spark.table(qualified(db, table)).schema
+    types = {f.name.strip().lower(): f.dataType.simpleString() for f in have}
+    missing = {c.name.strip().lower() for c in columns} - types.keys()
+    narrow = [] if missing else [c.name for c in columns if not _holds(types[c.name.strip().lower()], c.storage)]
     kind = table_source(spark, db, table)[0]
-    if not missing and kind == source:
-        return table, have
+    if not missing and not narrow and kind == source:
+        return table, have.names
     if on_mismatch == "fail":
-        reason = f"columns missing: {sorted(missing)}" if missing else f"{kind} files, not {source}"
+        reason = f"{kind} files, not {source}"
+        if missing or narrow:
+            reason = f"columns missing: {sorted(missing)}" if missing else f"types too narrow: {sorted(narrow)}"
         raise ValueError(f"{db}.{table} does not fit: {reason}")
     return table + version_suffix(run_ts), None
 
@@ -184,17 +220,20 @@ def sync_group(
     landing_path: str | None = None,
     landing_options: dict[str, str] | None = None,
     **land_options,
-) -> tuple[str, int]:
-    """Register and publish one group of files. Returns the table used and its row count."""
+) -> tuple[str, int, str]:
+    """Register and publish one group of files. Returns the table used, its row count and a note.
+
+    Each run writes to a folder of its own. Without ``target_part`` the table
+    then moves there, so a failed write leaves it as it was; with it the rows
+    are added in that folder below the place where the table lies.
+    """
     options = read_options or {}
-    if group.files > 1 and group.fmt in ("csv", "tsv"):
-        # Every file must carry the same header; values are matched by position.
-        land_options = {**land_options, "enforceSchema": "false"}
     landed = land_files(spark, path, group.fmt, **land_options, **options)
-    ensure_table(
-        spark, landing_db, group.table, landing_path or path, storage_schema(landed.columns), landed.source,
-        **(landing_options or options), **landed.options,
-    )
+    if landed.registered:
+        ensure_table(
+            spark, landing_db, group.table, landing_path or path, storage_schema(landed.columns), landed.source,
+            **(landing_options or options), **landed.options,
+        )
 
     source = "text" if landed.source == "text" and not ingest_columns else "csv"
     table, existing = _target_table(spark, curated_db, group.table, landed.columns, source, on_mismatch, run_ts)
@@ -210,17 +249,18 @@ def sync_group(
             *[F.col(f"`{c}`") if c.strip().lower() in present else F.lit(None).cast("string").alias(c) for c in existing]
         )
     base = join_location(target, table)
-    place = join_location(base, target_part) if target_part else base
-    rows = write_files(df, place, source, max_files=max_files)
-    if existing:
-        if not same_location(table_source(spark, curated_db, table)[1], base):
-            set_location(spark, curated_db, table, base)
+    if target_part:
+        home = table_source(spark, curated_db, table)[1] if existing else base
+        place = join_location(home, target_part)
     else:
-        extra = {"recursiveFileLookup": "true"} if target_part else {}
-        ensure_table(spark, curated_db, table, base, df.schema, source, **extra)
-    for name in (qualified(landing_db, group.table), qualified(curated_db, table)):
-        spark.catalog.refreshTable(name)
-    return table, rows
+        home = place = join_location(base, f"run-{run_ts:%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}")
+    rows = write_files(df, place, source, max_files=max_files)
+    schema = spark.table(qualified(curated_db, table)).schema if existing else df.schema
+    upsert_table(spark, curated_db, table, home, schema, source, recursiveFileLookup="true", **READ_BACK.get(source, {}))
+    if landed.registered:
+        spark.catalog.refreshTable(qualified(landing_db, group.table))
+    spark.catalog.refreshTable(qualified(curated_db, table))
+    return table, rows, landed.note
 
 
 def sync_files(
@@ -243,39 +283,54 @@ def sync_files(
 
     Files with the same base name and format are read together as one table; a
     folder of part files named like a file counts as that file. A group that
-    fails gets a FAILED status and does not stop the others. Returns
-    source_file, table_name, status, row_count, message; with ``log_db`` the
-    same goes to the batch log table.
+    fails, or has no byte, gets a FAILED status and does not stop the others.
+    Returns source_file, table_name, status, row_count, message; with ``log_db``
+    the same goes to the batch log table.
 
-    Options: detect_types, row_tag, bad_lines, strict, on_mismatch,
+    Options: detect_types, row_tag, bad_lines, long_lines, on_mismatch,
     ingest_columns, max_files.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ensure_database(spark, landing_db)
     ensure_database(spark, curated_db)
-    groups = file_groups(list_files(spark, source, formats), suffix_format)
+    # Listed once; a group of few files is read by their paths.
+    listed = written(spark, list_files(spark, source, formats), "listing")
+    groups = file_groups(listed, suffix_format)
+    loose = listed.filter(F.col("unit") == F.col("path")).groupBy("table_name", "format")
+    few = loose.agg(F.collect_list("path").alias("paths"), F.count("*").alias("n")).filter(F.col("n") <= PATHS_READ)
+    places = {(r["table_name"], r["format"]): r["paths"] for r in few.collect()}
+    nothing = empty_files(spark, source, listed, formats).orderBy("unit").collect()
 
     def one(group: FileGroup) -> tuple:
         path, reading = source, {"recursiveFileLookup": "true"}
+        landing = dict(reading)
         if group.folder:
             path = group.folder
         else:
-            reading["pathGlobFilter"] = glob_for(group.base, group.fmt)
+            landing["pathGlobFilter"] = glob_for(group.base, group.fmt)
+            paths = places.get((group.base, group.fmt))
+            if paths:
+                path = [literal_path(p) for p in paths]
+            else:
+                reading = landing
         label = f"{group.base}.{'txt' if group.fmt == 'text' else group.fmt}"
         try:
             if group.folder == AMBIGUOUS:
                 raise ValueError(f"{label} was delivered in several places")
-            table, rows = sync_group(
+            table, rows, note = sync_group(
                 spark, group, path, target, landing_db, curated_db, run_ts, job,
-                read_options=reading, **options,
+                read_options=reading, landing_path=group.folder or source, landing_options=landing, **options,
             )
         except Exception as error:  # one bad file must not stop the others
             reason = failure_text(error)
             return label, group.table, f"FAILED: {reason}", None, reason
-        return label, table, "SUCCEEDED", rows, ""
+        return label, table, "SUCCEEDED", rows, note
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(one, groups))
+    for r in nothing:
+        reason = EMPTY.format(r["format"].upper())
+        rows.append((f"{r['table_name']}.{r['unit'].rpartition('.')[2].lower()}", catalog_name(r["table_name"]), f"FAILED: {reason}", None, reason))
     statuses = spark.createDataFrame(rows, STATUS)
     if log_db:
         ensure_database(spark, log_db)

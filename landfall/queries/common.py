@@ -1,12 +1,13 @@
 """Shared by the registered queries: loading, landing and SQL building blocks."""
 
 import datetime as dt
+import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from landfall.functions.names import join_location
-from landfall.functions.types import DOUBLE_PATTERN, INT_PATTERN
 from landfall.operators.publish import write_files
 from landfall.operators.tables import ensure_database
 from landfall.workspace import fresh_folder
@@ -35,6 +36,20 @@ TABLES = {
 }
 
 
+# Seconds spent on landing inputs so far; no work of the operators.
+LANDING = {"seconds": 0.0}
+
+
+@contextmanager
+def landing():
+    """Counts the time of what happens inside as landing."""
+    start = time.perf_counter()
+    try:
+        yield
+    finally:
+        LANDING["seconds"] += time.perf_counter() - start
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -51,14 +66,18 @@ def land(spark: SparkSession, df: DataFrame, file_name: str, zone: str | None =
     """Write a landing "file" (a folder of part files named like one) and return its path."""
     path = join_location(zone or fresh_folder(spark, "zone"), file_name)
     ext = file_name.rpartition(".")[2]
-    write_files(df, path, {"txt": "text"}.get(ext, ext), **options)
+    with landing():
+        write_files(df, path, {"txt": "text"}.get(ext, ext), **options)
     return path
 
 
-def land_json_arrays(spark: SparkSession, df: DataFrame, file_name: str, key: str, rows_per_file: int = 50_000) -> str:
+def land_json_arrays(
+    spark: SparkSession, df: DataFrame, file_name: str, key: str, rows_per_file: int = 50_000, zone: str | None = None
+) -> str:
     """Land JSON files that each hold one array of bounded size."""
-    path = join_location(fresh_folder(spark, "zone"), file_name)
-    files = df.count() // rows_per_file + 1
+    path = join_location(zone or fresh_folder(spark, "zone"), file_name)
+    with landing():
+        files = df.count() // rows_per_file + 1
     numbered = df.select(
         F.pmod(F.xxhash64(key), F.lit(files)).alias("doc"), F.to_json(F.struct(*df.columns)).alias("text"), F.col(key).alias("k")
     )
@@ -67,14 +86,15 @@ def land_json_arrays(spark: SparkSession, df: DataFrame, file_name: str, key: st
     ends = numbered.select("doc").distinct().select(
         "doc", F.lit(None).alias("k"), F.lit(2).alias("part"), F.lit("]").alias("line")
     )
-    (
-        lines.unionByName(ends)
-        .repartition("doc")
-        .sortWithinPartitions("doc", "part", "k")
-        .select("doc", "line")
-        .write.partitionBy("doc")
-        .text(path)
-    )
+    with landing():
+        (
+            lines.unionByName(ends)
+            .repartition("doc")
+            .sortWithinPartitions("doc", "part", "k")
+            .select("doc", "line")
+            .write.partitionBy("doc")
+            .text(path)
+        )
     return path
 
 
@@ -86,10 +106,9 @@ def new_db(spark: SparkSession, name: str) -> str:
 
 
 def rank_sql(value: str) -> str:
-    return (
-        f"CASE WHEN regexp_matches({value}, '{INT_PATTERN}') THEN 0"
-        f" WHEN regexp_matches({value}, '{DOUBLE_PATTERN}') THEN 1 ELSE 2 END"
-    )
+    """The rule in SQL's own terms: digits are whole numbers, what casts to a double is one, the rest is text."""
+    text = f"trim({value})"
+    return f"CASE WHEN regexp_full_match({text}, '-?[0-9]+') THEN 0 WHEN TRY_CAST({text} AS DOUBLE) IS NOT NULL THEN 1 ELSE 2 END"
 
 
 def label_sql(rank: str) -> str:

@@ -4,14 +4,14 @@ from pyspark.sql import functions as F
 
 from landfall.functions.types import infer_type
 from landfall.operators.infer import (
-    infer_frame_types, infer_groups, infer_json, infer_many, infer_spark_types, infer_table, infer_xml,
+    infer_frame_types, infer_groups, infer_json, infer_many, infer_spark_types, infer_table,
 )
 from landfall.operators.schema import as_inventory, tidy
 from landfall.queries.common import (
     TABLES, as_text, inventory_sql, label_sql, land, land_json_arrays, load, load_all, rank_sql, types_sql,
 )
-from landfall.sources.readers import header_schema, read_csv, read_text, read_tsv
-from landfall.sources.records import json_records, xml_records, xml_tags
+from landfall.sources.readers import header_schema, infer_xml, read_csv, read_text, read_tsv
+from landfall.sources.records import json_records, xml_tags
 
 TABULAR = ["customer", "orders", "events", "part", "lineitem"]
 SMALL = ["region", "nation", "customer", "supplier", "part"]
@@ -116,7 +116,7 @@ def infer_json_array(spark, sf):
 def infer_xml_tags(spark, sf):
     """T6 on landed XML; the record tag comes from the file."""
     path = land(spark, load(spark, sf, "customer"), "customer.xml", rootTag="customers", rowTag="customer")
-    return infer_xml(xml_records(spark, path, xml_tags(spark, path)[1])).drop("storage")
+    return infer_xml(spark, path, xml_tags(spark, path)[1]).drop("storage")
 
 
 def infer_text_column(spark, sf):

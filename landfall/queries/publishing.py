@@ -86,12 +86,21 @@ def publish_table_clean_names(spark, sf):
 def publish_catalog_files(spark, sf):
     """K5: files written and the table over them created, then updated."""
     db, place = new_db(spark, "catalogfiles"), fresh_folder(spark, "orders")
-    df = load(spark, sf, "orders").drop("o_orderdate")
+    df = load(spark, sf, "orders")
     write_catalog_files(spark, df, db, "orders", place, mode="overwrite")
     write_catalog_files(spark, df.withColumn("is_open", F.col("o_orderstatus") == "O"), db, "orders", place, mode="overwrite")
     return read_table(spark, db, "orders")
 
 
+def append_by_name(spark, sf):
+    """K5/K9: rows appended to catalog files in another column order."""
+    db, place = new_db(spark, "byname"), fresh_folder(spark, "supplier")
+    df = load(spark, sf, "supplier")
+    write_catalog_files(spark, df, db, "supplier", place)
+    write_catalog_files(spark, df.select(*reversed(df.columns)), db, "supplier", place)
+    return read_table(spark, db, "supplier")
+
+
 def copy_files_unchanged(spark, sf):
     """K6: files published again as they came."""
     path = land(spark, load(spark, sf, "nation"), "nation.csv")
@@ -211,7 +220,7 @@ def row_counts_guard(spark, sf):
 def empty_guard(spark, sf):
     """A2: an empty source is reported and nothing is written."""
     db = new_db(spark, "guard")
-    df = load(spark, sf, "orders").drop("o_orderdate")
+    df = load(spark, sf, "orders")
     result = []
     for name, part in (("all", df), ("none", df.filter("o_orderkey < 0"))):
         ensure_table(spark, db, name, land(spark, part, f"{name}.csv"), df.schema)
@@ -224,7 +233,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         publish_overwrite, publish_append, publish_few_files, publish_formats, publish_replace_table,
-        publish_append_table, publish_table_clean_names, publish_catalog_files, copy_files_unchanged,
+        publish_append_table, publish_table_clean_names, publish_catalog_files, append_by_name, copy_files_unchanged,
         convert_json_to_csv, convert_xml_to_csv, copy_table_clean, copy_latest_file, register_path_table, ensure_table_once,
         upsert_table_schema, mark_table_format_kept, repoint_table, table_prefix_filter, row_counts_guard, empty_guard,
     )
@@ -241,8 +250,9 @@ ORACLE = {
         SELECT c_custkey AS cust_key, c_name, c_nationkey, c_acctbal, c_mktsegment AS mkt_segment FROM customer
     """,
     "publish_catalog_files": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderstatus = 'O' AS is_open FROM orders
+        SELECT *, o_orderstatus = 'O' AS is_open FROM orders
     """,
+    "append_by_name": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
     "copy_files_unchanged": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
     """,

@@ -9,10 +9,11 @@ from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, normali
 from landfall.operators.infer import collect_columns, infer_table, storage_values
 from landfall.operators.publish import replace_table, write_files
 from landfall.operators.schema import as_inventory, catalog_inventory, compare_zones, decide
-from landfall.operators.tables import table_source, upsert_table
+from landfall.operators.tables import FORMAT_PROPERTY, ensure_table, table_properties, table_source, upsert_table
 from landfall.plans.ingest import sync_files
+from landfall.plans.publish import publish_table
 from landfall.plans.sync import schema_report, sync_tables
-from landfall.queries.common import RUN_TS, TABLES, land, load, new_db, types_sql
+from landfall.queries.common import RUN_TS, TABLES, land, land_json_arrays, load, new_db, types_sql
 from landfall.sources.readers import read_csv, read_table
 from landfall.streaming.arrival import stream_files
 from landfall.workspace import fresh_folder
@@ -63,9 +64,11 @@ def ingest_zone_landing(spark, sf):
 def ingest_with_detection(spark, sf):
     """CSV columns typed and every row stamped."""
     zone = fresh_folder(spark, "zone")
-    land(spark, load(spark, sf, "lineitem").drop("l_shipdate"), "lineitem.csv", zone)
+    land(spark, load(spark, sf, "lineitem"), "lineitem.csv", zone)
     _, _, curated = _ingest(spark, zone, "detect", detect_types=True, ingest_columns=True, job="nightly")
-    return read_table(spark, curated, "lineitem").drop("source_filename")
+    named = F.col("source_filename").rlike(r"^part-[0-9]{5}-.*\.csv$")
+    rows = read_table(spark, curated, "lineitem").withColumn("source_filename", F.when(named, "part file").otherwise(F.col("source_filename")))
+    return rows.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
 
 
 def ingest_versioned(spark, sf):
@@ -148,12 +151,13 @@ def stream_new_files(spark, sf):
     """Two waves of arrivals, each ingested once."""
     zone, target, checkpoint = (fresh_folder(spark, n) for n in ("zone", "curated", "checkpoint"))
     landing, curated = new_db(spark, "stream_l"), new_db(spark, "stream_c")
-    df = load(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    df = load(spark, sf, "events")
     for wave in (F.col("event_type") == "view", F.col("event_type") != "view"):
         land(spark, df.filter(wave), "Events.csv", zone, mode="append")
         stream_files(spark, zone, target, landing, curated, checkpoint, run_ts=RUN_TS).awaitTermination()
     return read_table(spark, curated, "events").select(
-        F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type", F.col("value").cast("double")
+        F.col("event_id").cast("bigint"), F.col("ts").cast("timestamp_ntz"), F.col("user_id").cast("bigint"), "event_type",
+        F.col("value").cast("double"), "props",
     )
 
 
@@ -168,6 +172,103 @@ def stream_batch_log(spark, sf):
     return rows.groupBy("batch_id", "table_name", "status").agg((F.count("*") > 0).alias("has_files"))
 
 
+def publish_then_sync_rows(spark, sf):
+    """A published table keeps its rows when the zones are brought in step."""
+    landing, curated = new_db(spark, "keep_l"), new_db(spark, "keep_c")
+    df = load(spark, sf, "part")
+    ensure_table(spark, landing, "part", land(spark, df, "part.csv"), df.schema)
+    publish_table(spark, landing, "part", curated, "part", fresh_folder(spark, "published"))
+    sync_tables(spark, landing, curated, fresh_folder(spark, "curated"), run_ts=RUN_TS)
+    mark = table_properties(spark, curated, "part")[FORMAT_PROPERTY]
+    return read_table(spark, curated, "part").withColumn("table_format", F.lit(mark))
+
+
+def convert_json_texts_to_csv(spark, sf):
+    """Free text with line breaks, quotes and blanks through JSON to curated CSV."""
+    zone = fresh_folder(spark, "zone")
+    df = load(spark, sf, "documents").withColumn("text", F.concat(F.lit('  "'), "text", F.lit('"\\ \n ')))
+    land(spark, df, "documents.json", zone)
+    _, _, curated = _ingest(spark, zone, "texts")
+    return read_table(spark, curated, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def ingest_then_stream(spark, sf):
+    """Rows that arrive after an ingest are added to it."""
+    first, second = fresh_folder(spark, "zone"), fresh_folder(spark, "zone")
+    target, checkpoint = fresh_folder(spark, "curated"), fresh_folder(spark, "checkpoint")
+    landing, curated = new_db(spark, "both_l"), new_db(spark, "both_c")
+    df = load(spark, sf, "customer")
+    early = F.col("c_custkey") % 2 == 0
+    land(spark, df.filter(early), "customer.csv", first)
+    land(spark, df.filter(~early), "customer.csv", second)
+    sync_files(spark, first, target, landing, curated, RUN_TS)
+    stream_files(spark, second, target, landing, curated, checkpoint, run_ts=RUN_TS).awaitTermination()
+    return read_table(spark, curated, "customer").select(*[F.col(c).cast(t) for c, t in df.dtypes])
+
+
+def stream_retry(spark, sf):
+    """A delivery that cannot be read is tried again by the next run."""
+    zone, target, checkpoint = (fresh_folder(spark, n) for n in ("zone", "curated", "checkpoint"))
+    landing, curated = new_db(spark, "retry_l"), new_db(spark, "retry_c")
+    df = load(spark, sf, "supplier").select("s_suppkey", "s_name")
+    ragged = df.select(F.concat_ws(",", "s_suppkey", "s_name", F.lit("over")).alias("s_suppkey,s_name"))
+    land(spark, ragged, "supplier.csv", zone, sep="\t")
+    stream_files(spark, zone, target, landing, curated, checkpoint, run_ts=RUN_TS).awaitTermination()
+    before = len(spark.catalog.listTables(curated))
+    stream_files(spark, zone, target, landing, curated, checkpoint, run_ts=RUN_TS, long_lines="cut").awaitTermination()
+    rows = read_table(spark, curated, "supplier").withColumn("s_suppkey", F.col("s_suppkey").cast("bigint"))
+    return rows.withColumn("tables_before", F.lit(before))
+
+
+def ingest_type_change(spark, sf):
+    """A delivery whose values the table's types do not hold goes to a versioned table."""
+    landing, curated, target = new_db(spark, "type_l"), new_db(spark, "type_c"), fresh_folder(spark, "curated")
+    df = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    texts = df.withColumn("s_nationkey", F.concat(F.lit("n"), "s_nationkey"))
+    for part in (df, texts):
+        zone = fresh_folder(spark, "zone")
+        land(spark, part, "supplier.csv", zone)
+        sync_files(spark, zone, target, landing, curated, RUN_TS, detect_types=True)
+    old = read_table(spark, curated, "supplier").select(F.lit("old").alias("tbl"), "s_suppkey", F.col("s_nationkey").cast("string"))
+    return old.unionByName(read_table(spark, curated, "supplier__v20250102_030405").select(F.lit("new").alias("tbl"), "s_suppkey", "s_nationkey"))
+
+
+def ingest_json_mixed(spark, sf):
+    """One table from files of lines and files of arrays, the arrays with a key more."""
+    zone = fresh_folder(spark, "zone")
+    df = load(spark, sf, "customer").drop("c_acctbal")
+    lines = F.col("c_custkey") % 3 == 0
+    land_json_arrays(spark, df.filter(~lines).withColumn("extra", F.lit("x")), "customer.json", "c_custkey", zone=zone)
+    df.filter(lines).write.json(f"{zone}/customer.json/lines")
+    _, _, curated = _ingest(spark, zone, "mixed")
+    return read_table(spark, curated, "customer")
+
+
+def ingest_empty_and_long(spark, sf):
+    """A delivery without a byte and one with rows longer than its header."""
+    zone = fresh_folder(spark, "zone")
+    load(spark, sf, "nation").limit(0).select("n_name").write.text(f"{zone}/void.csv")
+    line = F.concat_ws(",", "s_suppkey", "s_nationkey", F.when(F.col("s_suppkey") % 3 == 0, F.lit("over")))
+    land(spark, load(spark, sf, "supplier").select(line.alias("s_suppkey,s_nationkey")), "supplier.csv", zone, sep="\t")
+    strict = _ingest(spark, zone, "strict")[0].select(F.lit("fail").alias("long_lines"), "*")
+    return strict.unionByName(_ingest(spark, zone, "cut", long_lines="cut")[0].select(F.lit("cut").alias("long_lines"), "*"))
+
+
+def sync_type_drift(spark, sf):
+    """A curated column of another type is drift, and one entry that cannot be read stops nothing."""
+    landing, curated = new_db(spark, "drift_l"), new_db(spark, "drift_c")
+    df = load(spark, sf, "orders")
+    ensure_table(spark, landing, "orders", land(spark, df, "orders.csv"), df.schema)
+    as_texts = df.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    ensure_table(spark, curated, "orders", land(spark, as_texts, "orders.csv"), as_texts.schema)
+    spark.sql(f"CREATE TABLE {landing}.gone (a INT) USING parquet")
+    spark.sql(f"CREATE VIEW {landing}.broken AS SELECT * FROM {landing}.gone")
+    spark.sql(f"DROP TABLE {landing}.gone")
+    steps = sync_tables(spark, landing, curated, fresh_folder(spark, "curated"), run_ts=RUN_TS)
+    rows = read_table(spark, curated, "orders").agg(F.count("*").alias("row_count")).first()["row_count"]
+    return steps.select("table", "step", "status", F.lit(rows).cast("bigint").alias("row_count"))
+
+
 def audit_append(spark, sf):
     """K7: audit rows of two runs in one table, counted by step."""
     db, place = new_db(spark, "audit"), fresh_folder(spark, "audit")
@@ -206,7 +307,8 @@ QUERIES = {
     for f in (
         ingest_zone_status, ingest_zone_rows, ingest_zone_landing, ingest_with_detection, ingest_versioned,
         run_summary_counts, batch_log_rows, sync_tables_audit, sync_tables_schema, schema_report_run,
-        stream_new_files, stream_batch_log, audit_append, land_clean_publish,
+        stream_new_files, stream_batch_log, publish_then_sync_rows, convert_json_texts_to_csv, ingest_then_stream, stream_retry,
+        ingest_type_change, ingest_json_mixed, ingest_empty_and_long, sync_type_drift, audit_append, land_clean_publish,
     )
 }
 
@@ -235,7 +337,8 @@ ORACLE = {
         SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation
     """,
     "ingest_with_detection": f"""
-        SELECT * EXCLUDE (l_shipdate) REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber), {_STAMPS.format('', 'nightly')}
+        SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber),
+            {_STAMPS.format("'part file' AS source_filename, ", 'nightly')}
         FROM lineitem
     """,
     "ingest_versioned": """
@@ -269,11 +372,37 @@ ORACLE = {
             CASE WHEN run = 1 OR (run = 3 AND tbl = 'part') THEN 'YES' ELSE 'NO' END AS schema_changed, CAST(3 AS BIGINT) AS reports
         FROM unnest([1, 2, 3]) AS r(run), unnest(['customer', 'supplier', 'part']) AS t(tbl)
     """,
-    "stream_new_files": "SELECT event_id, user_id, event_type, value FROM events",
+    "stream_new_files": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_batch_log": """
         SELECT 'batch-000000000' AS batch_id, 'customer' AS table_name, 'SUCCEEDED' AS status, count(*) > 0 AS has_files FROM customer
         UNION ALL SELECT 'batch-000000001', 'supplier', 'SUCCEEDED', count(*) > 0 FROM supplier
     """,
+    "publish_then_sync_rows": "SELECT *, 'iceberg' AS table_format FROM part",
+    "convert_json_texts_to_csv": "SELECT * REPLACE ('  \"' || text || '\"\\ ' || chr(10) || ' ' AS text) FROM documents",
+    "ingest_then_stream": "SELECT * FROM customer",
+    "stream_retry": "SELECT s_suppkey, s_name, 0 AS tables_before FROM supplier",
+    "ingest_type_change": """
+        SELECT 'old' AS tbl, s_suppkey, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier
+        UNION ALL SELECT 'new', s_suppkey, 'n' || s_nationkey FROM supplier
+    """,
+    "ingest_json_mixed": """
+        SELECT * EXCLUDE (c_acctbal) REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey),
+            CASE WHEN c_custkey % 3 <> 0 THEN 'x' END AS extra FROM customer
+    """,
+    "ingest_empty_and_long": """
+        WITH void AS (SELECT 'void.csv' AS source_file, 'void' AS table_name, 'FAILED: CSV appears empty or unreadable.' AS status,
+            CAST(NULL AS BIGINT) AS row_count, 'CSV appears empty or unreadable.' AS message)
+        SELECT m AS long_lines, void.* FROM void, unnest(['fail', 'cut']) AS t(m)
+        UNION ALL SELECT 'fail', 'supplier.csv', 'supplier', 'FAILED: a row is longer than the header', NULL, 'a row is longer than the header'
+        UNION ALL SELECT 'cut', 'supplier.csv', 'supplier', 'SUCCEEDED', count(*),
+            count(*) FILTER (s_suppkey % 3 = 0) || ' rows cut to the header' FROM supplier
+    """,
+    "sync_type_drift": """
+        SELECT s[1] AS "table", s[2] AS step, s[3] AS status, (SELECT count(*) FROM orders) AS row_count FROM unnest([
+            ['orders', 'PROCESS_START', 'STARTED'], ['orders', 'FDP_CHECK', 'STARTED'], ['orders', 'SCHEMA_UPDATE', 'COMPLETED'],
+            ['orders', 'ICEBERG_CREATE', 'STARTED'], ['orders', 'ICEBERG_CREATE', 'COMPLETED'], ['orders', 'PROCESS_END', 'COMPLETED'],
+            ['broken', 'PROCESS_START', 'STARTED'], ['broken', 'PROCESS', 'FAILED']]) AS t(s)
+    """,
     "audit_append": f"""
         SELECT process_id, step, status, CAST(n AS BIGINT) AS n FROM unnest(['run-1', 'run-2']) AS r(process_id), (VALUES
             ('PROCESS_START', 'STARTED', {{n}} + 1), ('FDP_CHECK', 'STARTED', {{n}} + 1), ('FDP_CREATE', 'COMPLETED', 1),

@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 from landfall.functions.names import (
     extension, key_matches, parent_location, table_name, target_location,
 )
-from landfall.operators.infer import collect_columns, infer_xml, opaque_schema, storage_schema
+from landfall.operators.infer import collect_columns, opaque_schema, storage_schema
 from landfall.operators.publish import TIMESTAMPS, write_files
 from landfall.operators.tables import ensure_table
+from landfall.plans.ingest import land_files
 from landfall.queries.common import land, land_json_arrays, load, new_db
 from landfall.sources.files import latest_file, list_files, list_keys
 from landfall.sources.readers import (
-    long_rows, read_csv, read_first_csv, read_json, read_landing, read_table, read_text, read_tsv, read_xml,
+    infer_xml, long_rows, read_csv, read_first_csv, read_json, read_landing, read_table, read_text, read_tsv, read_xml,
 )
-from landfall.sources.records import xml_records
 from landfall.workspace import fresh_folder
 
 
@@ -80,11 +80,26 @@ def scan_xml(spark, sf):
 
 
 def scan_xml_split(spark, sf):
-    """S7 for large files: cut at the closing tag, columns in tag order."""
+    """S7 with inferred types over many files, columns in tag order."""
     df = load(spark, sf, "part")
     path = land(spark, df, "part.xml", rootTag="parts", rowTag="part")
-    columns = collect_columns(infer_xml(xml_records(spark, path, "part")))
-    return read_xml(spark, path, "part", storage_schema(columns), split=True)
+    columns = collect_columns(infer_xml(spark, path, "part"))
+    return read_xml(spark, path, "part", storage_schema(columns))
+
+
+def scan_xml_marks(spark, sf):
+    """Records with CDATA that holds tags, inside a file with a long prolog and records in comments."""
+    text = F.format_string(
+        "<page><page_id>%d</page_id><html><![CDATA[%s</page><page>]]></html></page><!-- <page><page_id>0</page_id></page> -->",
+        "page_id", F.replace("html", F.lit("]]>"), F.lit("")),
+    )
+    prolog = f"<!-- {'> ' * 100} --><pages>"
+    doc = F.concat(F.lit(prolog), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", text.alias("x")))), lambda r: r["x"]), ""), F.lit("</pages>"))
+    pages = load(spark, sf, "pages").groupBy(F.pmod("page_id", F.lit(40)).alias("n")).agg(doc.alias("value"))
+    path = f"{fresh_folder(spark, 'zone')}/pages.xml"
+    pages.write.partitionBy("n").text(path)
+    options = {"ignoreSurroundingSpaces": False, "recursiveFileLookup": True}
+    return read_xml(spark, path, schema="page_id bigint, html string", **options)
 
 
 def scan_catalog_table(spark, sf):
@@ -105,15 +120,18 @@ def scan_unknown_extension(spark, sf):
 def pad_short_rows(spark, sf):
     """Short rows are padded, long rows cut to the header."""
     text = F.concat_ws(
-        "|",
+        ",",
         F.col("o_orderkey"),
         F.col("o_custkey"),
         F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")),
         F.when(F.col("o_orderstatus") == "O", F.lit("extra")),
     )
-    lines = load(spark, sf, "orders").select(text.alias("value"))
-    path = land(spark, lines, "orders.txt")
-    return spark.read.schema("o_orderkey bigint, o_custkey bigint, o_orderstatus string").option("sep", "|").csv(path)
+    header = "o_orderkey,o_custkey,o_orderstatus"
+    path = land(spark, load(spark, sf, "orders").select(text.alias(header)), "orders.csv", sep="\t")
+    landed = land_files(spark, path, "csv", long_lines="cut")
+    return landed.data.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_orderstatus").withColumn(
+        "note", F.lit(landed.note)
+    )
 
 
 def long_row_report(spark, sf):
@@ -174,7 +192,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_csv, scan_csv_inferred, scan_first_csv, scan_tsv, scan_json_lines, scan_json_array, scan_json_texts,
-        scan_text_lines, scan_opaque, scan_xml, scan_xml_split, scan_catalog_table, scan_unknown_extension,
+        scan_text_lines, scan_opaque, scan_xml, scan_xml_split, scan_xml_marks, scan_catalog_table, scan_unknown_extension,
         pad_short_rows, long_row_report, file_inventory, file_keys, latest_file_per_group, table_name_from_path,
     )
 }
@@ -198,12 +216,14 @@ ORACLE = {
     """,
     "scan_xml": "SELECT * FROM customer",
     "scan_xml_split": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
+    "scan_xml_marks": "SELECT page_id, replace(html, ']]>', '') || '</page><page>' AS html FROM pages",
     "scan_catalog_table": "SELECT * FROM part",
     "scan_unknown_extension": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
     """,
     "pad_short_rows": """
-        SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus FROM orders
+        SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus,
+            (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') || ' rows cut to the header' AS note FROM orders
     """,
     "long_row_report": """
         SELECT concat_ws(',', s_suppkey, s_nationkey, 'over') AS line FROM supplier WHERE s_acctbal < 0

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import FORMATS, base_name, file_format, key_matches, table_name, unit_path
+from landfall.functions.names import FORMATS, base_name, decoded, file_format, key_matches, table_name, unit_path
 
 LISTING = "path string, modificationTime timestamp, length bigint"
 
@@ -20,7 +20,7 @@ def list_files(spark: SparkSession, path: str, formats: list[str] | None = None)
     """Supported files below ``path`` with their unit, format and table name.
 
     The unit is the file itself or the folder of part files it belongs to.
-    Files without a single byte hold nothing to ingest and are not listed.
+    Files without a single byte are not among them: see ``empty_files``.
     """
     wanted = formats or list(FORMATS.values())
     return (
@@ -32,6 +32,21 @@ def list_files(spark: SparkSession, path: str, formats: list[str] | None = None)
     )
 
 
+def empty_files(spark: SparkSession, path: str, files: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """Supported deliveries below ``path`` of which every file has no byte: table_name, format, unit.
+
+    ``files`` is the listing of those that have some. Scans pass empty files
+    over, but the reader that lists them knows their names.
+    """
+    wanted = formats or list(FORMATS.values())
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    names = spark.createDataFrame([(p,) for p in reader.load(path).inputFiles()], "path string")
+    units = names.select(unit_path(decoded(F.col("path"))).alias("unit")).distinct()
+    units = units.withColumn("format", file_format(F.col("unit"))).filter(F.col("format").isin(wanted))
+    units = units.withColumn("table_name", table_name(F.col("unit")))
+    return units.join(files.select("table_name", "format").distinct(), ["table_name", "format"], "left_anti")
+
+
 def list_keys(spark: SparkSession, path: str, prefix: str = "", suffix: str = ".csv") -> DataFrame:
     """Files whose path starts with ``prefix`` and ends with ``suffix`` (case-sensitive)."""
     return _listing(spark, path).filter(key_matches(F.col("path"), prefix, suffix))

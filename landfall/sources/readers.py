@@ -4,19 +4,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from landfall.functions.names import FORMATS, base_name, decoded, unit_path
 from landfall.operators.clean import fill_blank_names, source_name
-from landfall.operators.infer import collect_columns, infer_json, infer_xml, storage_schema
+from landfall.operators.infer import collect_columns, infer_json, infer_present, storage_schema, text_schema
 from landfall.sources.files import first_file, list_keys
-from landfall.sources.records import is_json_document, json_documents, xml_records, xml_tags
+from landfall.sources.records import json_records, json_forms, tag_order, xml_tags
 from landfall.workspace import written
 
-# Above this size an XML file is cut at its record tags instead of being read
-# by one task.
-XML_FILE_BYTES = 256 * 1024 * 1024
+# Attributes and a record's own text are no columns; their names here cannot clash with tags.
+XML_NAMES = {"attributePrefix": "@", "valueTag": "@text"}
 
 
 def read_csv(spark: SparkSession, path, sep: str = ",", infer: bool = False, schema=None, **options) -> DataFrame:
-    """CSV with a header; all strings unless a schema is given or inferred."""
-    reader = spark.read.options(header=True, sep=sep, inferSchema=infer, **options)
+    """CSV with a header and doubled quotes; all strings unless a schema is given or inferred."""
+    reader = spark.read.options(**{"header": True, "sep": sep, "inferSchema": infer, "escape": '"', **options})
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
@@ -25,13 +24,12 @@ def read_tsv(spark: SparkSession, path, **options) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path, schema=None, document: bool | None = None, **options) -> DataFrame:
-    """JSON lines, a JSON array or a single object, decided by the first file if not told."""
-    if document is None:
-        document = is_json_document(spark, path, **options)
-    if not document:
+    """JSON lines, JSON arrays or single objects, decided for each file if not told."""
+    forms = {document} if document is not None else set(json_forms(spark, path, **options).values())
+    if forms <= {False}:
         reader = spark.read.options(**options)
         return (reader.schema(schema) if schema is not None else reader).json(path)
-    records = json_documents(spark, path, **options)
+    records = json_records(spark, path, document, **options)
     if schema is None:
         records = written(spark, records, "json-objects")
         schema = storage_schema(collect_columns(infer_json(records)))
@@ -43,13 +41,6 @@ def parse_json(records: DataFrame, schema: T.StructType, source_column: str | No
     return _parsed(records, F.from_json("value", schema), source_column)
 
 
-def parse_xml(
-    records: DataFrame, schema: T.StructType, row_tag: str, source_column: str | None = None
-) -> DataFrame:
-    """Rows of XML record texts, with the name of the file each came from if asked."""
-    return _parsed(records, F.from_xml("value", schema, {"rowTag": row_tag}), source_column)
-
-
 def _parsed(records: DataFrame, record: Column, source_column: str | None) -> DataFrame:
     extra = [decoded(base_name(F.col("file"))).alias(source_column)] if source_column else []
     rows = records.select(record.alias("_record"), *extra)
@@ -65,29 +56,35 @@ def read_xml(
     path,
     row_tag: str | None = None,
     schema=None,
-    split: bool | None = None,
     source_column: str | None = None,
     **options,
 ) -> DataFrame:
-    """XML records; ``row_tag`` defaults to the first child of the root.
+    """XML records of the built-in source; ``row_tag`` defaults to the first child of the root.
 
-    Files up to ``XML_FILE_BYTES`` go through the built-in source, one task per
-    file. If any file is larger, all are cut at the record's closing tag.
+    A file is streamed by one task, whatever its size.
     """
     row_tag = row_tag or xml_tags(spark, path, **options)[1]
     if row_tag is None:
         raise ValueError("XML has no records.")
-    if split is None:
-        sizes = spark.read.format("binaryFile").options(**options).load(path).select("length")
-        split = not sizes.filter(F.col("length") > XML_FILE_BYTES).isEmpty()
-    if not split:
-        reader = spark.read.option("rowTag", row_tag).options(**options)
-        df = (reader.schema(schema) if schema is not None else reader).xml(path)
-        return df.select("*", source_name(df).alias(source_column)) if source_column else df
-    records = xml_records(spark, path, row_tag, **options)
-    if schema is None:
-        schema = storage_schema(collect_columns(infer_xml(records)))
-    return parse_xml(records, schema, row_tag, source_column)
+    reader = spark.read.option("rowTag", row_tag).options(**options)
+    df = (reader.schema(schema) if schema is not None else reader).xml(path)
+    return df.select("*", source_name(df).alias(source_column)) if source_column else df
+
+
+def infer_xml_columns(spark: SparkSession, path, row_tag: str, **options) -> T.StructType:
+    """Text columns for the children of the records, in order of first appearance."""
+    reader = spark.read.options(rowTag=row_tag, inferSchema=False, **XML_NAMES).options(**options)
+    names = [n for n in reader.xml(path).schema.names if not n.startswith("@")]
+    return T.StructType([T.StructField(n, T.StringType()) for n in tag_order(spark, path, row_tag, names, **options)])
+
+
+def infer_xml(spark: SparkSession, path, row_tag: str, empty_as: str = "string", widen: bool = False, **options) -> DataFrame:
+    """Columns of XML records, typed by the text that reading them as text gives.
+
+    Of a repeated child the last counts, as in reading. A child that is missing says nothing.
+    """
+    shape = infer_xml_columns(spark, path, row_tag, **options)
+    return infer_present(read_xml(spark, path, row_tag, shape, **options), empty_as, widen)
 
 
 def read_landing(spark: SparkSession, path, fmt: str, **options) -> DataFrame:
@@ -122,5 +119,5 @@ def long_rows(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFra
     sep = "\t" if fmt == "tsv" else ","
     names = fill_blank_names(read_csv(spark, path, sep=sep, **options)).columns
     wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    fields = F.from_csv("line", wide, {"sep": sep})
+    fields = F.from_csv("line", wide, {"sep": sep, "escape": '"'})
     return read_text(spark, path, **options).filter(fields[f"c{len(names)}"].isNotNull())

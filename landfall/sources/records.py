@@ -1,17 +1,17 @@
-"""Record texts of JSON and XML files, cut without reading a file in one task.
+"""Record texts of JSON files, cut without reading a file in one task, and what XML files begin with.
 
-Both readers scan plain text with the record's closing mark as line separator,
-so one huge file still spreads over all its splits. Each row carries the file,
+Scans take plain text with the record's closing mark as line separator, so one
+huge file still spreads over all its splits. Each row carries the file,
 the start of its split (``block``) and its order within the split (``seq``).
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from landfall.functions.names import decoded, literal_path
 from landfall.workspace import written
 
-HEAD_LINES = 50
-
-
 def _pieces(
     spark: SparkSession, path: str | list[str], separator: str, _size: bool = False, **options
 ) -> DataFrame:
@@ -42,18 +42,41 @@ def json_lines(spark: SparkSession, path: str | list[str], **options) -> DataFra
     return _pieces(spark, path, "\n", **options).filter(F.col("value").rlike(r"\S"))
 
 
-def is_json_document(spark: SparkSession, path: str | list[str], **options) -> bool:
-    """True for an array or an object spread over lines, false for one object per line.
+def json_forms(spark: SparkSession, path: str | list[str], **options) -> dict[str, bool]:
+    """Per file: is it a document (an array, or an object spread over lines) and not one object per line?
 
-    A file that starts with an object holds lines if any of its first lines is
-    an object by itself, so that one bad line does not change the form.
+    A file that begins with a bracket is a document. One that begins with an
+    object is a document if none of its lines is an object by itself, or if its
+    first line leaves something open and fewer than half of the lines are. Every
+    line counts, so bad lines at the beginning do not change the form. One
+    entry per file that is not blank.
     """
-    head = head_pieces(spark, path, "}", 1, **options)
-    if not head or not head[0].lstrip("\ufeff \t\r\n").startswith("{"):
-        return bool(head)
-    lines = head_pieces(spark, path, "\n", HEAD_LINES, **options)
-    is_object = F.exists(F.array(*[F.lit(line) for line in lines]), lambda line: line_object(line).isNotNull())
-    return not spark.range(1).select(is_object.alias("v")).first()["v"]
+    place = F.struct("block", "seq")
+    text = F.ltrim(F.regexp_replace("value", "^\ufeff", ""), F.lit(" \t\r\n"))
+    pieces = _pieces(spark, path, "}", **options).select("file", "block", "seq", F.substring(text, 1, 1).alias("sign"))
+    firsts = pieces.filter("sign != ''").groupBy("file").agg(F.min_by("sign", place).alias("sign")).collect()
+    forms = {r["file"]: r["sign"] == "[" for r in firsts}
+    unclear = [file for file, document in forms.items() if not document]
+    if not unclear:
+        return forms
+    # Only the files that need it are read by lines: an array may be one long line.
+    places = path if len(unclear) == len(forms) else _paths(spark, unclear)
+    lines = _pieces(spark, places, "\n", **options).filter(F.col("value").rlike(r"\S"))
+    tail = F.regexp_extract("value", r"(\S)\s*$", 1)
+    found = lines.select("file", "block", "seq", tail.alias("tail"), line_object(F.col("value")).isNotNull().cast("int").alias("object"))
+    judged = found.groupBy("file").agg(
+        F.min_by("tail", place).alias("tail"), F.sum("object").alias("objects"), F.count("*").alias("lines")
+    )
+    for r in judged.collect():
+        open_line = r["tail"] in ("{", "[", ",", ":")
+        forms[r["file"]] = not r["objects"] or (open_line and 2 * r["objects"] < r["lines"])
+    return forms
+
+
+def _paths(spark: SparkSession, files: list[str]) -> list[str]:
+    """File paths as readers take them."""
+    rows = spark.createDataFrame([(f,) for f in files], "file string").select(decoded(F.col("file")).alias("path"))
+    return [literal_path(r["path"]) for r in rows.collect()]
 
 
 def _line_values(line: Column, value_type: str) -> Column:
@@ -192,37 +215,50 @@ def json_documents(spark: SparkSession, path: str | list[str], **options) -> Dat
 
 
 def json_records(spark: SparkSession, path: str | list[str], document: bool | None = None, **options) -> DataFrame:
-    """Object texts of JSON files; lines or documents decided by the first file if not given."""
-    if document is None:
-        document = is_json_document(spark, path, **options)
-    return (json_documents if document else json_lines)(spark, path, **options)
-
-
-def xml_tags(spark: SparkSession, path: str | list[str], n: int = 64, **options) -> tuple[str | None, str | None]:
-    """Root tag and the tag of its first child, null where there is none."""
-    text = ">".join(head_pieces(spark, path, ">", n, **options)) + ">"
-    blanked = F.regexp_replace(F.lit(text), r"(?s)<!--.*?-->|<\?.*?\?>|<![^>]*>", "")
-    tags = F.regexp_extract_all(blanked, F.lit(r"<(/?[^\s<>/]+)(?:\s[^>]*)?>"), 1)
-    found = spark.range(1).select(tags.alias("tags")).first()["tags"]
-    root = found[0] if found and not found[0].startswith("/") else None
-    child = found[1] if len(found) > 1 and not found[1].startswith("/") else None
-    return root, child
-
-
-def xml_records(spark: SparkSession, path: str | list[str], row_tag: str, **options) -> DataFrame:
-    """The text of every ``row_tag`` element, cut at its closing tag.
-
-    Elements of that name must not nest in each other. Comments are removed
-    within a piece.
+    """Object texts of JSON files, each cut by its own form if none is given."""
+    if document is not None:
+        return (json_documents if document else json_lines)(spark, path, **options)
+    forms = json_forms(spark, path, **options)
+    documents, lines = ([f for f, d in forms.items() if d is wanted] for wanted in (True, False))
+    if not documents or not lines:
+        return (json_documents if documents else json_lines)(spark, path, **options)
+    options = {k: v for k, v in options.items() if k != "pathGlobFilter"}
+    objects = json_documents(spark, _paths(spark, documents), **options)
+    return objects.unionByName(json_lines(spark, _paths(spark, lines), **options))
+
+
+def xml_tags(spark: SparkSession, path: str | list[str], **options) -> tuple[str | None, str | None]:
+    """Root tag and the tag of its first child, null where there is none.
+
+    More of the file's beginning is taken until both are found or it ends, so
+    a prolog may be of any length.
     """
-    name = row_tag.replace(".", r"\.")
-    opening = rf"<{name}(?:\s(?:[^>]*[^>/])?)?>"
-    empty = rf"<{name}(?:\s[^>]*)?/>"
+    n, root, child = 64, None, None
+    while True:
+        head = head_pieces(spark, path, ">", n, **options)
+        text = ">".join(head) + ">"
+        blanked = F.regexp_replace(F.lit(text), r"(?s)<!--.*?(-->|$)|<\?.*?(\?>|$)|<!\[CDATA\[.*?(\]\]>|$)|<![^>]*>", "")
+        tags = F.regexp_extract_all(blanked, F.lit(r"<(/?[^\s<>/]+)(?:\s[^>]*)?/?>"), 1)
+        found = spark.range(1).select(tags.alias("tags")).first()["tags"]
+        root = found[0] if found and not found[0].startswith("/") else None
+        child = found[1] if len(found) > 1 and not found[1].startswith("/") else None
+        if len(found) > 1 or len(head) < n:
+            return root, child
+        n *= 8
+
+
+def tag_order(spark: SparkSession, path: str | list[str], row_tag: str, names: list[str], **options) -> list[str]:
+    """The names in the order in which their tags first show in the text; those that never do come last.
+
+    The text is only looked at for places, never taken apart.
+    """
+    if len(names) < 2:
+        return list(names)
     pieces = _pieces(spark, path, f"</{row_tag}>", **options)
-    text = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
-    whole = F.regexp_extract(text, rf"(?s){opening}.*$", 0)
-    found = F.regexp_extract_all(F.regexp_replace(text, rf"(?s){opening}.*$", ""), F.lit(empty), 0)
-    closed = F.when(whole != "", F.array(F.concat(whole, F.lit(f"</{row_tag}>")))).otherwise(F.array())
-    return pieces.select(
-        F.explode(F.concat(found, closed)).alias("value"), "file", "block", "seq"
-    )
+    places = [F.regexp_instr("value", F.lit("<" + re.escape(n) + r"[\s/>]")).alias(f"p{i}") for i, n in enumerate(names)]
+    firsts = [
+        F.min(F.when(F.col(f"p{i}") > 0, F.struct("file", "block", "seq", F.col(f"p{i}").alias("at")))).alias(f"f{i}")
+        for i in range(len(names))
+    ]
+    row = pieces.select("file", "block", "seq", *places).agg(*firsts).first()
+    return sorted(names, key=lambda n: (row[f"f{names.index(n)}"] is None, tuple(row[f"f{names.index(n)}"] or ()), n))

@@ -1,18 +1,25 @@
 """Arrival-driven ingest: each new CSV is registered and copied once."""
 
 import datetime as dt
+import hashlib
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions.names import catalog_name, glob_for, join_location, key_matches, table_name, unit_path
-from landfall.operators.audit import batch_log, failure_text
+from landfall.functions.names import catalog_name, failure_text, glob_for, join_location, key_matches, table_name, unit_path
+from landfall.operators.audit import batch_log
 from landfall.operators.tables import ensure_database
 from landfall.plans.ingest import STATUS, FileGroup, sync_group
 from landfall.sources.files import LISTING
+from landfall.workspace import written
 
 FILES_PER_BATCH = 500
 
+# What is wrong with a file itself; anything else is a fault of the run and stops it.
+DATA_FAULTS = (ValueError, PySparkException)
+RETRY = "path string, modificationTime timestamp, reason string"
+
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -50,14 +57,26 @@ def stream_files(
     """Start ingesting the CSV files that arrived since the last run, then stop.
 
     The checkpoint remembers which files were seen. Every batch writes to its
-    own folder in overwrite mode, so a repeated batch changes nothing. A file
-    whose table exists is still processed.
+    own folder, named by checkpoint and batch, in overwrite mode, so a repeated
+    batch changes nothing and streams never touch each other's rows. A file
+    whose table exists is still processed; its rows are added.
+
+    Files that fail are noted beside the checkpoint and tried again first by
+    the next run. A failure that is no fault of the file stops the run after
+    the batch, which is then repeated.
     """
     ensure_database(spark, landing_db)
     ensure_database(spark, curated_db)
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:8]
+    retry = checkpoint.rstrip("/") + "-retry"
+
+    def failed_before() -> DataFrame:
+        spark.createDataFrame([], RETRY).write.mode("ignore").parquet(join_location(retry, "start"))
+        noted = spark.read.schema(RETRY).option("recursiveFileLookup", True).parquet(retry)
+        return noted.select("path", "modificationTime").distinct()
 
     # The caller's session does the work, so that its view of the tables is fresh.
-    def ingest(batch: DataFrame, batch_id: int) -> None:
+    def ingest(batch: DataFrame, batch_id: int, again: bool = False) -> None:
         started = run_ts or _now()
         wanted = batch.filter(key_matches(F.col("path"), prefix, ".csv"))
         # A batch holds at most files_per_batch paths.
@@ -68,7 +87,8 @@ def stream_files(
             groups.setdefault(file["table"], []).append(file)
         # The newest file dates the batch, so a repeated batch names the same tables.
         newest = max((f["modificationTime"] for g in groups.values() for f in g), default=started)
-        part, rows = f"batch-{batch_id:09d}", []
+        part, rows, lost, broken = f"batch-{batch_id:09d}", [], [], None
+        folder = f"{'retry' if again else 'batch'}-{stream}-{batch_id:09d}"
         for name, files in groups.items():
             table = catalog_name(name)
             paths, units = [f["path"] for f in files], {f["unit"] for f in files}
@@ -78,19 +98,35 @@ def stream_files(
             else:
                 landing["pathGlobFilter"] = glob_for(name, "csv", any_case=True)
             try:
-                used, count = sync_group(
+                used, count, note = sync_group(
                     spark, FileGroup(name, "csv", table, files=len(paths)), paths, target, landing_db, curated_db,
-                    run_ts or newest, job, target_part=part, landing_path=place, landing_options=landing, **options,
+                    run_ts or newest, job, target_part=folder, landing_path=place, landing_options=landing, **options,
                 )
-                state = (used, "SUCCEEDED", count, "")
+                state = (used, "SUCCEEDED", count, note)
             except Exception as error:
                 reason = failure_text(error)
                 state = (table, f"FAILED: {reason}", None, reason)
+                lost += [(f["path"], f["modificationTime"], reason) for f in files]
+                if not isinstance(error, DATA_FAULTS):
+                    broken = error
             rows += [(p.rpartition("/")[2], *state) for p in paths]
+        if rows:
+            spark.createDataFrame(lost, RETRY).write.mode("overwrite").parquet(join_location(retry, folder))
         if log_path and rows:
             statuses = spark.createDataFrame(rows, STATUS)
-            logged = batch_log(statuses, part, started, run_ts or _now())
-            logged.write.mode("overwrite").parquet(join_location(log_path, part))
+            logged = batch_log(statuses, folder if again else part, started, run_ts or _now())
+            logged.write.mode("overwrite").parquet(join_location(log_path, folder))
+        if broken is not None:
+            raise broken
+
+    # Files of earlier runs that failed come first. They are taken off the notes once their batch has its own.
+    noted = written(spark, failed_before(), "retry")
+    if not noted.isEmpty():
+        number = int(_now().timestamp())
+        ingest(noted, number, again=True)
+        left = spark.read.schema(RETRY).parquet(join_location(retry, f"retry-{stream}-{number:09d}"))
+        remaining = written(spark, left, "retry")
+        remaining.write.mode("overwrite").parquet(retry)
 
     return (
         new_files(spark, source, files_per_batch=files_per_batch)

@@ -37,31 +37,35 @@ def db(spark):
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-CUSTOMERS = [
-    ("C001", "Ann Lee", "ann@example.com", 32, 75000.5, "Engineering", True, "2020-01-15"),
-    ("C002", "Ben Orr", "ben@example.com", 28, 65000.0, "Sales", True, "2021-03-22"),
-    ("C003", "Cyd Poe", "cyd@example.com", 45, 95000.75, "Management", False, "2018-06-10"),
+# Made-up readings of river gauges: ids and notes are text, one whole and one decimal number, a flag.
+READINGS = [
+    ("gauge/7", "upper weir", 412, -0.25, False, "ice, thin"),
+    ("gauge/12", "mill race", 9, 18.125, True, "clear"),
+    ("gauge/3", "old bridge", 77051, 4.0625, True, "high \u00e9t\u00e9 water"),
 ]
-CUSTOMER_COLUMNS = ["customer_id", "name", "email", "age", "salary", "department", "is_active", "joining_date"]
+READING_COLUMNS = ["gauge", "site", "flow", "level", "manned", "note"]
+READING_TYPES = [("gauge", "string"), ("site", "string"), ("flow", "int"), ("level", "double"), ("manned", "string"), ("note", "string")]
 
 
-def customers(fmt):
-    """Customer rows as file text."""
+def readings(fmt):
+    """The readings as the text of a file."""
     import json
+    from xml.sax.saxutils import escape
 
-    rows = [[str(v).lower() if isinstance(v, bool) else str(v) for v in r] for r in CUSTOMERS]
-    if fmt in ("csv", "tsv"):
-        sep = "," if fmt == "csv" else "\t"
-        return "\n".join(sep.join(r) for r in [CUSTOMER_COLUMNS, *rows])
+    objects = [dict(zip(READING_COLUMNS, r, strict=True)) for r in READINGS]
+    texts = [[json.dumps(v) if isinstance(v, bool) else str(v) for v in r] for r in READINGS]
+    if fmt == "csv":
+        return "\n".join([",".join(READING_COLUMNS)] + [",".join(f'"{v}"' if "," in v else v for v in r) for r in texts])
+    if fmt == "tsv":
+        return "\n".join("\t".join(r) for r in [READING_COLUMNS, *texts])
     if fmt == "json":
-        return json.dumps([dict(zip(CUSTOMER_COLUMNS, r, strict=True)) for r in CUSTOMERS], indent=2)
+        return json.dumps(objects, indent=1)
     if fmt == "ndjson":
-        return "\n".join(json.dumps(dict(zip(CUSTOMER_COLUMNS, r, strict=True))) for r in CUSTOMERS)
+        return "".join(json.dumps(o) + "\n" for o in objects)
     if fmt == "xml":
-        cells = ["".join(f"<{c}>{v}</{c}>" for c, v in zip(CUSTOMER_COLUMNS, r, strict=True)) for r in rows]
-        body = "\n".join(f"  <customer>{c}</customer>" for c in cells)
-        return f'<?xml version="1.0" encoding="UTF-8"?>\n<customers>\n{body}\n</customers>\n'
-    return "\n".join(",".join(r) for r in rows)
+        body = "".join("<reading>" + "".join(f"<{c}>{escape(v)}</{c}>" for c, v in zip(READING_COLUMNS, r, strict=True)) + "</reading>\n" for r in texts)
+        return f"<?xml version='1.0'?><readings>\n{body}</readings>"
+    return "\n".join(" ".join(r) for r in texts)
 
 
 @pytest.fixture

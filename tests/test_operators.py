@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import CUSTOMER_COLUMNS, customers
+from conftest import READING_COLUMNS, READINGS, readings
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from landfall.functions.names import (
 from landfall.operators import audit, clean, publish, schema, tables
 from landfall.sources import files, readers
 
-TS = dt.datetime(2025, 11, 13, 18, 19, 53)
+TS = dt.datetime(2031, 4, 5, 6, 7, 8)
 
 
 def one(spark, column):
@@ -37,7 +37,7 @@ def test_names(spark):
     assert one(spark, target_location(lit("s/base//"), lit("t"))) == "s/base/t/"
     assert one(spark, parent_location(lit("s/base/f.csv"))) == "s/base/"
     assert one(spark, parent_location(lit("s/base/"))) == "s/base/"
-    assert version_suffix(TS) == "__v20251113_181953"
+    assert version_suffix(TS) == "__v20310405_060708"
     assert one(spark, key_matches(lit("in/x.csv"), "in/", ".csv")) is True
     assert one(spark, key_matches(lit("in/x.CSV"), "in/", ".csv")) is False
     assert glob_for("a[1]", "csv") == r"a\[1\].[cC][sS][vV]"
@@ -82,31 +82,19 @@ def test_latest_per_group(spark):
 @pytest.mark.parametrize("fmt", ["csv", "tsv", "json", "ndjson", "xml", "txt"])
 def test_readers(spark, zone, fmt):
     ext = "json" if fmt == "ndjson" else fmt
-    df = readers.read_landing(spark, zone(f"c.{ext}", customers(fmt)), ext)
+    df = readers.read_landing(spark, zone(f"c.{ext}", readings(fmt)), ext)
     assert df.count() == 3
     if fmt == "txt":
         assert df.columns == ["line"]
     else:
-        assert set(df.columns) == set(CUSTOMER_COLUMNS)
-        assert {str(r["customer_id"]) for r in df.collect()} == {"C001", "C002", "C003"}
+        assert set(df.columns) == set(READING_COLUMNS)
+        assert {r["gauge"] for r in df.collect()} == {r[0] for r in READINGS}
 
 
 def test_unknown_extension_is_csv(spark, zone):
     assert readers.read_landing(spark, zone("c.dat", "a,b\n1,2"), ".dat").columns == ["a", "b"]
 
 
-def test_xml_cut_equals_builtin(spark, zone):
-    path = zone("c.xml", customers("xml"))
-    schema_ = T.StructType([T.StructField(c, T.StringType()) for c in CUSTOMER_COLUMNS])
-    whole = readers.read_xml(spark, path, schema=schema_, split=False)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
-    try:
-        cut = readers.read_xml(spark, path, schema=schema_, split=True).collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sorted(cut) == sorted(whole.collect()) and len(cut) == 3
-
-
 def test_xml_other_row_tag(spark, zone):
     path = zone("o.xml", "<records><record><a>1</a></record><record><a>2</a></record></records>")
     assert readers.read_xml(spark, path, "record").count() == 2
@@ -139,7 +127,7 @@ def test_ingest_columns(spark, zone):
     df = readers.read_csv(spark, zone("in.csv", "a\n1"))
     row = clean.add_ingest_columns(df, TS, "job").first()
     assert row.asDict() == {
-        "a": "1", "ingestion_timestamp": "2025-11-13T18:19:53", "source_filename": "in.csv",
+        "a": "1", "ingestion_timestamp": "2031-04-05T06:07:08", "source_filename": "in.csv",
         "job_name": "job", "record_status": "ACTIVE",
     }
     assert clean.add_ingest_columns(spark.range(1), TS, "job", names=["w", "x", "y", "z"]).columns == ["id", "w", "x", "y", "z"]
@@ -212,14 +200,14 @@ def test_report(spark):
     decisions = spark.createDataFrame([("t", "NO_OP", "NO"), ("gone", "LANDING_MISSING", "NO")], "tbl string, action string, schema_changed string")
     rows = schema.report(decisions, landing, "l", TS).collect()
     assert len(rows) == 1
-    assert (rows[0]["Table"], rows[0]["Database"], rows[0]["SchemaChanged"], rows[0]["Timestamp"]) == ("t", "l", "NO", "20251113_181953Z")
+    assert (rows[0]["Table"], rows[0]["Database"], rows[0]["SchemaChanged"], rows[0]["Timestamp"]) == ("t", "l", "NO", "20310405_060708Z")
     assert json.loads(rows[0]["Details"]) == [{"Name": "z", "Type": "int"}, {"Name": "a", "Type": "string"}]
 
 
 def test_versioned_targets(spark):
     matches = spark.createDataFrame([("a", True), ("b", False)], "tbl string, matches boolean")
     got = {r["tbl"]: r["target"] for r in schema.versioned_targets(matches, TS).collect()}
-    assert got == {"a": "a", "b": "b__v20251113_181953"}
+    assert got == {"a": "a", "b": "b__v20310405_060708"}
 
 
 # --- sinks
@@ -235,17 +223,43 @@ def test_write_and_read_back(spark, tmp_path, fmt):
     assert sorted(map(tuple, back.collect())) == [(1, "a,b", 1.5), (2, "x\ty", None)]
 
 
-def test_few_files(spark, tmp_path, monkeypatch):
+def test_few_files(spark, tmp_path):
     path = tmp_path / "few"
     df = spark.range(0, 100, 1, 8)
     publish.write_files(df, str(path), max_files=1)
     assert len(list(path.glob("part-*"))) == 1
-    monkeypatch.setattr(publish, "ROWS_PER_FILE", 30)
-    publish.write_files(df, str(path), max_files=1)
+    publish.write_files(df, str(path), max_files=1, max_records_per_file=30)
     assert len(list(path.glob("part-*"))) == 4
     assert readers.read_csv(spark, str(path)).count() == 100
 
 
+ODD_TEXTS = ["  pad  ", "x\ny", 'q"u"o', "a,b", "tab\tbed", "back\\slash", "\\", '"', "\r\n", "", "é"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "tsv"])
+def test_delimited_files_keep_every_value(spark, db, tmp_path, fmt):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS)], "i int, s string")
+    publish.write_catalog_files(spark, df, db[1], "odd", str(tmp_path / "odd"), fmt, "overwrite")
+    assert [r["s"] for r in spark.table(f"{db[1]}.odd").orderBy("i").collect()] == ODD_TEXTS
+
+
+def test_catalog_append_matches_names(spark, db, tmp_path):
+    place = str(tmp_path / "t")
+    df = spark.createDataFrame([("A", "B")], "a string, b string")
+    for part in (df, df.select("b", "a")):
+        publish.write_catalog_files(spark, part, db[1], "t", place)
+    assert [tuple(r) for r in spark.table(f"{db[1]}.t").collect()] == [("A", "B")] * 2
+    with pytest.raises(ValueError, match="has columns"):
+        publish.write_catalog_files(spark, df.withColumn("c", F.lit(1)), db[1], "t", place)
+
+
+def test_unused_folders(spark, db, tmp_path):
+    place = str(tmp_path / "t")
+    for run in ("one", "two"):
+        publish.replace_table(spark, spark.range(3), db[1], "t", place, run_id=run)
+    assert publish.unused_folders(spark, db[1], "t", place) == [f"{place}/one"]
+
+
 def test_write_modes(spark, tmp_path):
     path = str(tmp_path / "m")
     for mode, rows in (("overwrite", 3), ("append", 6), ("overwrite", 3)):
@@ -268,15 +282,15 @@ def test_replace_and_append_table(spark, db, tmp_path):
 @pytest.mark.parametrize("fmt", ["json", "xml"])
 def test_copy_records(spark, zone, tmp_path, fmt):
     target = str(tmp_path / "copy")
-    assert publish.copy_files(spark, zone(f"c.{fmt}", customers(fmt)), target, fmt) == 3
+    assert publish.copy_files(spark, zone(f"c.{fmt}", readings(fmt)), target, fmt) == 3
     back = readers.read_landing(spark, target, fmt)
-    assert set(back.columns) == set(CUSTOMER_COLUMNS) and back.filter("age = 45").count() == 1
+    assert set(back.columns) == set(READING_COLUMNS) and back.filter("flow = 77051").count() == 1
 
 
 def test_copy_files(spark, zone, tmp_path):
     target = str(tmp_path / "copy")
-    assert publish.copy_files(spark, zone("c.csv", customers("csv")), target, "csv") == 3
-    assert readers.read_csv(spark, target).columns == CUSTOMER_COLUMNS
+    assert publish.copy_files(spark, zone("c.csv", readings("csv")), target, "csv") == 3
+    assert readers.read_csv(spark, target).columns == READING_COLUMNS
 
 
 # --- catalog
@@ -322,13 +336,18 @@ def test_table_format_mark(spark, db, tmp_path):
     publish.write_files(spark.range(4), place)
     tables.ensure_table(spark, curated, "m", place, T.StructType.fromDDL("id bigint"))
     tables.set_properties(spark, curated, "m", {"keep": "1"})
-    tables.mark_table_format(spark, curated, "m", place, properties={"extra": "2"})
+    assert tables.mark_table_format(spark, curated, "m", place, properties={"extra": "2"})
+    assert not tables.mark_table_format(spark, curated, "m", str(tmp_path / "elsewhere"), properties={"extra": "2"})
     properties = tables.table_properties(spark, curated, "m")
     assert (properties["keep"], properties["extra"], properties[tables.FORMAT_PROPERTY]) == ("1", "2", "iceberg")
     assert spark.table(f"{curated}.m").count() == 4
     publish.write_files(spark.range(2), str(tmp_path / "new"), "parquet")
     tables.mark_table_format(spark, curated, "new", str(tmp_path / "new"))
     assert spark.table(f"{curated}.new").count() == 2
+    publish.write_files(spark.range(7), str(tmp_path / "m7"))
+    assert tables.mark_table_format(spark, curated, "m", str(tmp_path / "m7"), move=True)
+    spark.catalog.refreshTable(f"{curated}.m")
+    assert spark.table(f"{curated}.m").count() == 7
     assert tables.table_properties(spark, curated, "new")[tables.FORMAT_PROPERTY] == "iceberg"
 
 
@@ -395,7 +414,7 @@ def test_batch_log(spark):
     df = audit.batch_log(status, "b1", TS, TS + dt.timedelta(seconds=5))
     assert df.columns == audit.BATCH_LOG_COLUMNS
     assert {t for _, t in df.dtypes} == {"string"}
-    assert df.first()["finished_at"] == "2025-11-13T18:19:58"
+    assert df.first()["finished_at"] == "2031-04-05T06:07:13"
 
 
 def test_workspace(spark):

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import CUSTOMER_COLUMNS, customers
+from conftest import READING_COLUMNS, READINGS, readings
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ import landfall
 from landfall.operators import publish, tables
 from landfall.sources.readers import read_csv
 
-TS = dt.datetime(2025, 11, 13, 18, 19, 53)
+TS = dt.datetime(2031, 4, 5, 6, 7, 8)
 
 
 def statuses(df):
@@ -22,14 +22,15 @@ def statuses(df):
 
 def test_ingest_of_all_formats(spark, db, zone, tmp_path):
     landing, curated = db
-    zone("people.csv", customers("csv"))
-    zone("team.TSV", customers("tsv"))
-    zone("staff.json", customers("json"))
-    zone("lines.json", customers("ndjson"))
-    zone("clients.xml", customers("xml"))
-    zone("notes.txt", customers("txt"))
+    zone("people.csv", readings("csv"))
+    zone("team.TSV", readings("tsv"))
+    zone("staff.json", readings("json"))
+    zone("lines.json", readings("ndjson"))
+    zone("clients.xml", readings("xml"))
+    zone("notes.txt", readings("txt"))
     zone("ignored.parquet", "x")
     zone("void.csv", "\n")
+    zone("nothing.tsv", "")
     zone("norows.csv", "a,b\n")
     zone("void2.json", " \n")
     zone("void3.xml", "<r></r>")
@@ -40,19 +41,20 @@ def test_ingest_of_all_formats(spark, db, zone, tmp_path):
         "staff.json": ("staff", "SUCCEEDED", 3), "lines.json": ("lines", "SUCCEEDED", 3),
         "clients.xml": ("clients", "SUCCEEDED", 3), "notes.txt": ("notes", "SUCCEEDED", 3),
         "norows.csv": ("norows", "SUCCEEDED", 0), "void.csv": ("void", "FAILED", None),
-        "void2.json": ("void2", "FAILED", None), "void3.xml": ("void3", "FAILED", None),
+        "void2.json": ("void2", "FAILED", None), "void3.xml": ("void3", "FAILED", None), "nothing.tsv": ("nothing", "FAILED", None),
     }
     messages = {r["source_file"]: r["message"] for r in result.collect()}
     assert messages["void.csv"] == "CSV appears empty or unreadable."
+    assert messages["nothing.tsv"] == "TSV appears empty or unreadable."
     assert "JSON appears empty or unreadable." in messages["void2.json"]
     assert messages["void3.xml"] == "XML has no records."
 
-    text = [("C001", "Ann Lee", "ann@example.com", "32", "75000.5", "Engineering", "true", "2020-01-15")]
-    typed = [("C001", "Ann Lee", "ann@example.com", 32, 75000.5, "Engineering", "true", "2020-01-15")]
+    text = [("gauge/12", "mill race", "9", "18.125", "true", "clear")]
+    typed = [("gauge/12", "mill race", 9, 18.125, "true", "clear")]
     for name in ("people", "team", "staff", "lines", "clients"):
         table = spark.table(f"{curated}.{name}")
-        assert table.columns == CUSTOMER_COLUMNS
-        rows = [tuple(r) for r in table.filter("customer_id = 'C001'").collect()]
+        assert table.columns == READING_COLUMNS
+        rows = [tuple(r) for r in table.filter("gauge = 'gauge/12'").collect()]
         assert rows == (text if name in ("people", "team") else typed), name
         landed = spark.table(f"{landing}.{name}")
         assert landed.schema == table.schema and landed.count() == 3, name
@@ -87,7 +89,7 @@ def test_ingest_with_detection_stamps_and_one_file(spark, db, zone, tmp_path):
     rows = spark.table(f"{curated}.n").orderBy("i").collect()
     assert [r["i"] for r in rows] == [7, 8] and rows[0]["d"] == 1000.5 and rows[1]["d"] != rows[1]["d"]
     assert (rows[0]["source_filename"], rows[0]["job_name"], rows[0]["record_status"]) == ("n.csv", "nightly", "ACTIVE")
-    assert len(list((target / "n").glob("part-*"))) == 1
+    assert len(list((target / "n").glob("run-*/part-*"))) == 1
 
 
 def test_ingest_again_versions_a_table_that_does_not_fit(spark, db, zone, tmp_path):
@@ -102,8 +104,8 @@ def test_ingest_again_versions_a_table_that_does_not_fit(spark, db, zone, tmp_pa
     failed = landfall.sync_files(spark, zone.path, target, landing, curated, run_ts=TS, on_mismatch="fail")
     assert statuses(failed)["a.csv"][1] == "FAILED"
     done = landfall.sync_files(spark, zone.path, target, landing, curated, run_ts=TS)
-    assert statuses(done)["a.csv"] == ("a__v20251113_181953", "SUCCEEDED", 1)
-    assert [tuple(r) for r in spark.table(f"{curated}.a__v20251113_181953").collect()] == [("5", "6")]
+    assert statuses(done)["a.csv"] == ("a__v20310405_060708", "SUCCEEDED", 1)
+    assert [tuple(r) for r in spark.table(f"{curated}.a__v20310405_060708").collect()] == [("5", "6")]
     assert [tuple(r) for r in spark.table(f"{curated}.a").collect()] == [(None, "5")]
 
 
@@ -113,7 +115,7 @@ def test_ingest_keeps_file_formats_apart(spark, db, zone, tmp_path):
     landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, run_ts=TS)
     zone("b/a.txt", "y")
     got = statuses(landfall.sync_files(spark, zone.path + "/b", str(tmp_path / "c"), landing, curated, run_ts=TS))
-    assert got["a.txt"] == ("a__v20251113_181953", "SUCCEEDED", 1)
+    assert got["a.txt"] == ("a__v20310405_060708", "SUCCEEDED", 1)
     assert [r["line"] for r in spark.table(f"{curated}.a").collect()] == ["x"]
 
 
@@ -148,7 +150,7 @@ def test_files_of_one_table_must_share_a_header(spark, db, zone, tmp_path):
 def test_ingest_names_the_source_file(spark, db, zone, tmp_path):
     landing, curated = db
     for name, fmt in (("a b+c%.csv", "csv"), ("d e.json", "json"), ("f.json", "ndjson"), ("g h.xml", "xml")):
-        zone(name, customers(fmt))
+        zone(name, readings(fmt))
     got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, ingest_columns=True))
     assert got == {
         "a b+c%.csv": ("a_b_c_", "SUCCEEDED", 3), "d e.json": ("d_e", "SUCCEEDED", 3),
@@ -182,11 +184,47 @@ def test_bad_json_lines_can_be_skipped(spark, db, zone, tmp_path):
     assert got["first.json"] == ("first", "SUCCEEDED", 2)
 
 
-def test_strict_ingest_fails_on_long_rows(spark, db, zone, tmp_path):
+def test_long_rows_fail_unless_they_may_be_cut(spark, db, zone, tmp_path):
     landing, curated = db
-    zone("l.csv", "a,b\n1,2,3")
-    got = landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, strict=True)
+    zone("l.csv", "a,b\n1,2,3\n4,5")
+    got = landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated)
     assert statuses(got)["l.csv"][1] == "FAILED"
+    row = landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, long_lines="cut").first()
+    assert (row["status"], row["row_count"], row["message"]) == ("SUCCEEDED", 2, "1 rows cut to the header")
+
+
+def test_parts_of_a_delivered_folder_must_share_a_header(spark, db, zone, tmp_path):
+    zone("orders.csv/part-0", "a,b\n1,2")
+    zone("orders.csv/part-1", "b,a\nx,y")
+    assert statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), *db))["orders.csv"][1] == "FAILED"
+
+
+def test_types_that_do_not_hold_the_values_make_a_version(spark, db, zone, tmp_path):
+    target = str(tmp_path / "c")
+    run = lambda: statuses(landfall.sync_files(spark, zone.path, target, *db, run_ts=TS, detect_types=True))["p.csv"]
+    zone("p.csv", "n,d\n1,1.5")
+    assert run() == ("p", "SUCCEEDED", 1)
+    zone("p.csv", "n,d\n2,7")
+    assert run() == ("p", "SUCCEEDED", 1)
+    assert [tuple(r) for r in spark.table(f"{db[1]}.p").collect()] == [(2, 7.0)]
+    zone("p.csv", "n,d\nn/a,7\nunknown,8")
+    assert run() == ("p__v20310405_060708", "SUCCEEDED", 2)
+    assert [tuple(r) for r in spark.table(f"{db[1]}.p").collect()] == [(2, 7.0)]
+
+
+def test_a_failed_write_leaves_the_table(spark, db, zone, tmp_path, monkeypatch):
+    import landfall.plans.ingest as module
+
+    target = str(tmp_path / "c")
+    zone("a.csv", "x\n1")
+    landfall.sync_files(spark, zone.path, target, *db)
+
+    def broken(*_, **__):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(module, "write_files", broken)
+    assert statuses(landfall.sync_files(spark, zone.path, target, *db))["a.csv"][1] == "FAILED"
+    assert [r["x"] for r in spark.table(f"{db[1]}.a").collect()] == ["1"]
 
 
 def test_empty_zone(spark, db, tmp_path):
@@ -248,7 +286,7 @@ def test_batch_log_table(spark, db, zone, tmp_path):
     for batch in ("b1", "b2"):
         landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, run_ts=TS, log_db=curated, batch_id=batch)
     rows = spark.table(f"{curated}.batch_log").select("batch_id", "source_file", "table_name", "status", "started_at").collect()
-    assert sorted(map(tuple, rows)) == [(b, "a.csv", "a", "SUCCEEDED", "2025-11-13T18:19:53") for b in ("b1", "b2")]
+    assert sorted(map(tuple, rows)) == [(b, "a.csv", "a", "SUCCEEDED", "2031-04-05T06:07:08") for b in ("b1", "b2")]
 
 
 def test_register_path(spark, db, zone):
@@ -321,12 +359,26 @@ def test_schema_report(spark, db, tmp_path):
     assert run(2, apply=False)[0]["a"] == ("SYNC_FDP_SCHEMA", "YES")
     history_rows = spark.read.option("recursiveFileLookup", True).parquet(history)
     assert history_rows.filter("tbl = 'a'").select("version").distinct().count() == 4
-    written = list((tmp_path / "report").glob("report=schema_report_*_20251113_201953Z/part-*.csv"))
+    written = list((tmp_path / "report").glob("report=schema_report_*_20310405_080708Z/part-*.csv"))
     assert len(written) == 2
     row = read_csv(spark, str(tmp_path / "report")).filter("`Table` = 'a'").first()
     assert json.loads(row["Details"]) == [{"Name": "id", "Type": "bigint"}, {"Name": "n", "Type": "string"}]
 
 
+def test_sync_goes_on_past_an_unreadable_entry(spark, db, tmp_path):
+    landing, curated = db
+    land(spark, landing, "good", spark.range(2), str(tmp_path / "g"))
+    land(spark, landing, "base", spark.range(2), str(tmp_path / "b"))
+    spark.sql(f"CREATE VIEW {landing}.bad AS SELECT * FROM {landing}.base")
+    spark.sql(f"DROP TABLE {landing}.base")
+    rows = landfall.sync_tables(spark, landing, curated, str(tmp_path / "c"), run_ts=TS).collect()
+    assert {(r["step"], r["status"]) for r in rows if r["table"] == "bad"} == {("PROCESS_START", "STARTED"), ("PROCESS", "FAILED")}
+    assert ("FDP_CREATE", "COMPLETED") in {(r["step"], r["status"]) for r in rows if r["table"] == "good"}
+    _, decisions = landfall.schema_report(spark, landing, curated, str(tmp_path / "c"), str(tmp_path / "h"), run_ts=TS)
+    errors = {r["tbl"]: r["error"] for r in decisions.collect()}
+    assert errors["good"] is None and errors["bad"]
+
+
 # --- arrival
 
 
@@ -357,8 +409,8 @@ def test_arrival_sees_each_file_once(spark, db, zone, tmp_path):
 
 def test_a_repeated_batch_changes_nothing(spark, db, zone, tmp_path):
     zone("a.csv", "v\n1\n2")
-    for checkpoint in ("one", "two"):
-        landfall.stream_files(spark, zone.path, str(tmp_path / "c"), *db, str(tmp_path / checkpoint)).awaitTermination()
+    for _ in range(2):
+        landfall.stream_files(spark, zone.path, str(tmp_path / "c"), *db, str(tmp_path / "one")).awaitTermination()
         assert spark.table(f"{db[1]}.a").count() == 2
 
 
@@ -370,3 +422,30 @@ def test_arrival_isolates_failures(spark, db, zone, tmp_path):
     landfall.stream_files(spark, zone.path, str(tmp_path / "c"), landing, curated, str(tmp_path / "cp"), log).awaitTermination()
     rows = spark.read.option("recursiveFileLookup", True).parquet(log).collect()
     assert {r["source_file"]: r["status"].split(":")[0] for r in rows} == {"bad.csv": "FAILED", "good.csv": "SUCCEEDED"}
+
+
+def test_failed_arrivals_are_tried_again(spark, db, zone, tmp_path):
+    landing, curated = db
+    args = (spark, zone.path, str(tmp_path / "c"), landing, curated, str(tmp_path / "cp"))
+    zone("bad.csv", "a,b\n1,2,3")
+    zone("good.csv", "a\n1")
+    landfall.stream_files(*args).awaitTermination()
+    assert not tables.table_exists(spark, curated, "bad")
+    landfall.stream_files(*args, long_lines="cut").awaitTermination()
+    assert [tuple(r) for r in spark.table(f"{curated}.bad").collect()] == [("1", "2")]
+    landfall.stream_files(*args, long_lines="cut").awaitTermination()
+    assert spark.table(f"{curated}.bad").count() == spark.table(f"{curated}.good").count() == 1
+
+
+def test_streams_and_ingests_of_one_table(spark, db, zone, tmp_path):
+    landing, curated = db
+    target = str(tmp_path / "c")
+    zone("one/a.csv", "v\n1")
+    zone("two/a.csv", "v\n2")
+    zone("three/a.csv", "v\n3")
+    landfall.sync_files(spark, zone.path + "/one", target, landing, curated, run_ts=TS)
+    for part in ("two", "three"):
+        landfall.stream_files(spark, f"{zone.path}/{part}", target, landing, curated, str(tmp_path / f"cp-{part}")).awaitTermination()
+    assert sorted(r["v"] for r in spark.table(f"{curated}.a").collect()) == ["1", "2", "3"]
+    landfall.sync_files(spark, zone.path, target, landing, curated, run_ts=TS)
+    assert sorted(r["v"] for r in spark.table(f"{curated}.a").collect()) == ["1", "2", "3"]
