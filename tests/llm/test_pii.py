@@ -1,0 +1,102 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from landfall.llm import pii
+from landfall.llm.queries import op5_pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else d * 2 - 9 * (d > 4)
+    return total % 10 == 0
+
+
+def plain(text):
+    """The contract's patterns as they stand."""
+    out = [(m.start(), 0, m.end(), "email") for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end(), "ip") for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, m.end(), "card"))
+    out += [(m.start(), 3, m.end(), "phone") for m in PHONE.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return [(a, b, k) for a, _, b, k in sorted(out)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_base_spans_follow_the_patterns(seed):
+    rng = random.Random(seed)
+    alphabet = ["a", "Z", "1", "23", "4539 1488 0343 6467", "@", ".", "-", "+", " ", "(", ")", "é", "%", "_", "\n", "255", "256", "007", "a@b.c"]
+    for _ in range(2500):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30)))
+        assert [tuple(s) for s in pii.base_spans(text)] == plain(text), text
+
+
+def test_long_runs_take_no_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "1." * 100_000, "+1" * 50_000, "1 " * 100_000):
+        pii.base_spans(text)
+
+
+def test_query_on_real_rows(spark, sf_rows):
+    result = {r["doc_id"]: r for r in op5_pii(spark, "/root/testdata/sf0.001").collect()}
+    assert len(result) == len(sf_rows)
+    for doc, text in sf_rows:
+        base, r = plain(text or ""), result[doc]
+        joined = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.BASE_KINDS] == [sum(x[2] == k for x in base) for k in pii.BASE_KINDS]
+        assert set(joined.split(",")) <= set(r["spans"].split(",")) | {""}
+
+
+def made_rows():
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        words = " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit"]) for _ in range(rng.randint(5, 20)))
+        secret = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        more = [f'token = "{secret}"', "url: aaaaaaaaaaaaaaaaaaaaaaaa", f"password={secret[:24]}", "", "", "name Mary Johnson"][i % 6]
+        rows.append((i, f"{words} {more} {words}"))
+    return rows
+
+
+def test_model_adds_secrets_and_leaves_plain_text(spark):
+    docs = spark.createDataFrame(made_rows(), "doc_id long, text string")
+    model = pii.learn(docs)
+    found = {r["doc_id"]: [s["kind"] for s in r["found"]] for r in pii.find_spans(docs, model).collect()}
+    assert all(found[i] == ["secret"] for i in range(400) if i % 6 in (0, 2))
+    assert all(found[i] == [] for i in range(400) if i % 6 in (1, 3, 4))
+    assert all(0.5 <= a <= 0.99 for a in model.reliability.values())
+
+
+def test_reliabilities_tell_good_labelers_from_noise():
+    rng = random.Random(6)
+    counts = {}
+    for _ in range(4000):
+        truth = rng.random() < 0.4
+        right = [rng.random() < p for p in (0.95, 0.9, 0.85, 0.5)]
+        votes = tuple((1 if truth else -1) * (1 if r else -1) for r in right)
+        counts["secret", votes] = counts.get(("secret", votes), 0) + 1
+    accuracy, posterior = pii.reliabilities(counts)
+    assert [round(accuracy["secret", n], 1) for n in pii.LABELERS] == pytest.approx([0.9, 0.9, 0.8, 0.5], abs=0.11)
+    assert posterior["secret", (1, 1, 1, -1)] > 0.95 > 0.05 > posterior["secret", (-1, -1, -1, 1)]
+
+
+def test_edge_cases_and_redaction(spark, edge_docs, empty_docs):
+    model = pii.learn(edge_docs)
+    assert pii.find_spans(edge_docs, model).count() == 11
+    assert [tuple(r) for r in pii.redact(edge_docs, model).orderBy("doc_id", "text").collect()] == [
+        tuple(r) for r in edge_docs.orderBy("doc_id", "text").collect()
+    ]
+    assert pii.find_spans(empty_docs, pii.learn(empty_docs)).count() == 0
+    docs = spark.createDataFrame([(1, "é mail a.b@c.org, call +1 (017) 555-7713 now", 44, "x")], "doc_id long, text string, n_chars long, found string")
+    row = pii.redact(docs, pii.Model({}, {})).first()
+    assert tuple(row) == (1, "é mail [EMAIL], call [PHONE] now", len("é mail [EMAIL], call [PHONE] now"), "x")
