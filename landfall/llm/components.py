@@ -23,6 +23,13 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Does every node have one edge at most, to a node that has none itself?"""
+    ends = edges.select(F.col("b").alias("end")).distinct()
+    heads = edges.groupBy("a").agg(F.count(F.lit(1)).alias("edges"))
+    return heads.join(ends, heads["a"] == ends["end"], "left").filter("edges > 1 OR end IS NOT NULL").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of the links (a, b).
 
@@ -32,12 +39,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     ordered = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, seen = written(spark, ordered, "links"), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
-            break
-        seen = tuple(state)
+    edges = written(spark, ordered, "links")
+    while not settled(edges):
         edges = written(spark, small_star(large_star(edges)), "links")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -5,8 +5,8 @@ borrow from a filled one chosen by a hash of the bin, the same for every documen
 (optimal densification). Runs of bins are banded into buckets. Inside a bucket
 candidates form stars around one member, so a bucket of n sets makes n - 1 pairs;
 every candidate is confirmed on the full sets. Buckets that a star leaves
-undecided get further stars until each of their pairs is compared or known to be
-connected.
+undecided get further stars, SPREAD times as many each round, until each of their
+pairs is compared or known to be connected.
 """
 
 from collections.abc import Iterator
@@ -27,6 +27,7 @@ PERCENT = 80
 BANDS = 30
 ROWS = 5
 BINS = BANDS * ROWS
+SPREAD = 16
 # Hash choices of an empty bin that are tabulated; the first ones nearly always suffice.
 CHOICES = (32, 4096)
 
@@ -107,11 +108,11 @@ def signed_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose full sets overlap by ``percent`` of their union or more."""
+    """Labels (a, b) of the pairs whose full sets overlap by ``percent`` of their union or more."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            a = batch.column("a").to_numpy()
             keep = np.zeros(len(a), bool)
             left = right = key = None
             for i in range(len(a)):
@@ -122,11 +123,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both.sort(kind="stable")
                 shared = np.count_nonzero(both[1:] == both[:-1])
                 keep[i] = 100 * shared >= percent * (len(both) - shared)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            kept = pa.array(keep)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a_label").filter(kept), batch.column("b_label").filter(kept)], names=["a", "b"]
+            )
 
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.join(two, "b").join(one, "a").select("a", "a_label", "b_label", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def stars(members: DataFrame, percent: int, spread: int) -> tuple[DataFrame, DataFrame]:
@@ -144,7 +148,12 @@ def stars(members: DataFrame, percent: int, spread: int) -> tuple[DataFrame, Dat
     )
     near = 100 * F.least("size", "center_size") >= percent * F.greatest("size", "center_size")
     pairs = members.join(centers, "bucket").filter((F.col("label") != F.col("center_label")) & near)
-    return centers, pairs.select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b")).distinct()
+    # Both ends of a pair may be centers: the larger node comes first, so that it is one pair.
+    own, other = F.struct("node", "label"), F.struct(F.col("center").alias("node"), F.col("center_label").alias("label"))
+    ends = pairs.select(F.greatest(own, other).alias("x"), F.least(own, other).alias("y")).distinct()
+    return centers, ends.select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.label").alias("a_label"), F.col("y.label").alias("b_label")
+    )
 
 
 def undecided(members: DataFrame) -> DataFrame:
@@ -153,9 +162,10 @@ def undecided(members: DataFrame) -> DataFrame:
     return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def relabelled(members: DataFrame, parts: DataFrame) -> DataFrame:
-    joined = members.join(parts.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-    return joined.withColumn("label", F.coalesce("component", "node")).select(*members.columns)
+def relabelled(labelled: DataFrame, parts: DataFrame) -> DataFrame:
+    """Labels replaced by the components they now belong to."""
+    joined = labelled.join(parts.withColumnRenamed("node", "old"), F.col("label") == F.col("old"), "left")
+    return joined.withColumn("label", F.coalesce("component", "label")).select(*labelled.columns)
 
 
 def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -188,23 +198,20 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     whole = texts.select("text", "node", "set_key")
     full = written(spark, _node_sets(whole, words).dropDuplicates(["node"]), "full-sets")
 
-    links, parts, spread = None, None, 1
+    # Labels name the components found so far; links are kept between labels only.
+    labels, spread = nodes.select("set_key", "first_id", F.col("node").alias("label")), 1
     while not members.isEmpty():
         centers, pairs = stars(members, percent, spread)
-        new = written(spark, confirmed(pairs, full, percent), "confirmed")
-        links = new if links is None else links.unionByName(new)
-        parts = components(links)
-        left = members.join(centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
-        members = written(spark, undecided(relabelled(left, parts)), "members")
-        spread *= 2
-
-    labels = nodes.select("set_key", "first_id", "node")
-    if parts is None:
-        labels = labels.select("set_key", F.col("first_id").alias("component_id"))
-    else:
-        joined = labels.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        names = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        labels = joined.join(names, "component").select("set_key", "component_id")
+        links = written(spark, confirmed(pairs, full, percent), "confirmed")
+        members = members.join(centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
+        if not links.isEmpty():
+            parts = components(links)
+            members, labels = relabelled(members, parts), relabelled(labels, parts)
+        members = written(spark, undecided(members), "members")
+        spread *= SPREAD
+
+    names = labels.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    labels = labels.join(names, "label").select("set_key", "component_id")
     out = signed.join(labels, "set_key", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     )
