@@ -1,7 +1,7 @@
 """Benchmark decontamination by rare seeds and Smith-Waterman alignment (operator 4).
 
-Of every test item the rarer half of its word n-grams, by their number of
-documents in the whole corpus, are its seeds. A passage that holds a seed is
+Of every test item the rarer three quarters of its word n-grams, by their number
+of documents in the whole corpus, are its seeds. A passage that holds a seed is
 aligned with the item word by word; the best local score over the highest
 possible one says how much of the item is in the text, edits allowed.
 """
@@ -48,14 +48,14 @@ def item_grams(items: list[np.ndarray]) -> Items:
     return Items(items, list(range(len(items))), seeds[order].astype(np.uint64), owner[order], place[order])
 
 
-def rarer_half(items: Items, frequency: dict[int, int]) -> Items:
-    """Keep of each item the half of its grams, rounded up, that fewest documents hold; ties by hash."""
+def rare_seeds(items: Items, frequency: dict[int, int]) -> Items:
+    """Keep of each item the three quarters of its grams, rounded up, that fewest documents hold; ties by hash."""
     held = np.array([frequency.get(int(s), 0) for s in items.seeds.view(np.int64)], np.int64)
     order = np.lexsort((items.seeds, held, items.owner))
     owner = items.owner[order]
     begin = np.searchsorted(owner, owner)
     size = np.searchsorted(owner, owner, side="right") - begin
-    keep = np.sort(order[np.arange(len(owner)) - begin < (size + 1) // 2])
+    keep = np.sort(order[np.arange(len(owner)) - begin < -(-3 * size // 4)])
     return items._replace(seeds=items.seeds[keep], owner=items.owner[keep], place=items.place[keep])
 
 
@@ -173,7 +173,7 @@ def gram_documents(docs: DataFrame, items: Items) -> dict[int, int]:
 
 def rare_items(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[Items]:
     """Blocks of items with their rare seeds, by the documents of the whole corpus."""
-    return [rarer_half(items, gram_documents(docs, items)) for items in blocks(benchmark, block_words) if len(items.seeds)]
+    return [rare_seeds(items, gram_documents(docs, items)) for items in blocks(benchmark, block_words) if len(items.seeds)]
 
 
 def contaminated_passages(docs: DataFrame, items: Items, threshold: float = THRESHOLD) -> DataFrame:

@@ -324,7 +324,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns of ``docs`` with personal data in text replaced, and n_chars counted anew if there is one."""
+    """All rows and columns of ``docs`` with personal data in text replaced, and n_chars counted anew where there is one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,8 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
 
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        blank = F.col("text").isNull() | F.col("n_chars").isNull()
+        changed = F.when(blank, F.col("n_chars")).otherwise(F.length("text"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
