@@ -4,32 +4,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall.llm import decontamination, near_dedup, packing, pii, toxicity
-from landfall.workspace import written
+from landfall.workspace import show_package, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold, by weights learnt from the labelled ones."""
+    show_package(spark)
     weights = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, weights)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are alike by 0.8 or more."""
+    show_package(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    show_package(spark)
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind."""
+    show_package(spark)
     return pii.redact(docs, pii.learn(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per token piece with its sequence and place there."""
+    show_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -1,7 +1,9 @@
-"""Where intermediate tables go: the shared folder the cluster names."""
+"""Where intermediate tables go: the shared folder the cluster names; and where workers find this package."""
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,17 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return join_location(shared_folder(spark), "landfall", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, wherever the session was started.
+
+    On a cluster the path must be there too, or the package be installed.
+    """
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a result that several branches use to the shared folder and read it back.
 
