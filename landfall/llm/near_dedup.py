@@ -4,9 +4,11 @@ Each document's set of word shingles is reduced to one hash per bin; empty bins
 borrow from a filled one chosen by a hash of the bin, the same for every document
 (optimal densification). Runs of bins are banded into buckets. Inside a bucket
 candidates form stars around one member, so a bucket of n sets makes n - 1 pairs;
-every candidate is confirmed on the full sets. Buckets that a star leaves
-undecided get further stars, SPREAD times as many each round, until each of their
-pairs is compared or known to be connected.
+every candidate is confirmed on the full sets. A second round of a few more stars
+settles small buckets. What is left are buckets with members of different
+components that no center has compared with each other; their sets are compared
+in blocks, inside tasks, by counting shared shingles, so that no pair becomes a
+row and no link is lost.
 """
 
 from collections.abc import Iterator
@@ -27,7 +29,9 @@ PERCENT = 80
 BANDS = 30
 ROWS = 5
 BINS = BANDS * ROWS
-SPREAD = 16
+# Stars of a bucket in each round, and the members of a block afterwards.
+ROUNDS = (1, 4)
+BLOCK = 1024
 # Hash choices of an empty bin that are tabulated; the first ones nearly always suffice.
 CHOICES = (32, 4096)
 
@@ -156,6 +160,59 @@ def stars(members: DataFrame, percent: int, spread: int) -> tuple[DataFrame, Dat
     )
 
 
+def block_links(members: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Labels (a, b) linked by any two members of a bucket that have different labels.
+
+    A bucket of more than ``block`` members is dealt into chunks by hash; every
+    two chunks, and every chunk with itself, are one group, so a hot bucket is
+    the work of many tasks.
+    """
+    chunks = F.ceil(F.col("held") / F.lit(block)).cast("int")
+    dealt = members.select("bucket", "node", "label", chunks.alias("chunks"), F.pmod(F.xxhash64("node"), chunks).cast("int").alias("own"))
+    meetings = dealt.select("bucket", "node", "label", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    placed = meetings.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        labels, own = table.column("label").to_numpy(), table.column("own").to_numpy()
+        held = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        found = linked_labels(held, labels, own if len(np.unique(own)) > 1 else None, percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    rows = placed.join(sets, "node").select("bucket", "low", "high", "label", "own", "shingles")
+    return rows.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+
+
+def linked_labels(sets: list[np.ndarray], labels: np.ndarray, side: np.ndarray | None, percent: int) -> set[tuple[int, int]]:
+    """Pairs of labels with a link between two sets, on different sides if sides are given.
+
+    An index from shingle to sets gives the overlaps of one set with all others
+    at once. The sets of the most frequent label (or of one side) need not ask.
+    """
+    size = np.array([len(s) for s in sets])
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    holder = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(shingle, kind="stable")
+    holders = holder[order]
+    begin = np.concatenate(([0], np.cumsum(np.bincount(shingle))))
+    start = np.concatenate(([0], np.cumsum(size)))
+    if side is None:
+        names, counts = np.unique(labels, return_counts=True)
+        asking = np.flatnonzero(labels != names[counts.argmax()])
+    else:
+        asking = np.flatnonzero(side == side[0])
+    found = set()
+    for i in asking.tolist():
+        own = shingle[start[i] : start[i + 1]]
+        low, count = begin[own], begin[own + 1] - begin[own]
+        end = np.cumsum(count)
+        shared = np.bincount(holders[np.repeat(low - (end - count), count) + np.arange(end[-1])], minlength=len(sets))
+        near = (100 * shared >= percent * (size[i] + size - shared)) & (labels != labels[i])
+        if side is not None:
+            near &= side != side[i]
+        found |= {(int(max(labels[i], x)), int(min(labels[i], x))) for x in labels[near].tolist()}
+    return found
+
+
 def undecided(members: DataFrame) -> DataFrame:
     """Members of the buckets that still hold sets of different components."""
     mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
@@ -189,7 +246,7 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     found = written(spark, rows.join(shared, "bucket"), "buckets")
     weight = found.groupBy("node").agg(F.sum("held").alias("weight"))
-    members = found.join(weight, "node").select("bucket", "node", "size", "weight", F.col("node").alias("label"))
+    members = found.join(weight, "node").select("bucket", "node", "size", "weight", "held", F.col("node").alias("label"))
     members = written(spark, members, "members")
 
     # Texts of the candidates alone, one for each set.
@@ -199,8 +256,8 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     full = written(spark, _node_sets(whole, words).dropDuplicates(["node"]), "full-sets")
 
     # Labels name the components found so far; links are kept between labels only.
-    labels, spread = nodes.select("set_key", "first_id", F.col("node").alias("label")), 1
-    while not members.isEmpty():
+    labels = nodes.select("set_key", "first_id", F.col("node").alias("label"))
+    for spread in ROUNDS:
         centers, pairs = stars(members, percent, spread)
         links = written(spark, confirmed(pairs, full, percent), "confirmed")
         members = members.join(centers.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
@@ -208,7 +265,9 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             parts = components(links)
             members, labels = relabelled(members, parts), relabelled(labels, parts)
         members = written(spark, undecided(members), "members")
-        spread *= SPREAD
+    links = written(spark, block_links(members, full, percent), "confirmed")
+    if not links.isEmpty():
+        labels = relabelled(labels, components(links))
 
     names = labels.groupBy("label").agg(F.min("first_id").alias("component_id"))
     labels = labels.join(names, "label").select("set_key", "component_id")
