@@ -74,6 +74,28 @@ def test_copies_of_one_base_that_are_apart_from_each_other(spark):
     assert result == brute(rows, 2, 80)
 
 
+@pytest.mark.parametrize("block", [1024, 3])
+def test_blocks_compare_what_stars_leave(spark, monkeypatch, block):
+    """Without a second round, and with blocks of three members, the result is the same."""
+    import functools
+
+    import landfall.llm.near_dedup as module
+
+    monkeypatch.setattr(module, "ROUNDS", (1,))
+    monkeypatch.setattr(module, "block_links", functools.partial(module.block_links, block=block))
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(70):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randint(3, 14)):
+            copy[at] = f"x{rng.randint(0, 25)}_{at}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = got(near_components(docs, 2))
+    assert result == brute(rows, 2, 80) and len({r[2] for r in result}) > 1
+
+
 def test_real_rows(spark, sf_docs, sf_rows):
     assert got(near_components(sf_docs, 2)) == brute(sf_rows, 2, 80)
 
@@ -98,3 +120,16 @@ def test_components_of_long_chains_and_stars(spark):
     links = spark.createDataFrame(chain + star + [(7, 7), (3, 2)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(links).collect()}
     assert found == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)}
+
+
+def test_query_against_its_sql(spark):
+    import duckdb
+
+    from landfall.llm.queries import ORACLE, op10_near_dedup
+
+    sf = "/root/testdata/sf0.001"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    result = connection.execute(ORACLE["op10_near_dedup"])
+    names = [c[0] for c in result.description]
+    assert got(op10_near_dedup(spark, sf).select(*names)) == sorted(result.fetchall(), key=str)
