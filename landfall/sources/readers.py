@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from landfall.functions.names import FORMATS, base_name, decoded, unit_path
 from landfall.operators.clean import fill_blank_names, source_name
-from landfall.operators.infer import collect_columns, infer_json, infer_present, storage_schema, text_schema
+from landfall.operators.infer import collect_columns, infer_json, infer_present, storage_schema
 from landfall.sources.files import first_file, list_keys
 from landfall.sources.records import json_records, json_forms, tag_order, xml_tags
 from landfall.workspace import written

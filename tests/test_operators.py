@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import READING_COLUMNS, READINGS, readings
+from gauges import READING_COLUMNS, READINGS, readings
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
