@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from landfall.llm.words import LOWER, Words
 
 # Distinct chunks kept by one worker; beyond it the store starts anew.
-STORE_WORDS = 1_500_000
+STORE_WORDS = 500_000
 
 # The tokenizer's pre-token pattern and the mark of a word's end in its vocabulary.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")

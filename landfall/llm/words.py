@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Texts are handled in slices of at most this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
