@@ -1,7 +1,7 @@
 """Quality rules with compression bands (operator 9).
 
 A text's zstandard ratio (bytes over compressed bytes) is taken of the whole text
-and of fixed chunks of it. Repetitive text compresses too well, noise too badly;
+and of fixed chunks of it, the last of which ends where the text ends. Repetitive text compresses too well, noise too badly;
 what is normal depends on the length, so each band of lengths has its own limits.
 """
 
@@ -25,15 +25,14 @@ class Band(NamedTuple):
 
 
 LEVEL = 3
-CHUNK_BYTES = 4096
 # Limits by length, for a whole text. A text shorter than the first band is not judged.
 TEXT_BANDS = (
     Band(128, 0.95, 3.2), Band(512, 1.20, 3.6), Band(1024, 1.40, 4.0), Band(4096, 1.60, 5.0),
     Band(16384, 1.70, 6.5), Band(65536, 1.70, 9.0),
 )
-# The same for one chunk of CHUNK_BYTES; a shorter last chunk is not judged.
-CHUNK_BAND = Band(CHUNK_BYTES, 1.50, 6.0)
-# Share of a text's full chunks that may lie outside the chunk band.
+# The same for chunks; a text's chunks have the largest of these sizes that it reaches. A shorter text has none.
+CHUNK_BANDS = (Band(512, 1.30, 3.6), Band(1024, 1.40, 4.0), Band(4096, 1.50, 6.0))
+# Share of a text's chunks that may lie outside their band.
 BAD_CHUNKS = 0.25
 
 MIN_WORDS = 50
@@ -52,12 +51,20 @@ def ratio(compressor: zstandard.ZstdCompressor, data: bytes) -> float:
     return len(data) / len(compressor.compress(data))
 
 
-def chunk_scores(compressor: zstandard.ZstdCompressor, data: bytes, band: Band = CHUNK_BAND) -> tuple[int, int]:
-    """Full chunks of a text, and how many lie outside the band."""
-    count, bad = len(data) // CHUNK_BYTES, 0
-    for i in range(count):
-        bad += not band.low <= ratio(compressor, data[i * CHUNK_BYTES : (i + 1) * CHUNK_BYTES]) <= band.high
-    return count, bad
+def chunk_scores(compressor: zstandard.ZstdCompressor, data: bytes, bands: tuple[Band, ...] = CHUNK_BANDS) -> tuple[int, int]:
+    """Chunks of a text, and how many lie outside their band.
+
+    All bytes are judged: what is left behind the last full chunk lies in one more
+    chunk of the same size, which ends with the text and overlaps the one before.
+    """
+    band = max((b for b in bands if b.size <= len(data)), default=None)
+    if band is None:
+        return 0, 0
+    starts = [*range(0, len(data) - band.size + 1, band.size)]
+    if len(data) % band.size:
+        starts.append(len(data) - band.size)
+    bad = sum(not band.low <= ratio(compressor, data[i : i + band.size]) <= band.high for i in starts)
+    return len(starts), bad
 
 
 def repeated_words(words: Words, n: int = 3) -> np.ndarray:
@@ -117,6 +124,7 @@ def text_measures(docs: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text; other columns are ignored. Null and empty
     texts have no words, zero counts and ratio 1. Repeated rows are measured each.
+    Texts shorter than the smallest chunk have no chunks, only the whole ratio.
     """
     fields = T._parse_datatype_string(COLUMNS).fields
     return docs.select("doc_id", "text").mapInArrow(measure, T.StructType([docs.schema["doc_id"], *fields]))

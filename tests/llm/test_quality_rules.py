@@ -4,9 +4,11 @@ import string
 from collections import Counter
 
 import pyarrow as pa
+import pytest
+import zstandard
 
 from landfall.llm.queries import op9_quality_rules
-from landfall.llm.quality_rules import keep_by_rules, repeated_words
+from landfall.llm.quality_rules import chunk_scores, keep_by_rules, repeated_words
 from landfall.llm.words import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -61,6 +63,25 @@ def test_bands(spark):
     assert not found[4]["in_chunk_band"]
 
 
+@pytest.mark.parametrize("size", [600, 1500, 3000, 8100])
+def test_junk_at_either_end_of_a_text(spark, size):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(800)]
+    prose = " ".join(rng.choice(vocabulary) for _ in range(3000))
+    junk = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size))
+    half = size // 2 + 20
+    rows = [(1, prose[:size]), (2, prose[:half] + " " + junk[: size - half]), (3, junk[: size - half] + " " + prose[:half])]
+    found = {r["doc_id"]: r for r in keep_by_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1]["in_chunk_band"] and found[1]["in_text_band"]
+    assert not found[2]["in_chunk_band"] and not found[3]["in_chunk_band"]
+
+
+def test_chunks_reach_the_end():
+    compressor = zstandard.ZstdCompressor(level=3)
+    sizes = {0: 0, 511: 0, 512: 1, 513: 2, 1023: 2, 1024: 1, 4095: 4, 4096: 1, 4097: 2, 8192: 2, 8193: 3}
+    assert {n: chunk_scores(compressor, b"x" * n)[0] for n in sizes} == sizes
+
+
 def test_repeats_stay_inside_their_text():
     texts = ["a b c", "a b c d a b c", "x y z x y", "", "b c d"]
     assert repeated_words(Words(pa.array(texts))).tolist() == [0, 6, 0, 0, 0]
