@@ -13,7 +13,6 @@ The strings of one gram hash are adjacent, so windows of a region that repeats
 only in part (at the ends of a passage) are compared there, by 128-bit hashes.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,8 @@ RUN_BYTES = 16 << 20
 PART_BYTES = 24 << 20
 SEGMENT = 1 << 20
 # Regions of one gram hash beyond this number are not gathered for a merge: their windows are counted by Spark.
-HOT_REGIONS = 200_000
+# At the ends of a passage all strings of a group differ and each has a hash for up to 273 windows in memory.
+HOT_REGIONS = 20_000
 PREFIX = 8
 
 
@@ -146,6 +146,21 @@ def run_rows(strings: dict[bytes, list], parts: int) -> Iterator[dict]:
         begin = end
 
 
+def found_twice(strings: list[bytes], length: int) -> list[np.ndarray]:
+    """Per string, whether each of its windows occurs again, in it or in another one."""
+    digests, ends = bytearray(), []
+    for string in strings:
+        digests += b"".join(window_hashes(string, length))
+        ends.append(len(digests) // 16)
+    high, low = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
+    order = np.lexsort((low, high))
+    same = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
+    twice = np.zeros(len(order), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return np.split(twice, ends[:-1])
+
+
 def window_hashes(data: bytes, length: int) -> list[bytes]:
     view = memoryview(data)
     return [xxhash.xxh3_128_digest(view[o : o + length]) for o in range(len(data) - length + 1)]
@@ -222,11 +237,9 @@ def repeated_stretches(group: list[Entry], length: int) -> Iterator[tuple[bytes,
         return
     if len(group) == 1:
         return
-    hashes = [window_hashes(e.string[PREFIX:], length) for e in group]
-    seen = Counter(h for of_one in hashes for h in of_one)
-    for e, of_one in zip(group, hashes, strict=True):
+    for e, twice in zip(group, found_twice([e.string[PREFIX:] for e in group], length), strict=True):
         whole = [(0, len(e.string) - PREFIX)]
-        found = whole if e.decided() else stretches([o for o, h in enumerate(of_one) if seen[h] > 1], length)
+        found = whole if e.decided() else stretches(np.flatnonzero(twice).tolist(), length)
         for key, place in e.owners:
             for a, b in found:
                 yield key, place + a, place + b

@@ -1,12 +1,13 @@
 import hashlib
 import os
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
 
 from landfall.llm.queries import op8_suffix_dedup
-from landfall.llm.suffix_dedup import without_repeats
+from landfall.llm.suffix_dedup import HOT_REGIONS, PREFIX, Entry, repeated_stretches, without_repeats
 from landfall.llm.suffix_runs import front_coded, merge
 
 
@@ -58,6 +59,22 @@ def test_every_byte_as_by_brute_force(spark, seed, hot):
     assert got(without_repeats(docs, length=40, gram=16, hot_regions=hot)) == brute(rows, 40)
 
 
+def test_memory_of_the_largest_group():
+    """Strings that differ at one end, as many as may meet in one group, by what a thousand of them need."""
+    rng, count = random.Random(6), 1000
+    passage = rng.randbytes(400 + 60)
+    strings = sorted(b"\0" * PREFIX + passage + rng.randbytes(77) for _ in range(count))
+    group = [Entry(s, 0, False, [(b"k" * 16, i)]) for i, s in enumerate(strings)]
+    tracemalloc.start()
+    found = list(repeated_stretches(group, 400))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen = Counter(s[PREFIX + o : PREFIX + o + 400] for s in strings for o in range(138))
+    ends = [max(o for o in range(138) if seen[s[PREFIX + o : PREFIX + o + 400]] > 1) + 400 for s in strings]
+    assert found == [(b"k" * 16, i, i + end) for i, end in enumerate(ends)] and min(ends) == 460
+    assert peak / count * HOT_REGIONS < 300e6
+
+
 def test_segments_of_a_long_text(spark, monkeypatch):
     import landfall.llm.suffix_dedup as module
 
