@@ -90,8 +90,14 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signed_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key of the set and its bucket keys; no bands without words."""
+def text_key(text):
+    """128 bits that tell texts apart; null for null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def signed_sets(docs: DataFrame, words: int = WORDS, text_keys: bool = False) -> DataFrame:
+    """doc_id, n_shingles, a 128-bit key of the set and its bucket keys; no bands without words. With text_key if asked."""
+    keys = [text_key(F.col("text")).alias("text_key")] if text_keys else []
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,12 +109,13 @@ def signed_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
                         part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([band_keys(signature(s)) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+                        *part.columns[2:],
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "n_shingles", "set_key", "bands", *part.schema.names[2:]],
                 )
 
-    fields = T._parse_datatype_string(SIGNED).fields
-    return docs.select("doc_id", "text").mapInArrow(sign, T.StructType([docs.schema["doc_id"], *fields]))
+    fields = T._parse_datatype_string(SIGNED + ", text_key binary" if text_keys else SIGNED).fields
+    return docs.select("doc_id", "text", *keys).mapInArrow(sign, T.StructType([docs.schema["doc_id"], *fields]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -236,8 +243,13 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     so copies cost nothing; a repeated row is kept or dropped like the first. A
     null doc_id counts for links but never names a component unless all are null.
     """
+    return _verdicts(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _verdicts(docs: DataFrame, words: int, percent: int, text_keys: bool = False) -> DataFrame:
+    """The columns of ``near_components`` and the component's label (null without words), which no other component has."""
     spark = docs.sparkSession
-    signed = written(spark, signed_sets(docs, words), "signed")
+    signed = written(spark, signed_sets(docs, words, text_keys), "signed")
     filled = signed.filter("n_shingles > 0")
     sets = filled.groupBy("set_key", "n_shingles", "bands").agg(F.min("doc_id").alias("first_id"))
     nodes = written(spark, sets.withColumn("node", F.monotonically_increasing_id()), "sets")
@@ -270,11 +282,11 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         labels = relabelled(labels, components(links))
 
     names = labels.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    labels = labels.join(names, "label").select("set_key", "component_id")
+    labels = labels.join(names, "label").select("set_key", "component_id", "label")
     out = signed.join(labels, "set_key", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     )
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("set_key", "bands")
 
 
 def _node_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -297,9 +309,22 @@ def _node_sets(texts: DataFrame, words: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id; all columns stay.
 
-    Repeated rows of a kept document are one row. Rows without doc_id stay
-    unless they are linked to a document that has one.
+    Rows of one doc_id and text are one row, and of several texts of that doc_id
+    in a group one stays. Rows without doc_id stay unless they are linked to a
+    document that has one.
     """
-    verdict = near_components(docs, words, percent).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    inner = docs.join(verdict.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(verdict["kept_id"]))
-    return inner.select(*[docs[c] for c in docs.columns])
+    kept = _verdicts(docs, words, percent, text_keys=True).filter("kept")
+    kept = kept.groupBy("doc_id", "text_key", "label").agg(F.count(F.lit(1)).alias("copies"))
+    named = F.col("doc_id").isNotNull() & F.col("label").isNotNull()
+    one = kept.filter(named).groupBy("label").agg(F.min(F.struct("text_key", "doc_id", "copies")).alias("one")).select("one.*")
+    chosen = one.unionByName(kept.filter(~named).select("text_key", "doc_id", "copies"))
+    verdict = written(docs.sparkSession, chosen.withColumnsRenamed({"doc_id": "kept_id", "text_key": "kept_key"}), "kept")
+
+    def rows(of: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(of["kept_id"]) & text_key(docs["text"]).eqNullSafe(of["kept_key"])
+        return docs.join(of.hint("shuffle_hash"), same).select(*[docs[c] for c in docs.columns])
+
+    repeated = verdict.filter("copies > 1")
+    if repeated.isEmpty():
+        return rows(verdict)
+    return rows(verdict.filter("copies = 1")).unionByName(rows(repeated).dropDuplicates(["doc_id", "text"]))

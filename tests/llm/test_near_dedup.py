@@ -114,6 +114,22 @@ def test_stage_keeps_one_of_each_group(edge_docs, empty_docs):
     assert drop_near_duplicates(empty_docs).count() == 0
 
 
+def test_stage_judges_rows_not_ids(spark):
+    first, second, third, fourth, fifth = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcde")
+    rows = [
+        (1, first), (1, first), (1, second),  # a repeated kept row; another text of that id
+        (2, first + " more"), (2, third),  # one text a near copy of another document, one not
+        (None, first + " again"), (None, fourth), (None, fourth), (None, None), (None, ""), (None, None),
+        (3, fifth), (3, fifth + " more"), (4, None), (4, ""), (4, None),
+    ]
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = [tuple(r) for r in kept.collect()]
+    of_three = [r for r in found if r[0] == 3]
+    assert len(of_three) == 1 and of_three[0] in rows
+    expected = [(1, first), (1, second), (2, third), (None, fourth), (None, None), (None, ""), (4, None), (4, "")]
+    assert sorted((r for r in found if r[0] != 3), key=str) == sorted(expected, key=str)
+
+
 def test_components_of_long_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 50)]
