@@ -17,6 +17,23 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def map_rows(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Whole rows through a function that keeps their columns; names may hold dots or other signs."""
+    names = df.columns
+    places = [f"c{i}" for i in range(len(names))]
+    plain = df.toDF(*places)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in function(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(places)
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
 def table_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

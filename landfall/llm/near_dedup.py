@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from landfall.llm.common import quoted
 from landfall.llm.components import components
 from landfall.llm.words import MULTIPLIERS, Words, mix, slices, windows
 from landfall.workspace import written
@@ -322,7 +323,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PER
 
     def rows(of: DataFrame) -> DataFrame:
         same = docs["doc_id"].eqNullSafe(of["kept_id"]) & text_key(docs["text"]).eqNullSafe(of["kept_key"])
-        return docs.join(of.hint("shuffle_hash"), same).select(*[docs[c] for c in docs.columns])
+        return docs.join(of.hint("shuffle_hash"), same).select(*[docs[quoted(c)] for c in docs.columns])
 
     repeated = verdict.filter("copies > 1")
     if repeated.isEmpty():

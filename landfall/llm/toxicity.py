@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from landfall.llm.common import sample_ids
+from landfall.llm.common import map_rows, sample_ids
 from landfall.llm.words import MULTIPLIERS, PlainWords, mix, slices
 
 HASH_BITS = 20
@@ -106,11 +106,12 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> W
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = TRAIN_DOCS) -> Weights:
     """Weights learnt from at most ``limit`` labelled texts outside the held-out fold.
 
-    Texts are turned into hash places where they lie; one task learns from the
-    bounded sample. Without usable labels every score is 0.5.
+    Texts become hash places where they lie, and only those travel; one task
+    learns from the bounded sample. Of an id's rows the one with the least places
+    counts. Without usable labels every score is 0.5.
     """
     chosen = F.broadcast(sample_ids(labels, label, limit))  # at most ``limit`` rows
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,8 +128,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
         places, values = np.append(model.places, -1), np.append(model.values.astype(float), model.bias)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(values)], names=["place", "value"])
 
-    places = texts.mapInArrow(extract, "id string, label int, places array<int>").coalesce(1)
-    rows = places.mapInArrow(fit, "place long, value double").collect()  # the weights other than zero
+    found = texts.mapInArrow(extract, "id string, label int, places array<int>")
+    once = found.groupBy("id", "label").agg(F.min("places").alias("places"))
+    rows = once.repartition(1).mapInArrow(fit, "place long, value double").collect()  # the weights other than zero
     found = np.array([r["place"] for r in rows], np.int64)
     values = np.array([r["value"] for r in rows])
     order = np.argsort(found)
@@ -174,4 +176,4 @@ def drop_toxic(docs: DataFrame, weights: Weights, threshold: float = THRESHOLD)
                 value = scores(PlainWords(part.column("text")), table, bias)
                 yield part.filter(pa.array(value < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

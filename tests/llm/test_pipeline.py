@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from landfall.workspace import written
 
@@ -34,3 +36,17 @@ def test_run_is_the_stages_in_order(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(spark, stage(spark, docs, SF), f"again-{name}")
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, docs.select("doc_id", "piece", "ids_crc32").collect()))
+
+
+def test_columns_of_any_name(spark):
+    """Names with dots, spaces, quotes or names that stages use inside stay as they are, with their values."""
+    names = ["a.b", "c d", "back`tick", "kept_id", "label", "c0", "copies", "node", "bucket"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.col("doc_id") * 10 + i)
+    docs = written(spark, docs, "test-names")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(spark, stage(spark, docs, SF), f"test-names-{name}")
+        assert docs.columns == COLUMNS + names
+    rows = docs.collect()
+    assert rows and all([r[n] for n in names] == [r["doc_id"] * 10 + i for i in range(len(names))] for r in rows)
