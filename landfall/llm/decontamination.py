@@ -3,7 +3,8 @@
 Of every test item the rarer three quarters of its word n-grams, by their number
 of documents in the whole corpus, are its seeds. A passage that holds a seed is
 aligned with the item word by word; the best local score over the highest
-possible one says how much of the item is in the text, edits allowed.
+possible one says how much of the item is in the text, edits allowed. Of an item
+longer than PASSAGE_WORDS so many words stand for the whole.
 """
 
 from collections.abc import Iterator
@@ -13,11 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from landfall.llm.common import map_rows
 from landfall.llm.words import PlainWords, slices, windows
 
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
+# A score is measured against so many words of an item at most: of a longer item half as many copied words are enough.
+PASSAGE_WORDS = 100
 # Items are handled in blocks of about this many words, so what is broadcast does not grow with their number.
 BLOCK_WORDS = 1_000_000
 FILTER_BITS = 20
@@ -130,7 +134,7 @@ def best_passages(words: PlainWords, hashes: np.ndarray, items: Items, table: np
         first, last = int(words.first[text]), int(words.first[text + 1])
         low, high = max(low, first), min(high, last)
         best, end = align(hashes[low:high], items.words[item])
-        score = best / (MATCH * length)
+        score = min(1.0, best / (MATCH * min(length, PASSAGE_WORDS)))
         if score > found.get((text, item), (0,))[0]:
             found[text, item] = (score, max(low, low + end - length) - first, low + end - first)
     return [(text, item, *value) for (text, item), value in sorted(found.items())]
@@ -240,4 +244,4 @@ def _without(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                     keep[text] &= score < threshold
                 yield part.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

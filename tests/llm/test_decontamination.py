@@ -81,3 +81,16 @@ def test_edge_cases(spark, edge_docs, empty_docs):
     assert d.drop_contaminated(edge_docs, benchmark).columns == edge_docs.columns
     assert d.drop_contaminated(edge_docs, benchmark.limit(0)).count() == 11
     assert d.drop_contaminated(empty_docs, benchmark).count() == 0
+
+
+def test_a_long_excerpt_of_a_long_item(spark):
+    rng = random.Random(21)
+    vocabulary = [f"word{i}" for i in range(4000)]
+    item = [rng.choice(vocabulary) for _ in range(500)]
+    other = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    rows = [(n, f"{other(80)} {' '.join(item[150 : 150 + n])} {other(80)}") for n in (10, 40, 60, 200, 240)] + [(0, other(700))]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in d.contaminated(docs, bench).collect()}
+    assert sorted(found) == [60, 200, 240] and found[200] == 1.0
+    assert sorted(r["doc_id"] for r in d.drop_contaminated(docs, bench).collect()) == [0, 10, 40]
