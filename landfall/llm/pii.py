@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from landfall.llm.common import map_rows, quoted
 from landfall.llm.words import PlainWords, slices
 
 # Base kinds, in the order that breaks ties, then those the method adds.
@@ -37,19 +38,25 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Candidates beyond the base.
 SECRET = re.compile(r"""[=:]\s{0,3}["']?([A-Za-z0-9+/_.-]{16,})""")
+# A long token with a digit and both cases, wherever it stands, or one that begins as issued keys do.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.@-])(?=[A-Za-z_-]*[0-9])(?=[a-z0-9_-]*[A-Z])(?=[A-Z0-9_-]*[a-z])[A-Za-z0-9_-]{16,256}(?![A-Za-z0-9+/_@-])")
+ISSUED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,256}|sk-[A-Za-z0-9-]{16,256}|xox[abprs]-[A-Za-z0-9-]{10,256})(?![A-Za-z0-9])")
 NUMBER = re.compile(r"(?<![0-9])[0-9]{12,19}(?![0-9])")
 IDENTITY = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 FULL_NAME = re.compile(r"[A-Z][a-z]+(?: [A-Z][a-z]+){1,2}(?![A-Za-z])")
+TITLED = re.compile(r"(?:(?:Mr|Mrs|Ms|Dr|Dear)\.? )+([A-Z][a-z]+(?: [A-Z][a-z]+){0,2})(?![A-Za-z])")
 
 # Gazetteers.
 KEY_WORDS = frozenset("token secret password passwd pwd key apikey api_key auth credential bearer session private".split())
 PLAIN_KEYS = frozenset("http https url version path file class id hash sha md5 commit checksum".split())
+TITLES = frozenset("mr mrs ms dr dear".split())
 FIRST_NAMES = frozenset(
     "james mary john patricia robert jennifer michael linda william elizabeth david barbara richard susan joseph jessica"
     " thomas sarah charles karen christopher lisa daniel nancy matthew betty anthony margaret sandra mark ashley donald"
     " steven emily paul anna andrew maria peter laura hans klaus pierre jean marie jose juan carlos sofia".split()
 )
 NUMBER_WORDS = frozenset("card visa account ssn social security passport tax insurance iban credit debit".split())
+CARD_WORDS = frozenset("card visa credit debit".split())
 NAME_WORDS = frozenset("mr mrs ms dr name named contact dear sincerely regards author patient client customer".split())
 CONTEXT = {"secret": KEY_WORDS, "card": NUMBER_WORDS, "id": NUMBER_WORDS, "name": NAME_WORDS}
 CONTEXT_CHARS = 48
@@ -77,9 +84,9 @@ class Candidate(NamedTuple):
 
 
 class Model(NamedTuple):
-    """Reliability of each labeler by kind, and the classifier's weights."""
+    """Rates of votes for true and for false candidates of each labeler by kind, and the classifier's weights."""
 
-    reliability: dict[tuple[str, str], float]
+    reliability: dict[tuple[str, str], tuple[float, float]]
     weights: dict[str, float]
 
     def probability(self, features: tuple[str, ...]) -> float:
@@ -159,14 +166,23 @@ def candidates(text: str, names: list[int], base: list[Span]) -> list[Candidate]
         shape = 1 if re.fullmatch(r"[0-9A-Fa-f]{16,}|(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_-]+", value) else -1
         listed = 1 if any(w in key for w in KEY_WORDS) else -1 if key in PLAIN_KEYS else 0
         found.append(candidate(text, start, start + len(value), "secret", shape, listed))
+    for pattern, listed in ((ISSUED, 1), (TOKEN, 0)):
+        for m in pattern.finditer(text):
+            found.append(candidate(text, *m.span(), "secret", 1, listed))
     for m in NUMBER.finditer(text):
-        found.append(candidate(text, *m.span(), "card", 1 if luhn(m[0]) else -1, 1 if m[0][0] in "3456" else 0))
+        # Digits that fail the checksum are no card unless the words around speak of one.
+        valid = luhn(m[0])
+        if valid or words_near(text, *m.span()) & CARD_WORDS:
+            found.append(candidate(text, *m.span(), "card", 1 if valid else -1, 1 if m[0][0] in "3456" else 0))
     for m in IDENTITY.finditer(text):
         valid = m[0][:3] not in ("000", "666") and m[0][0] != "9"
         found.append(candidate(text, *m.span(), "id", 1 if valid else -1, 0))
     for at in names:
-        m = FULL_NAME.match(text, at)
-        if m:
+        m, titled = FULL_NAME.match(text, at), TITLED.match(text, at)
+        if titled:
+            known = titled[1].split()[0].lower() in FIRST_NAMES
+            found.append(candidate(text, *titled.span(1), "name", 1 if " " in titled[1] else 0, 1 if known else 0))
+        elif m and m[0].split()[0].lower() in FIRST_NAMES:
             last = m[0].split()[-1]
             found.append(candidate(text, *m.span(), "name", 1 if len(last) > 1 else -1, 1))
     taken, out = sorted((s.start, s.end) for s in base), []
@@ -208,11 +224,13 @@ def scan(column: pa.Array, known: np.ndarray) -> Iterator[tuple[int, str, list[S
 
 
 def reliabilities(counts: dict[tuple[str, tuple[int, ...]], int], rounds: int = ROUNDS):
-    """Expectation-maximisation over vote patterns: labeler accuracies and the posterior of each pattern.
+    """Expectation-maximisation over vote patterns: how labelers vote on true and on false candidates, and the posterior of each pattern.
 
-    Labelers are taken as independent given the truth, abstentions as uninformative.
+    A labeler has two rates, of votes for a true and for a false candidate, so one
+    that never fails the true ones can rule a candidate out. Abstentions say
+    nothing. Labelers are taken as independent given the truth.
     """
-    accuracy, posterior = {}, {}
+    rates, posterior = {}, {}
     for kind in sorted({k for k, _ in counts}):
         patterns = sorted(p for k, p in counts if k == kind)
         votes = np.array(patterns, float)
@@ -222,15 +240,16 @@ def reliabilities(counts: dict[tuple[str, tuple[int, ...]], int], rounds: int =
             prior = (weight @ truth + 1) / (weight.sum() + 2)
             logit = np.full(len(patterns), math.log(prior / (1 - prior)))
             for j, name in enumerate(LABELERS):
-                cast = votes[:, j] != 0
-                right = np.where(votes[:, j] > 0, truth, 1 - truth)
-                hit = (weight[cast] @ right[cast] + 2) / (weight[cast].sum() + 3)
-                hit = min(max(hit, 0.5), 0.99)  # a labeler is never worse than chance
-                accuracy[kind, name] = hit
-                logit += votes[:, j] * math.log(hit / (1 - hit))
+                pro, cast = votes[:, j] > 0, votes[:, j] != 0
+                # Each rate begins from the belief that four votes of five are right.
+                of_true = (weight[pro] @ truth[pro] + 4) / (weight[cast] @ truth[cast] + 5)
+                of_false = (weight[pro] @ (1 - truth[pro]) + 1) / (weight[cast] @ (1 - truth[cast]) + 5)
+                of_false = min(of_false, of_true)  # a vote for a candidate never speaks against it
+                rates[kind, name] = (float(of_true), float(of_false))
+                logit += np.where(pro, math.log(of_true / of_false), np.where(cast, math.log((1 - of_true) / (1 - of_false)), 0.0))
             truth = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         posterior |= {(kind, p): float(t) for p, t in zip(patterns, truth, strict=True)}
-    return accuracy, posterior
+    return rates, posterior
 
 
 def train(rows: list[tuple[tuple[str, ...], float, int]], rounds: int = 400) -> dict[str, float]:
@@ -258,7 +277,7 @@ def learn(docs: DataFrame) -> Model:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = hashed(FIRST_NAMES), Counter()
+        known, seen = hashed(FIRST_NAMES | TITLES), Counter()
         for batch in batches:
             for part in slices(batch):
                 for _, _, _, found in scan(part.column("text"), known):
@@ -280,8 +299,8 @@ def learn(docs: DataFrame) -> Model:
     counts: Counter = Counter()
     for kind, votes, _, held in rows:
         counts[kind, votes] += held
-    accuracy, posterior = reliabilities(counts)
-    return Model(accuracy, train([(features, posterior[kind, votes], held) for kind, votes, features, held in rows]))
+    rates, posterior = reliabilities(counts)
+    return Model(rates, train([(features, posterior[kind, votes], held) for kind, votes, features, held in rows]))
 
 
 def accepted(base: list[Span], found: list[Candidate], model: Model) -> list[Span]:
@@ -300,7 +319,7 @@ def find_spans(docs: DataFrame, model: Model) -> DataFrame:
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hashed(FIRST_NAMES)
+        known = hashed(FIRST_NAMES | TITLES)
         for batch in batches:
             for part in slices(batch):
                 rows: list[list] = [[] for _ in range(part.num_rows)]
@@ -328,7 +347,7 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hashed(FIRST_NAMES)
+        known = hashed(FIRST_NAMES | TITLES)
         for batch in batches:
             for part in slices(batch):
                 new = {i: redacted(text, accepted(base, found, shared.value)) for i, text, base, found in scan(part.column("text"), known)}
@@ -341,12 +360,12 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
                 at = part.schema.get_field_index("text")
                 yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = map_rows(docs, run)
     if "n_chars" in docs.columns:
         blank = F.col("text").isNull() | F.col("n_chars").isNull()
         changed = F.when(blank, F.col("n_chars")).otherwise(F.length("text"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*map(quoted, docs.columns))
 
 
 def span_digest(spans: list[dict]) -> str:
