@@ -2,7 +2,8 @@
 
 A text's zstandard ratio (bytes over compressed bytes) is taken of the whole text
 and of fixed chunks of it, the last of which ends where the text ends. Repetitive text compresses too well, noise too badly;
-what is normal depends on the length, so each band of lengths has its own limits.
+what is normal depends on the length, so each band of lengths has its own limits:
+fixed ones for what no text should be, and narrower ones fitted to the table.
 """
 
 from collections.abc import Iterator
@@ -11,9 +12,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from landfall.llm.words import MULTIPLIERS, Words, mix, slices, text_bytes, windows
+from landfall.workspace import written
 
 
 class Band(NamedTuple):
@@ -25,6 +27,9 @@ class Band(NamedTuple):
 
 
 LEVEL = 3
+# Fitted limits: bins of lengths an octave, and how far beyond the 5th and 95th percentile a limit lies.
+BINS_AN_OCTAVE = 2
+REACH = 2.5
 # Limits by length, for a whole text. A text shorter than the first band is not judged.
 TEXT_BANDS = (
     Band(128, 0.95, 3.2), Band(512, 1.20, 3.6), Band(1024, 1.40, 4.0), Band(4096, 1.60, 5.0),
@@ -138,17 +143,41 @@ def in_band(size, value, bands=TEXT_BANDS):
     return verdict
 
 
-def judge(measures: DataFrame) -> DataFrame:
-    """Add base_failed, in_text_band, in_chunk_band and kept to measures."""
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return measures.select(
-        "*",
-        base.alias("base_failed"),
-        in_band(F.col("n_bytes"), F.col("text_ratio")).alias("in_text_band"),
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+
+
+def length_bin() -> Column:
+    return F.floor(F.log2("n_bytes") * BINS_AN_OCTAVE).cast("int").alias("bin")
+
+
+def fitted_bands(measures: DataFrame) -> DataFrame:
+    """bin, low and high: the ratios that texts of a length have, from all texts the base rules leave.
+
+    A limit lies REACH times as far from the median as the 5th or the 95th
+    percentile does, so what is rare at a length lies outside, and nothing does
+    where texts are too few to tell.
+    """
+    usual = measures.filter(~base_failed() & (F.col("n_bytes") >= TEXT_BANDS[0].size))
+    tails = F.percentile_approx("text_ratio", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)), F.lit(10_000))
+    p = usual.groupBy(length_bin()).agg(tails.alias("p"))
+    low, middle, high = (F.col("p")[i] for i in range(3))
+    return p.select("bin", (middle - REACH * (middle - low)).alias("low"), (middle + REACH * (high - middle)).alias("high"))
+
+
+def judge(measures: DataFrame, bands: DataFrame | None = None) -> DataFrame:
+    """Add base_failed, in_text_band, in_chunk_band and kept to measures; a text must lie in its fixed and its fitted band."""
+    bands = fitted_bands(measures) if bands is None else bands
+    out = measures.select("*", length_bin()).join(F.broadcast(bands), "bin", "left")  # one row a bin of lengths
+    usual = F.coalesce(F.col("text_ratio").between(F.col("low"), F.col("high")), F.lit(True))
+    return out.select(
+        *measures.columns,
+        base_failed().alias("base_failed"),
+        (in_band(F.col("n_bytes"), F.col("text_ratio")) & usual).alias("in_text_band"),
         (F.col("n_bad_chunks") <= BAD_CHUNKS * F.col("n_chunks")).alias("in_chunk_band"),
     ).withColumn("kept", ~F.col("base_failed") & F.col("in_text_band") & F.col("in_chunk_band"))
 
 
 def keep_by_rules(docs: DataFrame) -> DataFrame:
-    """The measures and verdict of every document."""
-    return judge(text_measures(docs))
+    """The measures and verdict of every document; the limits are fitted to all of ``docs``."""
+    return judge(written(docs.sparkSession, text_measures(docs), "measures"))

@@ -85,3 +85,24 @@ def test_chunks_reach_the_end():
 def test_repeats_stay_inside_their_text():
     texts = ["a b c", "a b c d a b c", "x y z x y", "", "b c d"]
     assert repeated_words(Words(pa.array(texts))).tolist() == [0, 6, 0, 0, 0]
+
+
+def test_only_a_fitted_band_rejects(spark):
+    """Lists of short cells and lines of codes, all words distinct, pass the base rules and the fixed limits."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(200, 260)))) for i in range(300)]
+    codes = [(i, " ".join("".join(rng.choice("ABCDEFGHIJKLMNOP0123456789") for _ in range(6)) for _ in range(200))) for i in range(300, 304)]
+    cells = [(i, " | ".join(f"item {k} of {i}" for k in range(90))) for i in range(304, 308)]
+    docs = spark.createDataFrame(rows + codes + cells, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in keep_by_rules(docs).collect()}
+    junk = [found[i] for i, _ in codes]
+    assert not any(r["base_failed"] or r["kept"] for r in junk) and all(r["in_chunk_band"] for r in junk)
+    assert sum(found[i]["kept"] for i, _ in rows) >= 298
+
+
+def test_few_texts_of_a_length_are_not_told_apart(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randint(0, 10**n)}" for _ in range(80)) for n in (3, 4, 5)]
+    rows = keep_by_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r["in_text_band"] for r in rows)
