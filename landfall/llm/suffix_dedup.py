@@ -32,6 +32,8 @@ SEGMENT = 1 << 20
 # Regions of one gram hash beyond this number are not gathered for a merge: their windows are counted by Spark.
 # At the ends of a passage all strings of a group differ and each has a hash for up to 273 windows in memory.
 HOT_REGIONS = 20_000
+# Keys that occur often are sent to all tasks if they are at most so many.
+HOT_KEYS = 100_000
 PREFIX = 8
 
 
@@ -106,10 +108,24 @@ def anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select(short_key(), "data").mapInArrow(run, "gram long, short long, place long")
 
 
+def with_counts(rows: DataFrame, counts: DataFrame, key: str, hot: int) -> DataFrame:
+    """``rows`` with ``held`` of their key in ``counts``. Rows of keys held more than ``hot`` times stay where they are.
+
+    Those keys are sent to the rows if they are few, counted first; else all rows meet their count by a shuffle.
+    """
+    often = counts.filter(F.col("held") > hot)
+    held = often.limit(HOT_KEYS + 1).count()
+    if not 0 < held <= HOT_KEYS:
+        return rows.join(counts, key)
+    sent = F.broadcast(often)  # at most HOT_KEYS rows
+    rest = rows.join(sent.select(key), key, "left_anti").join(counts.filter(F.col("held") <= hot), key)
+    return rows.join(sent, key).unionByName(rest)
+
+
 def repeated_places(rows: DataFrame, hot_regions: int) -> DataFrame:
     """short and the places whose gram occurs more than once: ``merged`` ones, and ``counted`` ones of hot grams."""
     counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    found = rows.join(counts, "gram")
+    found = with_counts(rows, written(rows.sparkSession, counts, "gram-counts"), "gram", hot_regions)
     hot = F.col("held") > hot_regions
     return found.groupBy("short").agg(
         F.collect_set(F.when(~hot, F.col("place"))).alias("merged"), F.collect_set(F.when(hot, F.col("place"))).alias("counted")
@@ -321,8 +337,9 @@ def counted_stretches(candidates: DataFrame, length: int, gram: int) -> DataFram
 
     hot = candidates.filter(F.size("counted") > 0).select("key", "data", "copies", "counted")
     rows = hot.mapInArrow(run, "hash binary, key binary, start long, copies long")
-    twice = rows.groupBy("hash").agg(F.sum("copies").alias("held")).filter("held > 1").select("hash")
-    return rows.join(twice, "hash", "left_semi").filter("copies = 1").select("key", "start", (F.col("start") + length).alias("end"))
+    twice = rows.groupBy("hash").agg(F.sum("copies").alias("held")).filter("held > 1")
+    twice = written(candidates.sparkSession, twice, "window-counts")
+    return with_counts(rows, twice, "hash", HOT_REGIONS).filter("copies = 1").select("key", "start", (F.col("start") + length).alias("end"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_regions: int = HOT_REGIONS) -> DataFrame:

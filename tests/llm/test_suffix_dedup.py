@@ -91,7 +91,7 @@ def test_segments_of_a_long_text(spark, monkeypatch):
 
 def test_query_on_real_rows(spark, sf_rows):
     expected = [(d, n, gone, spans, hashlib.sha256(kept).hexdigest()) for d, n, gone, spans, kept in brute(sf_rows, 400)]
-    result = [tuple(r) for r in op8_suffix_dedup(spark, "/root/testdata/sf0.001").collect()]
+    result = [tuple(r)[:5] for r in op8_suffix_dedup(spark, "/root/testdata/sf0.001").collect()]
     assert sorted(result, key=str) == sorted(expected, key=str)
 
 
