@@ -1,7 +1,7 @@
 """Benchmark decontamination by rare seeds and Smith-Waterman alignment (operator 4).
 
-Of every test item the rarer three quarters of its word n-grams, by their number
-of documents in the whole corpus, are its seeds. A passage that holds a seed is
+Of every stretch of a test item the rarer three quarters of its word n-grams, by
+their number of documents in the whole corpus, are its seeds. A passage that holds a seed is
 aligned with the item word by word; the best local score over the highest
 possible one says how much of the item is in the text, edits allowed. Of an item
 longer than PASSAGE_WORDS so many words stand for the whole.
@@ -18,6 +18,8 @@ from landfall.llm.common import map_rows
 from landfall.llm.words import PlainWords, slices, windows
 
 SEED_WORDS = 3
+# Rare grams are chosen among so many neighbours in an item.
+STRETCH = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 # A score is measured against so many words of an item at most: of a longer item half as many copied words are enough.
@@ -53,13 +55,17 @@ def item_grams(items: list[np.ndarray]) -> Items:
 
 
 def rare_seeds(items: Items, frequency: dict[int, int]) -> Items:
-    """Keep of each item the three quarters of its grams, rounded up, that fewest documents hold; ties by hash."""
+    """Keep of each stretch of an item the three quarters of its grams, rounded up, that fewest documents hold; ties by hash.
+
+    An item is many stretches, so that a passage of it that many documents copy keeps seeds too.
+    """
     held = np.array([frequency.get(int(s), 0) for s in items.seeds.view(np.int64)], np.int64)
-    order = np.lexsort((items.seeds, held, items.owner))
-    owner = items.owner[order]
-    begin = np.searchsorted(owner, owner)
-    size = np.searchsorted(owner, owner, side="right") - begin
-    keep = np.sort(order[np.arange(len(owner)) - begin < -(-3 * size // 4)])
+    stretch = (items.owner << 32) + items.place // STRETCH
+    order = np.lexsort((items.seeds, held, stretch))
+    stretch = stretch[order]
+    begin = np.searchsorted(stretch, stretch)
+    size = np.searchsorted(stretch, stretch, side="right") - begin
+    keep = np.sort(order[np.arange(len(stretch)) - begin < -(-3 * size // 4)])
     return items._replace(seeds=items.seeds[keep], owner=items.owner[keep], place=items.place[keep])
 
 
