@@ -39,6 +39,11 @@ def unit_path(path: Column) -> Column:
     return F.regexp_replace(path, rf"(?i)^(.*?\.(?:{extensions}))/.+$", "$1")
 
 
+def inside_folder(path: Column) -> Column:
+    """Does the file lie in a delivered folder?"""
+    return path.rlike(rf"(?i)\.(?:{'|'.join(FORMATS)})/")
+
+
 def table_name(path: Column, lower: bool = False, prefix: str = "") -> Column:
     """Table name of a file: base name without its extension."""
     base = F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")

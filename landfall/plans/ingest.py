@@ -5,9 +5,11 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from landfall.functions.names import catalog_name, failure_text, glob_for, join_location, literal_path, version_suffix
+from landfall.functions.names import (
+    catalog_name, failure_text, file_format, glob_for, join_location, literal_path, table_name, version_suffix,
+)
 from landfall.operators.audit import batch_log, process_id
 from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_blank_names
 from landfall.operators.infer import (
@@ -15,8 +17,8 @@ from landfall.operators.infer import (
 )
 from landfall.operators.publish import READ_BACK, append_table, write_files
 from landfall.operators.tables import ensure_database, ensure_table, qualified, table_exists, table_source, upsert_table
-from landfall.sources.files import empty_files, list_files
-from landfall.sources.readers import infer_xml, long_rows, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
+from landfall.sources.files import LOOSE, empty_files, list_files
+from landfall.sources.readers import LONG, checked_rows, infer_xml, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
 from landfall.sources.records import json_forms, json_records, line_object, xml_tags
 from landfall.workspace import written
 
@@ -26,7 +28,7 @@ EMPTY = "{} appears empty or unreadable."
 # Carries the name of the source file where rows are cut from record texts.
 SOURCE_COLUMN = "_source_file"
 
-# Groups of up to so many files are read by path, larger ones by a pattern; the rows are the same.
+# Groups of up to so many files are read by path, larger ones by a pattern that passes over delivered folders.
 PATHS_READ = 100
 
 # Marks a name delivered as several folders, or as folder and file.
@@ -37,7 +39,8 @@ class FileGroup(NamedTuple):
     """The files of a zone that share a base name and format; they form one table.
 
     ``folder`` is set when they are the part files of one delivered folder;
-    otherwise ``files`` counts them.
+    otherwise ``files`` counts them and ``first`` is one of them. ``hidden``
+    files of that name lie in delivered folders and belong to those.
     """
 
     base: str
@@ -45,6 +48,8 @@ class FileGroup(NamedTuple):
     table: str
     folder: str | None = None
     files: int = 1
+    first: str | None = None
+    hidden: int = 0
 
 
 class Landed(NamedTuple):
@@ -69,7 +74,10 @@ def file_groups(files: DataFrame, suffix_format: bool = False) -> list[FileGroup
         F.min(F.when(is_folder, F.col("unit"))).alias("folder"),
         F.max(F.when(is_folder, F.col("unit"))).alias("last_folder"),
         F.count(F.when(~is_folder, 1)).alias("files"),
+        F.min(F.when(~is_folder, F.col("path"))).alias("first"),
     )
+    inner = files.filter(is_folder).select(table_name(F.col("path")).alias("table_name"), file_format(F.col("path")).alias("format"))
+    groups = groups.join(inner.groupBy("table_name", "format").agg(F.count("*").alias("hidden")), ["table_name", "format"], "left")
     shared = groups.groupBy("table_name").agg(F.count("*").alias("formats"))
     rows = groups.join(shared, "table_name").orderBy("table_name", "format").collect()
     result, taken = [], set()
@@ -84,10 +92,20 @@ def file_groups(files: DataFrame, suffix_format: bool = False) -> list[FileGroup
         folder = r["folder"]
         if folder and (folder != r["last_folder"] or r["files"]):
             folder = AMBIGUOUS
-        result.append(FileGroup(r["table_name"], r["format"], name, folder, r["files"]))
+        result.append(FileGroup(r["table_name"], r["format"], name, folder, r["files"], r["first"], r["hidden"] or 0))
     return result
 
 
+def _checked_columns(rows: DataFrame, detect_types: bool) -> tuple[list[ColumnSpec], int]:
+    """Columns of checked rows and how many records are too long, in one scan."""
+    values = [c for c in rows.columns if c != LONG]
+    if not detect_types:
+        return collect_columns(infer_table(rows.drop(LONG), False)), rows.filter(F.col(LONG).isNotNull()).count()
+    seen = Observation()
+    counted = rows.observe(seen, F.count(LONG).alias("long"))
+    return collect_columns(infer_table(counted.select(*[F.col(f"`{c}`") for c in values]))), seen.get["long"]
+
+
 def land_files(
     spark: SparkSession,
     path: str | list[str],
@@ -111,13 +129,10 @@ def land_files(
         df = fill_blank_names((read_tsv if fmt == "tsv" else read_csv)(spark, path, **options))
         if not df.columns:
             raise ValueError(EMPTY.format(fmt.upper()))
-        too_long, note = long_rows(spark, path, fmt, **options), ""
-        if long_lines == "cut":
-            rows = too_long.count()
-            note = f"{rows} rows cut to the header" if rows else ""
-        elif not too_long.isEmpty():
+        columns, rows = _checked_columns(checked_rows(spark, path, fmt, **options), detect_types)
+        if rows and long_lines != "cut":
             raise ValueError("a row is longer than the header")
-        columns = collect_columns(infer_table(df, detect_types))
+        note = f"{rows} rows cut to the header" if rows else ""
         sep = {"sep": "\t"} if fmt == "tsv" else {}
         return Landed(columns, df, "csv", {"header": "true", "escape": '"', **sep}, note=note)
     if fmt == "json":
@@ -229,6 +244,9 @@ def sync_group(
     """
     options = read_options or {}
     landed = land_files(spark, path, group.fmt, **land_options, **options)
+    if group.hidden and not group.folder:
+        note = "landing table not registered: delivered folders hold files of that name"
+        landed = landed._replace(registered=False, note="; ".join(filter(None, [landed.note, note])))
     if landed.registered:
         ensure_table(
             spark, landing_db, group.table, landing_path or path, storage_schema(landed.columns), landed.source,
@@ -296,8 +314,11 @@ def sync_files(
     # Listed once; a group of few files is read by their paths.
     listed = written(spark, list_files(spark, source, formats), "listing")
     groups = file_groups(listed, suffix_format)
-    loose = listed.filter(F.col("unit") == F.col("path")).groupBy("table_name", "format")
-    few = loose.agg(F.collect_list("path").alias("paths"), F.count("*").alias("n")).filter(F.col("n") <= PATHS_READ)
+    sizes = spark.createDataFrame(
+        [(g.base, g.fmt) for g in groups if not g.folder and g.files <= PATHS_READ], "table_name string, format string"
+    )
+    loose = listed.filter(F.col("unit") == F.col("path")).join(F.broadcast(sizes), ["table_name", "format"])
+    few = loose.groupBy("table_name", "format").agg(F.collect_list("path").alias("paths"))
     places = {(r["table_name"], r["format"]): r["paths"] for r in few.collect()}
     nothing = empty_files(spark, source, listed, formats).orderBy("unit").collect()
 
@@ -312,7 +333,7 @@ def sync_files(
             if paths:
                 path = [literal_path(p) for p in paths]
             else:
-                reading = landing
+                reading = {**landing, LOOSE: literal_path(group.first)}
         label = f"{group.base}.{'txt' if group.fmt == 'text' else group.fmt}"
         try:
             if group.folder == AMBIGUOUS:

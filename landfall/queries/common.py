@@ -71,6 +71,20 @@ def land(spark: SparkSession, df: DataFrame, file_name: str, zone: str | None =
     return path
 
 
+def land_loose(spark: SparkSession, df: DataFrame, zone: str, file_name: str, key: str, files: int) -> None:
+    """Land rows as ``files`` CSV files of one name, each in a folder of its own."""
+    parts = fresh_folder(spark, "parts")
+    with landing():
+        dealt = df.withColumn("_deal", F.pmod(F.xxhash64(key), F.lit(files))).repartition(8, "_deal")
+        dealt.write.partitionBy("_deal").option("header", True).csv(parts)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        system = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(path(f"{parts}/_deal=*/part-*.csv")):
+            place = path(zone, f"{found.getPath().getParent().getName().replace('_deal=', 'from-')}/{file_name}")
+            system.mkdirs(place.getParent())
+            system.rename(found.getPath(), place)
+
+
 def land_json_arrays(
     spark: SparkSession, df: DataFrame, file_name: str, key: str, rows_per_file: int = 50_000, zone: str | None = None
 ) -> str:

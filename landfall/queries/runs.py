@@ -10,10 +10,10 @@ from landfall.operators.infer import collect_columns, infer_table, storage_value
 from landfall.operators.publish import replace_table, write_files
 from landfall.operators.schema import as_inventory, catalog_inventory, compare_zones, decide
 from landfall.operators.tables import FORMAT_PROPERTY, ensure_table, table_properties, table_source, upsert_table
-from landfall.plans.ingest import sync_files
+from landfall.plans.ingest import PATHS_READ, sync_files
 from landfall.plans.publish import publish_table
 from landfall.plans.sync import schema_report, sync_tables
-from landfall.queries.common import RUN_TS, TABLES, land, land_json_arrays, load, new_db, types_sql
+from landfall.queries.common import RUN_TS, TABLES, land, land_json_arrays, land_loose, load, new_db, types_sql
 from landfall.sources.readers import read_csv, read_table
 from landfall.streaming.arrival import stream_files
 from landfall.workspace import fresh_folder
@@ -61,6 +61,21 @@ def ingest_zone_landing(spark, sf):
     return read_table(spark, landing, "nation")
 
 
+def ingest_many_files(spark, sf):
+    """More loose files of a name than are read by their paths, and a delivered folder that holds a file of that name."""
+    zone = fresh_folder(spark, "zone")
+    land_loose(spark, load(spark, sf, "orders"), zone, "part.csv", "o_orderkey", 2 * PATHS_READ)
+    land_loose(spark, load(spark, sf, "customer"), f"{zone}/big.csv", "part.csv", "c_custkey", 1)
+    status, _, curated = _ingest(spark, zone, "many", detect_types=True)
+    orders, customers = read_table(spark, curated, "part"), read_table(spark, curated, "big")
+    sums = [
+        orders.agg(F.lit("part").alias("tbl"), F.count("*").alias("row_count"), F.sum("o_orderkey").alias("keys")),
+        customers.agg(F.lit("big").alias("tbl"), F.count("*").alias("row_count"), F.sum("c_custkey").alias("keys")),
+    ]
+    reported = status.select(F.col("table_name").alias("tbl"), "status", F.col("row_count").alias("reported"))
+    return sums[0].unionByName(sums[1]).join(reported, "tbl").select("tbl", "status", "reported", "row_count", "keys")
+
+
 def ingest_with_detection(spark, sf):
     """CSV columns typed and every row stamped."""
     zone = fresh_folder(spark, "zone")
@@ -305,7 +320,7 @@ def land_clean_publish(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        ingest_zone_status, ingest_zone_rows, ingest_zone_landing, ingest_with_detection, ingest_versioned,
+        ingest_zone_status, ingest_zone_rows, ingest_zone_landing, ingest_many_files, ingest_with_detection, ingest_versioned,
         run_summary_counts, batch_log_rows, sync_tables_audit, sync_tables_schema, schema_report_run,
         stream_new_files, stream_batch_log, publish_then_sync_rows, convert_json_texts_to_csv, ingest_then_stream, stream_retry,
         ingest_type_change, ingest_json_mixed, ingest_empty_and_long, sync_type_drift, audit_append, land_clean_publish,
@@ -336,6 +351,10 @@ ORACLE = {
     "ingest_zone_landing": """
         SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation
     """,
+    "ingest_many_files": """
+        SELECT 'part' AS tbl, 'SUCCEEDED' AS status, count(*) AS reported, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+        UNION ALL SELECT 'big', 'SUCCEEDED', count(*), count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
+    """,
     "ingest_with_detection": f"""
         SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber),
             {_STAMPS.format("'part file' AS source_filename, ", 'nightly')}

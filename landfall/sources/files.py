@@ -2,11 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.functions.names import FORMATS, base_name, decoded, file_format, key_matches, table_name, unit_path
+from landfall.functions.names import FORMATS, base_name, decoded, file_format, inside_folder, key_matches, table_name, unit_path
 
+# Reader option of this package: leave out the files of delivered folders. Its value is a loose file, whose header counts.
+LOOSE = "looseFiles"
 LISTING = "path string, modificationTime timestamp, length bigint"
 
 
+def scan(df: DataFrame, options: dict[str, str]) -> DataFrame:
+    """A fresh scan without the files of delivered folders, if its options say so; those files are not opened."""
+    return df.filter(~inside_folder(F.col("_metadata.file_path"))) if LOOSE in options else df
+
+
 def _listing(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from landfall.functions.names import FORMATS, base_name, decoded, unit_path
 from landfall.operators.clean import fill_blank_names, source_name
 from landfall.operators.infer import collect_columns, infer_json, infer_present, storage_schema
-from landfall.sources.files import first_file, list_keys
+from landfall.sources.files import LOOSE, first_file, list_keys, scan
 from landfall.sources.records import json_records, json_forms, tag_order, xml_tags
 from landfall.workspace import written
 
@@ -15,8 +15,12 @@ XML_NAMES = {"attributePrefix": "@", "valueTag": "@text"}
 
 def read_csv(spark: SparkSession, path, sep: str = ",", infer: bool = False, schema=None, **options) -> DataFrame:
     """CSV with a header and doubled quotes; all strings unless a schema is given or inferred."""
-    reader = spark.read.options(**{"header": True, "sep": sep, "inferSchema": infer, "escape": '"', **options})
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    chosen = {"header": True, "sep": sep, "inferSchema": infer, "escape": '"', **options}
+    if schema is None and LOOSE in options:
+        alone = {k: v for k, v in chosen.items() if k != "pathGlobFilter"}
+        schema = spark.read.options(**alone).csv(options[LOOSE]).schema
+    reader = spark.read.options(**chosen)
+    return scan((reader.schema(schema) if schema is not None else reader).csv(path), options)
 
 
 def read_tsv(spark: SparkSession, path, **options) -> DataFrame:
@@ -28,7 +32,7 @@ def read_json(spark: SparkSession, path, schema=None, document: bool | None = No
     forms = {document} if document is not None else set(json_forms(spark, path, **options).values())
     if forms <= {False}:
         reader = spark.read.options(**options)
-        return (reader.schema(schema) if schema is not None else reader).json(path)
+        return scan((reader.schema(schema) if schema is not None else reader).json(path), options)
     records = json_records(spark, path, document, **options)
     if schema is None:
         records = written(spark, records, "json-objects")
@@ -48,7 +52,7 @@ def _parsed(records: DataFrame, record: Column, source_column: str | None) -> Da
 
 
 def read_text(spark: SparkSession, path, column: str = "line", **options) -> DataFrame:
-    return spark.read.options(**options).text(path).withColumnRenamed("value", column)
+    return scan(spark.read.options(**options).text(path), options).withColumnRenamed("value", column)
 
 
 def read_xml(
@@ -67,7 +71,7 @@ def read_xml(
     if row_tag is None:
         raise ValueError("XML has no records.")
     reader = spark.read.option("rowTag", row_tag).options(**options)
-    df = (reader.schema(schema) if schema is not None else reader).xml(path)
+    df = scan((reader.schema(schema) if schema is not None else reader).xml(path), options)
     return df.select("*", source_name(df).alias(source_column)) if source_column else df
 
 
@@ -113,11 +117,33 @@ def header_schema(spark: SparkSession, path, **options) -> T.StructType:
 
 
 
+# Column of checked_rows, named so that no header cell is likely to be called so.
+LONG = "_long_record"
+
+
+def checked_rows(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFrame:
+    """CSV or TSV rows as text, and LONG: the text of a record that has more fields than the header.
+
+    The reader's own verdict tells which records do not fit, so values that span
+    lines are judged as the records they are, in the scan that reads them.
+    """
+    sep = options.pop("sep", "\t" if fmt == "tsv" else ",")
+    header = read_csv(spark, path, sep=sep, **options)
+    shape = T.StructType([*(T.StructField(n, T.StringType()) for n in header.columns), T.StructField(LONG, T.StringType())])
+    # A record is judged by all of its fields, whichever of them a query needs.
+    verdict = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": LONG, "columnPruning": "false"}
+    rows = read_csv(spark, path, sep=sep, schema=shape, **{**options, **verdict})
+    # A record that does not fit may also be too short.
+    wide = ", ".join(f"c{i} string" for i in range(len(header.columns) + 1))
+    marks = {k: v for k, v in options.items() if k in ("quote", "escape", "charToEscapeQuoteEscaping")}
+    fields = F.from_csv(F.rtrim(LONG, F.lit("\r\n")), wide, {"sep": sep, "escape": '"', **marks})
+    # The reader gives no verdict to a scan of the verdict alone; this always true look at a value keeps one in.
+    read = F.coalesce(F.length(F.col(f"`{header.columns[0]}`")), F.lit(0)) >= 0
+    over = F.when(read & fields[f"c{len(header.columns)}"].isNotNull(), F.rtrim(LONG, F.lit("\r\n")))
+    names = fill_blank_names(header).columns
+    return rows.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(header.columns, names, strict=True)], over.alias(LONG))
+
 
 def long_rows(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFrame:
-    """Texts of CSV or TSV rows with more fields than the header."""
-    sep = "\t" if fmt == "tsv" else ","
-    names = fill_blank_names(read_csv(spark, path, sep=sep, **options)).columns
-    wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    fields = F.from_csv("line", wide, {"sep": sep, "escape": '"'})
-    return read_text(spark, path, **options).filter(fields[f"c{len(names)}"].isNotNull())
+    """Texts of CSV or TSV records with more fields than the header."""
+    return checked_rows(spark, path, fmt, **options).filter(F.col(LONG).isNotNull()).select(F.col(LONG).alias("line"))

@@ -10,8 +10,10 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from landfall.functions.names import decoded, literal_path
+from landfall.sources.files import LOOSE, scan
 from landfall.workspace import written
 
+
 def _pieces(
     spark: SparkSession, path: str | list[str], separator: str, _size: bool = False, **options
 ) -> DataFrame:
@@ -23,7 +25,7 @@ def _pieces(
     ]
     if _size:
         columns.append(F.col("_metadata.file_size").alias("size"))
-    return spark.read.option("lineSep", separator).options(**options).text(path).select(*columns)
+    return scan(spark.read.option("lineSep", separator).options(**options).text(path), options).select(*columns)
 
 
 def head_pieces(spark: SparkSession, path: str | list[str], separator: str, n: int, **options) -> list[str]:
@@ -60,8 +62,9 @@ def json_forms(spark: SparkSession, path: str | list[str], **options) -> dict[st
     if not unclear:
         return forms
     # Only the files that need it are read by lines: an array may be one long line.
-    places = path if len(unclear) == len(forms) else _paths(spark, unclear)
-    lines = _pieces(spark, places, "\n", **options).filter(F.col("value").rlike(r"\S"))
+    whole = len(unclear) == len(forms)
+    places = path if whole else _paths(spark, unclear)
+    lines = _pieces(spark, places, "\n", **(options if whole else {k: v for k, v in options.items() if k != LOOSE})).filter(F.col("value").rlike(r"\S"))
     tail = F.regexp_extract("value", r"(\S)\s*$", 1)
     found = lines.select("file", "block", "seq", tail.alias("tail"), line_object(F.col("value")).isNotNull().cast("int").alias("object"))
     judged = found.groupBy("file").agg(
@@ -222,7 +225,7 @@ def json_records(spark: SparkSession, path: str | list[str], document: bool | No
     documents, lines = ([f for f, d in forms.items() if d is wanted] for wanted in (True, False))
     if not documents or not lines:
         return (json_documents if documents else json_lines)(spark, path, **options)
-    options = {k: v for k, v in options.items() if k != "pathGlobFilter"}
+    options = {k: v for k, v in options.items() if k not in ("pathGlobFilter", LOOSE)}
     objects = json_documents(spark, _paths(spark, documents), **options)
     return objects.unionByName(json_lines(spark, _paths(spark, lines), **options))
 
@@ -250,9 +253,10 @@ def xml_tags(spark: SparkSession, path: str | list[str], **options) -> tuple[str
 def tag_order(spark: SparkSession, path: str | list[str], row_tag: str, names: list[str], **options) -> list[str]:
     """The names in the order in which their tags first show in the text; those that never do come last.
 
-    The text is only looked at for places, never taken apart.
+    The text is only looked at for places, never taken apart. Of loose files
+    only names that show are kept: the others come from delivered folders.
     """
-    if len(names) < 2:
+    if not names or (len(names) < 2 and LOOSE not in options):
         return list(names)
     pieces = _pieces(spark, path, f"</{row_tag}>", **options)
     places = [F.regexp_instr("value", F.lit("<" + re.escape(n) + r"[\s/>]")).alias(f"p{i}") for i, n in enumerate(names)]
@@ -261,4 +265,7 @@ def tag_order(spark: SparkSession, path: str | list[str], row_tag: str, names: l
         for i in range(len(names))
     ]
     row = pieces.select("file", "block", "seq", *places).agg(*firsts).first()
-    return sorted(names, key=lambda n: (row[f"f{names.index(n)}"] is None, tuple(row[f"f{names.index(n)}"] or ()), n))
+    shown = {n: tuple(row[f"f{i}"]) if row[f"f{i}"] else None for i, n in enumerate(names)}
+    if LOOSE in options:
+        shown = {n: place for n, place in shown.items() if place is not None}
+    return sorted(shown, key=lambda n: (shown[n] is None, shown[n] or (), n))

@@ -18,7 +18,9 @@ FILES_PER_BATCH = 500
 
 # What is wrong with a file itself; anything else is a fault of the run and stops it.
 DATA_FAULTS = (ValueError, PySparkException)
-RETRY = "path string, modificationTime timestamp, reason string"
+# One event of a file in the ledger of failures; the one with the highest number tells its state.
+RETRY = "path string, modificationTime timestamp, reason string, state string, number bigint"
+FAILED, DONE = "failed", "done"
 
 
 def _now() -> dt.datetime:
@@ -61,9 +63,12 @@ def stream_files(
     batch changes nothing and streams never touch each other's rows. A file
     whose table exists is still processed; its rows are added.
 
-    Files that fail are noted beside the checkpoint and tried again first by
-    the next run. A failure that is no fault of the file stops the run after
-    the batch, which is then repeated.
+    Files that fail are noted beside the checkpoint, in a ledger that only
+    grows, and tried again first by the next run. A retry is named by the newest
+    event it starts from and notes all its outcomes in one write, so a run that
+    stops anywhere repeats the same retry: no note is lost and no row is added
+    twice. A failure that is no fault of the file stops the run after the batch,
+    which is then repeated.
     """
     ensure_database(spark, landing_db)
     ensure_database(spark, curated_db)
@@ -73,7 +78,8 @@ def stream_files(
     def failed_before() -> DataFrame:
         spark.createDataFrame([], RETRY).write.mode("ignore").parquet(join_location(retry, "start"))
         noted = spark.read.schema(RETRY).option("recursiveFileLookup", True).parquet(retry)
-        return noted.select("path", "modificationTime").distinct()
+        newest = noted.groupBy("path").agg(F.max_by(F.struct("modificationTime", "state", "number"), "number").alias("newest"))
+        return newest.select("path", "newest.*").filter(F.col("state") == FAILED)
 
     # The caller's session does the work, so that its view of the tables is fresh.
     def ingest(batch: DataFrame, batch_id: int, again: bool = False) -> None:
@@ -87,7 +93,8 @@ def stream_files(
             groups.setdefault(file["table"], []).append(file)
         # The newest file dates the batch, so a repeated batch names the same tables.
         newest = max((f["modificationTime"] for g in groups.values() for f in g), default=started)
-        part, rows, lost, broken = f"batch-{batch_id:09d}", [], [], None
+        part, rows, events, broken = f"batch-{batch_id:09d}", [], [], None
+        number = batch_id + 1 if again else int(_now().timestamp() * 1_000_000)
         folder = f"{'retry' if again else 'batch'}-{stream}-{batch_id:09d}"
         for name, files in groups.items():
             table = catalog_name(name)
@@ -103,15 +110,16 @@ def stream_files(
                     run_ts or newest, job, target_part=folder, landing_path=place, landing_options=landing, **options,
                 )
                 state = (used, "SUCCEEDED", count, note)
+                events += [(f["path"], f["modificationTime"], None, DONE, number) for f in files if again]
             except Exception as error:
                 reason = failure_text(error)
                 state = (table, f"FAILED: {reason}", None, reason)
-                lost += [(f["path"], f["modificationTime"], reason) for f in files]
+                events += [(f["path"], f["modificationTime"], reason, FAILED, number) for f in files]
                 if not isinstance(error, DATA_FAULTS):
                     broken = error
             rows += [(p.rpartition("/")[2], *state) for p in paths]
         if rows:
-            spark.createDataFrame(lost, RETRY).write.mode("overwrite").parquet(join_location(retry, folder))
+            spark.createDataFrame(events, RETRY).write.mode("overwrite").parquet(join_location(retry, folder))
         if log_path and rows:
             statuses = spark.createDataFrame(rows, STATUS)
             logged = batch_log(statuses, folder if again else part, started, run_ts or _now())
@@ -119,14 +127,11 @@ def stream_files(
         if broken is not None:
             raise broken
 
-    # Files of earlier runs that failed come first. They are taken off the notes once their batch has its own.
+    # Files of earlier runs that failed come first.
     noted = written(spark, failed_before(), "retry")
-    if not noted.isEmpty():
-        number = int(_now().timestamp())
-        ingest(noted, number, again=True)
-        left = spark.read.schema(RETRY).parquet(join_location(retry, f"retry-{stream}-{number:09d}"))
-        remaining = written(spark, left, "retry")
-        remaining.write.mode("overwrite").parquet(retry)
+    newest = noted.agg(F.max("number")).first()[0]
+    if newest is not None:
+        ingest(noted.select("path", "modificationTime"), newest, again=True)
 
     return (
         new_files(spark, source, files_per_batch=files_per_batch)

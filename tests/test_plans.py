@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 import landfall
 from landfall.operators import publish, tables
+from landfall.plans import ingest
+from landfall.streaming import arrival
 from landfall.sources.readers import read_csv
 
 TS = dt.datetime(2031, 4, 5, 6, 7, 8)
@@ -449,3 +451,73 @@ def test_streams_and_ingests_of_one_table(spark, db, zone, tmp_path):
     assert sorted(r["v"] for r in spark.table(f"{curated}.a").collect()) == ["1", "2", "3"]
     landfall.sync_files(spark, zone.path, target, landing, curated, run_ts=TS)
     assert sorted(r["v"] for r in spark.table(f"{curated}.a").collect()) == ["1", "2", "3"]
+
+
+def test_values_over_lines_are_no_long_rows(spark, db, zone, tmp_path):
+    landing, curated = db
+    zone("good.csv", 'a,b\n1,"x\ny,z,w"\n2,q\n3\n')
+    zone("bad.csv", 'a,b\n1,"x\ny"\n2,"q\nr",3\n')
+    zone("odd.tsv", 'a\tb\n1\t"x\ny\tz\tw"\n')
+    for detect in (False, True):
+        got = statuses(landfall.sync_files(spark, zone.path, str(tmp_path / "c"), landing, curated, detect_types=detect, multiLine="true"))
+        assert got["good.csv"][1:] == ("SUCCEEDED", 3) and got["odd.tsv"][1:] == ("SUCCEEDED", 1)
+        assert got["bad.csv"][1] == "FAILED"
+    rows = spark.table(f"{curated}.good").collect()
+    assert sorted(tuple(r) for r in rows if r["a"] != "3") == [("1", "x\ny,z,w"), ("2", "q")]
+    cut = landfall.sync_files(spark, zone.path, str(tmp_path / "d"), *db, long_lines="cut", multiLine="true", formats=["csv"])
+    assert {r["source_file"]: r["message"] for r in cut.collect()}["bad.csv"] == "1 rows cut to the header"
+
+
+BODIES = {
+    "csv": ("k,v\n{0},a{0}\n", "other\nin a folder\n"), "tsv": ("k\tv\n{0}\ta{0}\n", "other\nx\n"),
+    "json": ('{{"k": {0}, "v": "a{0}"}}\n', '[{"other": 1}, {"other": 2}]'),
+    "xml": ("<r><e><k>{0}</k><v>a{0}</v></e></r>", "<r><e><other>1</other></e></r>"), "txt": ("{0}\n", "in a folder\n"),
+}
+
+
+@pytest.mark.parametrize("limit", [100, 5])
+@pytest.mark.parametrize("ext", BODIES)
+def test_files_of_a_delivered_folder_belong_to_it_whatever_their_names(spark, db, zone, tmp_path, monkeypatch, ext, limit):
+    """The way a group is read, by paths or by a pattern, changes no row."""
+    monkeypatch.setattr(ingest, "PATHS_READ", limit)
+    body, inner = BODIES[ext]
+    for i in range(7):
+        zone(f"d{i}/part.{ext}", body.format(i))
+    zone(f"a/big.{ext}/part.{ext}", inner)
+    result = landfall.sync_files(spark, zone.path, str(tmp_path / "c"), *db)
+    got, n = statuses(result), {"json": 2, "xml": 1, "txt": 1}.get(ext, 1)
+    assert got == {f"part.{ext}": ("part", "SUCCEEDED", 7), f"big.{ext}": ("big", "SUCCEEDED", n)}
+    messages = {r["source_file"]: r["message"] for r in result.collect()}
+    assert "not registered" in messages[f"part.{ext}"] and not messages[f"big.{ext}"]
+    part = spark.table(f"{db[1]}.part")
+    assert sorted(str(r[0]) for r in part.collect()) == [str(i) for i in range(7)]
+    assert part.columns == (["line"] if ext == "txt" else ["k", "v"])
+    assert not spark.catalog.tableExists(f"{db[0]}.part") and spark.catalog.tableExists(f"{db[0]}.big")
+
+
+@pytest.mark.parametrize("stop_before", ["rows", "ledger", "log"])
+def test_a_stopped_retry_is_repeated_and_forgets_nothing(spark, db, zone, tmp_path, monkeypatch, stop_before):
+    landing, curated = db
+    zone("a.csv", "x,y\n1,2,3\n")
+    zone("b.csv", "x,y\n7,8\n")
+    args = spark, zone.path, str(tmp_path / "c"), landing, curated, str(tmp_path / "cp"), str(tmp_path / "log")
+    landfall.stream_files(*args).awaitTermination()
+    assert not spark.catalog.tableExists(f"{curated}.a") and spark.table(f"{curated}.b").count() == 1
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        if stop_before == "rows":
+            broken.setattr(arrival, "sync_group", stop)
+        elif stop_before == "ledger":
+            create = spark.createDataFrame
+            broken.setattr(spark, "createDataFrame", lambda rows, schema=None: stop() if rows and schema == arrival.RETRY else create(rows, schema))
+        else:
+            broken.setattr(arrival, "batch_log", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            landfall.stream_files(*args, long_lines="cut").awaitTermination()
+    for _ in range(2):  # the second run finds nothing left to do
+        landfall.stream_files(*args, long_lines="cut").awaitTermination()
+        assert [tuple(r) for r in spark.table(f"{curated}.a").collect()] == [("1", "2")]
+    assert spark.table(f"{curated}.b").count() == 1

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from landfall import workspace
 from landfall.operators.infer import infer_groups, infer_json, infer_table
 from landfall.operators.schema import INVENTORY, evolution
-from landfall.sources.readers import read_csv
+from landfall.sources.readers import LONG, checked_rows, read_csv
 from landfall.sources.records import json_documents, json_lines
 
 
@@ -93,3 +93,10 @@ def test_one_hot_group_is_folded_before_the_shuffle(spark):
     types = infer_groups(hot, ["g"])
     assert types.count() == 20_001
     assert types.filter("g = 'hot' and type = 'int'").count() == 1
+
+
+def test_types_and_long_rows_come_from_one_scan(spark, zone):
+    rows = checked_rows(spark, zone("a.csv", "a,b\n1,2\n1,2,3"), multiLine="true")
+    both = rows.agg(F.count(LONG).alias("long"), *[F.max(c).alias(c) for c in ("a", "b")])
+    assert plan(both).count("Scan csv") == 2  # once in the tree, once in the list
+    assert both.first()["long"] == 1
