@@ -7,12 +7,13 @@ Results are DataFrames with one row per column: ``pos, name, type, storage``.
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from landfall.functions.types import (
     STRING, catalog_type, frame_type, parse_value, rank_label, rank_storage, text_rank, value_rank,
 )
 from landfall.sources.records import is_json_value, line_object
+from landfall.workspace import written
 
 
 class ColumnSpec(NamedTuple):
@@ -87,8 +88,8 @@ def infer_many(tables: Mapping[str, DataFrame], **options) -> DataFrame:
     return result
 
 
-def _infer_pairs(pairs: DataFrame, widen: bool, unreadable: str | None = None) -> DataFrame:
-    """Fold (file, block, seq, idx, key, rank, bad) rows into ordered columns.
+def _fold_pairs(pairs: DataFrame) -> DataFrame:
+    """Fold (file, block, seq, idx, key, rank, bad) rows into one row per key: key, rank, first, bad.
 
     The first fold is keyed by key and split, with plain integer buffers, so it
     hash-aggregates on the map side; what remains has one row per key and split.
@@ -99,28 +100,36 @@ def _infer_pairs(pairs: DataFrame, widen: bool, unreadable: str | None = None) -
     by_split = pairs.groupBy("key", "file", "block").agg(
         F.max("rank").alias("rank"), F.min(place).alias("place"), F.sum("bad").alias("bad")
     )
-    by_key = by_split.groupBy("key").agg(
+    return by_split.groupBy("key").agg(
         F.max("rank").alias("rank"),
         F.min(F.struct("file", "block", "place")).alias("first"),
         F.sum("bad").alias("bad"),
     )
-    found = F.array_sort(
-        F.collect_list(F.when(F.col("key").isNotNull(), F.struct("first", "key", "rank")))
-    ).alias("found")
-    one = by_key.agg(found, F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+
+
+def number_keys(keys: DataFrame, unreadable: str | None = None) -> DataFrame:
+    """Keys (key, rank, first, bad) with their position (``pos``) by ``first``, from 1.
+
+    Keys are sorted in ranges, each range is numbered by itself and moved by the
+    sizes of those before it, so no task holds all keys. The sorted keys are
+    written once, since positions hold for one cut into ranges only. With
+    ``unreadable`` a bad text, or no key at all, fails with that message.
+    """
+    # The row of texts without a key goes behind all keys, where it shifts none.
+    order = F.when(F.col("key").isNotNull(), F.col("first")).asc_nulls_last()
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = keys.repartitionByRange(order).sortWithinPartitions(order)
+    ranges = ranges.select("key", "rank", "bad", F.spark_partition_id().alias("part"), place.alias("place"))
+    kept = written(keys.sparkSession, ranges, "keys")
     if unreadable:
-        one = one.withColumn(
-            "found",
-            F.when((F.col("bad") > 0) | (F.size("found") == 0), F.raise_error(F.lit(unreadable))).otherwise(
-                F.col("found")
-            ),
-        )
-    return one.select(F.posexplode("found").alias("pos", "c")).select(
-        (F.col("pos") + 1).alias("pos"),
-        F.col("c.key").alias("name"),
-        rank_label(F.col("c.rank"), widen).alias("type"),
-        rank_storage(F.col("c.rank")).alias("storage"),
-    )
+        failed = (F.coalesce(F.sum("bad"), F.lit(0)) > 0) | (F.count("key") == 0)
+        kept.agg(F.when(failed, F.raise_error(F.lit(unreadable))).alias("failed")).collect()
+    found = kept.filter(F.col("key").isNotNull())
+    # One row per range: as many as there are shuffle partitions, whatever the number of keys.
+    before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = found.groupBy("part").agg(F.count("*").alias("size")).select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    pos = (F.col("start") + F.col("place") + 1).cast("int")
+    return found.join(F.broadcast(starts), "part").select(pos.alias("pos"), "key", "rank")
 
 
 def json_value_rank(value: Column, empty_as: str = "string") -> Column:
@@ -129,16 +138,8 @@ def json_value_rank(value: Column, empty_as: str = "string") -> Column:
     return text_rank(text, empty_as)
 
 
-def infer_json(
-    records: DataFrame, bad_lines: str = "fail", empty_as: str = "string", widen: bool = False
-) -> DataFrame:
-    """Columns of JSON object texts in order of first appearance.
-
-    Only keys present in an object count for it; an explicit null is a string.
-    A text that is no JSON fails the whole set unless ``bad_lines="skip"``;
-    JSON that is no object is passed over. ``records`` has a ``value`` column
-    and, when read from files, file, block and seq.
-    """
+def json_keys(records: DataFrame, empty_as: str = "string") -> DataFrame:
+    """Keys of JSON object texts: key, rank, the place where it first stands, and texts that are no JSON (``bad``)."""
     if "seq" not in records.columns:
         records = records.select(
             "value", F.lit("").alias("file"), F.spark_partition_id().cast("long").alias("block"),
@@ -152,8 +153,25 @@ def infer_json(
     ).select(
         "file", "block", "seq", "bad", "idx", "key", json_value_rank(F.col("text"), empty_as).alias("rank")
     )
+    return _fold_pairs(pairs)
+
+
+def infer_json(
+    records: DataFrame, bad_lines: str = "fail", empty_as: str = "string", widen: bool = False
+) -> DataFrame:
+    """Columns of JSON object texts in order of first appearance.
+
+    Only keys present in an object count for it; an explicit null is a string.
+    A text that is no JSON fails the whole set unless ``bad_lines="skip"``;
+    JSON that is no object is passed over. ``records`` has a ``value`` column
+    and, when read from files, file, block and seq. The texts are read here;
+    the result is what they were found to hold.
+    """
     unreadable = "JSON appears empty or unreadable." if bad_lines == "fail" else None
-    return _infer_pairs(pairs, widen, unreadable)
+    rank = F.col("rank")
+    return number_keys(json_keys(records, empty_as), unreadable).select(
+        "pos", F.col("key").alias("name"), rank_label(rank, widen).alias("type"), rank_storage(rank).alias("storage")
+    )
 
 
 def infer_present(df: DataFrame, empty_as: str = "string", widen: bool = False) -> DataFrame:

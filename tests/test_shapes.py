@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landfall import workspace
-from landfall.operators.infer import infer_groups, infer_json, infer_table
+from landfall.operators.infer import infer_groups, infer_json, infer_table, json_keys
 from landfall.operators.schema import INVENTORY, evolution
 from landfall.sources.readers import LONG, checked_rows, read_csv
 from landfall.sources.records import json_documents, json_lines
@@ -42,7 +42,7 @@ def test_grouped_inference_shuffles_partial_results_only(spark, tmp_path):
 
 def test_record_inference_hash_aggregates_before_the_first_shuffle(spark, zone):
     path = zone("a.json", '{"x": 1}')
-    text = plan(infer_json(json_lines(spark, path)))
+    text = plan(json_keys(json_lines(spark, path)))
     tree = text[: text.index("\n\n")].splitlines()
     lowest = max(i for i, line in enumerate(tree) if "Exchange" in line)
     assert "HashAggregate" in tree[lowest + 1] and "Python" not in text
@@ -100,3 +100,17 @@ def test_types_and_long_rows_come_from_one_scan(spark, zone):
     both = rows.agg(F.count(LONG).alias("long"), *[F.max(c).alias(c) for c in ("a", "b")])
     assert plan(both).count("Scan csv") == 2  # once in the tree, once in the list
     assert both.first()["long"] == 1
+
+
+def test_keys_are_numbered_without_a_list_of_all(spark, zone):
+    # A document like a map: more keys than a range holds, each once, in an order of its own.
+    keys = [f"k{i * 7919 % 20_000:05d}" for i in range(20_000)]
+    lines = "\n".join(json.dumps({k: i for i, k in enumerate(keys[j : j + 50])}) for j in range(0, 20_000, 50))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = infer_json(json_lines(spark, zone("map.json", lines)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [(r["pos"], r["name"]) for r in found.orderBy("pos").collect()] == list(enumerate(keys, 1))
+    text = plan(found)
+    assert "collect_list" not in text and "BroadcastHashJoin" in text
