@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.operators.publish import append_table
+from landfall.operators.publish import put_runs
 from landfall.operators.schema import CREATE, MISSING, NO_OP, UNREADABLE
 
 log = logging.getLogger(__name__)
@@ -83,9 +83,9 @@ def audit_steps(
 
 
 def append_audit(spark: SparkSession, rows: DataFrame, db: str, table: str, location: str) -> bool:
-    """Append a run's audit rows. A failure is logged and never stops the run."""
+    """Add a run's audit rows, once however often it is repeated. A failure is logged and never stops the run."""
     try:
-        append_table(spark, rows.select(*AUDIT_COLUMNS), db, table, location)
+        put_runs(spark, rows.select(*AUDIT_COLUMNS), db, table, location, "process_id")
     except Exception:
         log.exception("audit rows not written")
         return False

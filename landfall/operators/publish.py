@@ -30,6 +30,9 @@ WRITE_OPTIONS = {
 READ_BACK = {"csv": {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\uffff"}}
 READ_BACK["tsv"] = {"sep": "\t", **READ_BACK["csv"]}
 
+# Names the folders of runs; readers of the table do not see it.
+RUN_FOLDER = "run_folder"
+
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation(f"rows-{uuid.uuid4().hex}")
@@ -104,6 +107,27 @@ def append_table(spark: SparkSession, df: DataFrame, db: str, table: str, locati
     return seen.get["rows"]
 
 
+def put_runs(spark: SparkSession, df: DataFrame, db: str, table: str, location: str, run_column: str) -> int:
+    """Add the rows of runs to a table; what an earlier try of the same runs left gives way to them.
+
+    Every run (a value of ``run_column``) has a folder below the table's location
+    that is replaced as a whole, other runs stay. The run stays a column of the
+    files, so the table keeps its columns and their order. Rows of a table made
+    by plain appends stay too.
+    """
+    ensure_database(spark, db)
+    if table_exists(spark, db, table):
+        df = df.select(*[f"`{c}`" for c in spark.table(qualified(db, table)).columns])
+        source, location = table_source(spark, db, table)
+        if source != "parquet":
+            raise ValueError(f"{db}.{table} holds {source}, runs are kept in parquet")
+    runs = df.withColumn(RUN_FOLDER, F.col(run_column))
+    rows = write_files(runs, location, "parquet", partition_by=[RUN_FOLDER], partitionOverwriteMode="dynamic")
+    upsert_table(spark, db, table, location, df.schema, "parquet", recursiveFileLookup="true")
+    spark.catalog.refreshTable(qualified(db, table))
+    return rows
+
+
 def write_catalog_files(
     spark: SparkSession, df: DataFrame, db: str, table: str, location: str, fmt: str = "csv", mode: str = "append"
 ) -> int:

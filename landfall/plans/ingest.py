@@ -15,7 +15,7 @@ from landfall.operators.clean import INGEST_COLUMNS, add_ingest_columns, fill_bl
 from landfall.operators.infer import (
     ColumnSpec, collect_columns, infer_json, infer_table, storage_schema, storage_values, text_schema,
 )
-from landfall.operators.publish import READ_BACK, append_table, write_files
+from landfall.operators.publish import READ_BACK, put_runs, write_files
 from landfall.operators.tables import ensure_database, ensure_table, qualified, table_exists, table_source, upsert_table
 from landfall.sources.files import LOOSE, empty_files, list_files
 from landfall.sources.readers import LONG, checked_rows, infer_xml, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
@@ -357,5 +357,5 @@ def sync_files(
         ensure_database(spark, log_db)
         finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         logged = batch_log(statuses, batch_id or process_id(run_ts), run_ts, finished)
-        append_table(spark, logged, log_db, log_table, join_location(target, log_table))
+        put_runs(spark, logged, log_db, log_table, join_location(target, log_table), "batch_id")
     return statuses

@@ -2,16 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from landfall.functions.names import join_location
 from landfall.functions.types import infer_type
 from landfall.operators.infer import (
     infer_frame_types, infer_groups, infer_json, infer_many, infer_spark_types, infer_table,
 )
+from landfall.operators.ranks import infer_new_files
 from landfall.operators.schema import as_inventory, tidy
 from landfall.queries.common import (
     TABLES, as_text, inventory_sql, label_sql, land, land_json_arrays, load, load_all, rank_sql, types_sql,
 )
+from landfall.sources.files import list_files
 from landfall.sources.readers import header_schema, infer_xml, read_csv, read_text, read_tsv
 from landfall.sources.records import json_records, xml_tags
+from landfall.workspace import fresh_folder
 
 TABULAR = ["customer", "orders", "events", "part", "lineitem"]
 SMALL = ["region", "nation", "customer", "supplier", "part"]
@@ -43,6 +47,19 @@ def infer_types_sampled(spark, sf):
     return infer_table(load(spark, sf, "orders"), sample_rows=49, order_by=["o_orderkey"]).drop("storage")
 
 
+def infer_types_incremental(spark, sf):
+    """T3 on deliveries that come one after the other: each run reads the new files only."""
+    df = load(spark, sf, "orders").withColumn(
+        "total_or_key", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice").cast("string")).otherwise(F.col("o_orderkey").cast("string"))
+    ).withColumn("open_or_key", F.when(F.col("o_orderkey") % 3 == 1, F.col("o_orderstatus")).otherwise(F.col("o_custkey").cast("string")))
+    zone, notes = fresh_folder(spark, "zone"), join_location(fresh_folder(spark, "notes"), "orders")
+    for turn in (2, 0, 1):
+        land(spark, df.filter(F.col("o_orderkey") % 3 == turn), f"orders-{turn}.csv", zone)
+        files = list_files(spark, zone, ["csv"])
+        types = infer_new_files(files, lambda paths: read_csv(spark, paths), notes)
+    return types.drop("storage")
+
+
 def infer_types_widened(spark, sf):
     """T3 with integer widths: keys scaled past 32 bits, 64 bits and 38 digits."""
     df = load(spark, sf, "orders").select(
@@ -182,7 +199,7 @@ def column_inventory(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        infer_types_tabular, infer_types_landed_csv, infer_types_compat_csv, infer_types_sampled, infer_types_widened,
+        infer_types_tabular, infer_types_landed_csv, infer_types_compat_csv, infer_types_sampled, infer_types_incremental, infer_types_widened,
         infer_types_empty_ignored, infer_types_by_group, value_type_counts, infer_json_keys, infer_json_lines,
         infer_json_missing_keys, infer_json_array, infer_xml_tags, infer_text_column, spark_type_catalog_map,
         frame_type_map, header_only_schema, column_inventory,
@@ -220,6 +237,11 @@ ORACLE = {
     "infer_types_sampled": _untabled(
         types_sql("orders", TABLES["orders"], relation="(SELECT * FROM orders ORDER BY o_orderkey LIMIT 49)")
     ),
+    "infer_types_incremental": _untabled(
+        types_sql("orders", [*TABLES["orders"], "total_or_key", "open_or_key"], relation="""(
+            SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice AS VARCHAR) ELSE CAST(o_orderkey AS VARCHAR) END AS total_or_key,
+                CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE CAST(o_custkey AS VARCHAR) END AS open_or_key FROM orders)""")
+    ),
     "infer_types_widened": """
         WITH w AS (SELECT max(length(CAST(o_orderkey AS VARCHAR))) AS n, max(o_orderkey) AS k FROM orders)
         SELECT pos, name, CASE WHEN digits <= 9 OR (pos = 1 AND k <= 2147483647) THEN 'int'

@@ -285,12 +285,12 @@ def sync_type_drift(spark, sf):
 
 
 def audit_append(spark, sf):
-    """K7: audit rows of two runs in one table, counted by step."""
+    """K7: audit rows of two runs in one table, one of them repeated, counted by step."""
     db, place = new_db(spark, "audit"), fresh_folder(spark, "audit")
     columns = collect_columns(infer_table(load(spark, sf, "lineitem")))
     rows = [("lineitem", "CREATE_FDP", False, None, None), *[(c.name, "NO_OP", True, None, None) for c in columns]]
     outcomes = spark.createDataFrame(rows, OUTCOMES)
-    for run in ("run-1", "run-2"):
+    for run in ("run-1", "run-2", "run-1"):
         append_audit(spark, audit_steps(outcomes, run, RUN_TS, "landing", "zone"), db, "audit", place)
     return read_table(spark, db, "audit").groupBy("process_id", "step", "status").agg(F.count("*").alias("n"))
 

@@ -401,14 +401,30 @@ def test_audit_steps(spark, db, tmp_path):
     assert by_step["broken", "FDP_SYNC", "FAILED"]["message"] == "boom"
 
     curated = db[1]
-    df = audit.audit_steps(df, "proc", TS, "land", "base/")
-    for n in (1, 2):
-        assert audit.append_audit(spark, df, curated, "audit", str(tmp_path / "audit"))
+    steps = {p: audit.audit_steps(df, p, TS, "land", "base/") for p in ("proc", "other / id=2")}
+    for run, n in (("proc", 1), ("other / id=2", 2), ("proc", 2)):
+        assert audit.append_audit(spark, steps[run], curated, "audit", str(tmp_path / "audit"))
         assert spark.table(f"{curated}.audit").count() == n * len(rows)
+    df = steps["proc"]
+    assert {r["process_id"] for r in spark.table(f"{curated}.audit").collect()} == set(steps)
     assert spark.table(f"{curated}.audit").columns == audit.AUDIT_COLUMNS
     assert audit.append_audit(spark, df.drop("step"), curated, "audit", "x") is False
 
 
+def test_runs_join_a_table_of_plain_appends(spark, db, tmp_path):
+    def rows(run, *values):
+        return spark.createDataFrame([(v, run) for v in values], "v int, run string")
+
+    curated, place = db[1], str(tmp_path / "log")
+    publish.append_table(spark, rows("old", 1, 2), curated, "log", place)
+    publish.put_runs(spark, rows("a", 3), curated, "log", place, "run")
+    publish.put_runs(spark, rows("a", 4, 5).union(rows(None, 6)), curated, "log", place, "run")
+    publish.put_runs(spark, rows(None, 7), curated, "log", place, "run")
+    got = sorted((r["v"], r["run"]) for r in spark.table(f"{curated}.log").collect())
+    assert got == [(1, "old"), (2, "old"), (4, "a"), (5, "a"), (7, None)]
+    assert spark.table(f"{curated}.log").columns == ["v", "run"]
+
+
 def test_batch_log(spark):
     status = spark.createDataFrame([("a.csv", "a", "SUCCEEDED", 3, "")], "source_file string, table_name string, status string, row_count int, message string")
     df = audit.batch_log(status, "b1", TS, TS + dt.timedelta(seconds=5))
