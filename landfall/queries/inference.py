@@ -13,11 +13,13 @@ from landfall.queries.common import (
     TABLES, as_text, inventory_sql, label_sql, land, land_json_arrays, load, load_all, rank_sql, types_sql,
 )
 from landfall.sources.files import list_files
+from landfall.sources.heads import head_files
 from landfall.sources.readers import header_schema, infer_xml, read_csv, read_text, read_tsv
 from landfall.sources.records import json_records, xml_tags
 from landfall.workspace import fresh_folder
 
 TABULAR = ["customer", "orders", "events", "part", "lineitem"]
+HEAD_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "late", "early"]
 SMALL = ["region", "nation", "customer", "supplier", "part"]
 
 
@@ -47,6 +49,22 @@ def infer_types_sampled(spark, sf):
     return infer_table(load(spark, sf, "orders"), sample_rows=49, order_by=["o_orderkey"]).drop("storage")
 
 
+def infer_types_head_bytes(spark, sf):
+    """The first 20 KB of a file in whole lines; what comes after them says nothing."""
+    df = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    last = df.agg(F.max("o_orderkey")).first()[0]
+    key = F.col("o_orderkey").cast("string")
+    rows = df.select(
+        "*",
+        F.when(F.col("o_orderkey") > last * 0.8, "late").otherwise(key).alias("late"),
+        F.when(F.col("o_orderkey") % 50 == 7, "1.5").otherwise(key).alias("early"),
+    )
+    # One file in key order, as its head depends on the order.
+    path = land(spark, rows.orderBy("o_orderkey").coalesce(1), "orders.csv")
+    heads = head_files(spark, path, kb=16, more_kb=4, whole_lines=True)
+    return infer_table(read_csv(spark, heads, recursiveFileLookup="true")).drop("storage")
+
+
 def infer_types_incremental(spark, sf):
     """T3 on deliveries that come one after the other: each run reads the new files only."""
     df = load(spark, sf, "orders").withColumn(
@@ -199,7 +217,8 @@ def column_inventory(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        infer_types_tabular, infer_types_landed_csv, infer_types_compat_csv, infer_types_sampled, infer_types_incremental, infer_types_widened,
+        infer_types_tabular, infer_types_landed_csv, infer_types_compat_csv, infer_types_sampled, infer_types_head_bytes,
+        infer_types_incremental, infer_types_widened,
         infer_types_empty_ignored, infer_types_by_group, value_type_counts, infer_json_keys, infer_json_lines,
         infer_json_missing_keys, infer_json_array, infer_xml_tags, infer_text_column, spark_type_catalog_map,
         frame_type_map, header_only_schema, column_inventory,
@@ -237,6 +256,16 @@ ORACLE = {
     "infer_types_sampled": _untabled(
         types_sql("orders", TABLES["orders"], relation="(SELECT * FROM orders ORDER BY o_orderkey LIMIT 49)")
     ),
+    "infer_types_head_bytes": _untabled(
+        types_sql("orders", HEAD_COLUMNS, relation=f"""(
+            SELECT * FROM (
+                SELECT *, sum(strlen(concat_ws(',', {', '.join(HEAD_COLUMNS)})) + 1) OVER (ORDER BY o_orderkey) - 1 AS ends FROM (
+                    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+                        CASE WHEN o_orderkey > (SELECT max(o_orderkey) FROM orders) * 0.8 THEN 'late'
+                            ELSE CAST(o_orderkey AS VARCHAR) END AS late,
+                        CASE WHEN o_orderkey % 50 = 7 THEN '1.5' ELSE CAST(o_orderkey AS VARCHAR) END AS early FROM orders))
+            WHERE ends + {len(','.join(HEAD_COLUMNS)) + 1} <= 20480)""")
+    ),
     "infer_types_incremental": _untabled(
         types_sql("orders", [*TABLES["orders"], "total_or_key", "open_or_key"], relation="""(
             SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice AS VARCHAR) ELSE CAST(o_orderkey AS VARCHAR) END AS total_or_key,

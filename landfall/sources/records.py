@@ -39,6 +39,11 @@ def head_pieces(spark: SparkSession, path: str | list[str], separator: str, n: i
     return [r["value"] for r in rows]
 
 
+def file_lines(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """Every line, with whatever stands before its line break."""
+    return _pieces(spark, path, "\n", **options)
+
+
 def json_lines(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """One row per non-blank line."""
     return _pieces(spark, path, "\n", **options).filter(F.col("value").rlike(r"\S"))
