@@ -9,7 +9,7 @@ from landfall.operators.infer import collect_columns, opaque_schema, storage_sch
 from landfall.operators.publish import TIMESTAMPS, write_files
 from landfall.operators.tables import ensure_table
 from landfall.plans.ingest import land_files
-from landfall.queries.common import land, land_json_arrays, load, new_db
+from landfall.queries.common import TABLES, land, land_json_arrays, load, new_db
 from landfall.sources.files import latest_file, list_files, list_keys
 from landfall.sources.readers import (
     infer_xml, long_rows, read_csv, read_first_csv, read_json, read_landing, read_table, read_text, read_tsv, read_xml,
@@ -136,8 +136,9 @@ def pad_short_rows(spark, sf):
 
 def long_row_report(spark, sf):
     """Rows with more fields than the header."""
-    line = F.concat_ws(",", "s_suppkey", "s_nationkey", F.when(F.col("s_acctbal") < 0, F.lit("over")))
-    df = load(spark, sf, "supplier").select(line.alias("s_suppkey,s_nationkey"))
+    columns = TABLES["supplier"]
+    line = F.concat_ws(",", *columns, F.when(F.col("s_acctbal") < 0, F.lit("over")))
+    df = load(spark, sf, "supplier").select(line.alias(",".join(columns)))
     return long_rows(spark, land(spark, df, "supplier.csv", sep="\t"))
 
 
@@ -226,7 +227,7 @@ ORACLE = {
             (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') || ' rows cut to the header' AS note FROM orders
     """,
     "long_row_report": """
-        SELECT concat_ws(',', s_suppkey, s_nationkey, 'over') AS line FROM supplier WHERE s_acctbal < 0
+        SELECT concat_ws(',', s_suppkey, s_name, s_nationkey, s_acctbal, 'over') AS line FROM supplier WHERE s_acctbal < 0
     """,
     "file_inventory": """
         SELECT 'customer' AS table_name, 'csv' AS format, count(*) > 0 AS has_bytes FROM customer
