@@ -9,6 +9,7 @@ from landfall.functions.names import join_location
 from landfall.operators.tables import ensure_database, qualified, table_exists, table_source, upsert_table
 from landfall.sources.readers import infer_xml_columns, read_landing, read_xml
 from landfall.sources.records import xml_tags
+from landfall.sources.xml_records import cut_xml
 
 # One timestamp form that keeps microseconds through text.
 TIMESTAMPS = {
@@ -163,7 +164,9 @@ def copy_files(spark: SparkSession, source: str, target: str, fmt: str, **option
     root, tag = xml_tags(spark, source, **options)
     if tag is None:
         raise ValueError("XML has no records.")
-    df = read_xml(spark, source, tag, infer_xml_columns(spark, source, tag, **options), **options)
+    records = cut_xml(spark, source, tag, **options)
+    shape = infer_xml_columns(spark, source, tag, records, **options)
+    df = read_xml(spark, source, tag, shape, split=None if records is not None else False, records=records, **options)
     return write_files(df, target, fmt, rootTag=root, rowTag=tag)
 
 

@@ -20,6 +20,7 @@ from landfall.operators.tables import ensure_database, ensure_table, qualified,
 from landfall.sources.files import LOOSE, empty_files, list_files
 from landfall.sources.readers import LONG, checked_rows, infer_xml, parse_json, read_csv, read_json, read_text, read_tsv, read_xml
 from landfall.sources.records import json_forms, json_records, line_object, xml_tags
+from landfall.sources.xml_records import cut_xml
 from landfall.workspace import written
 
 STATUS = "source_file string, table_name string, status string, row_count bigint, message string"
@@ -165,10 +166,15 @@ def land_files(
             row_tag = row_tag or tag
             if row_tag is None:
                 raise ValueError("XML has no records.")
-            columns = collect_columns(infer_xml(spark, path, row_tag, **options))
+            # Cut once for both, where the files are large.
+            records = cut_xml(spark, path, row_tag, **options)
+            split = None if records is not None else False
+            columns = collect_columns(infer_xml(spark, path, row_tag, split=split, records=records, **options))
             if not columns:
                 raise ValueError("XML has no records.")
-            df = read_xml(spark, path, row_tag, text_schema(columns), source_column=SOURCE_COLUMN, **options)
+            df = read_xml(
+                spark, path, row_tag, text_schema(columns), SOURCE_COLUMN, split=split, records=records, **options
+            )
             return Landed(columns, df, "xml", {"rowTag": row_tag}, SOURCE_COLUMN)
     if fmt == "text":
         return Landed([ColumnSpec("line", "string")], read_text(spark, path, **options), "text", {})

@@ -9,11 +9,12 @@ from landfall.operators.infer import collect_columns, opaque_schema, storage_sch
 from landfall.operators.publish import TIMESTAMPS, write_files
 from landfall.operators.tables import ensure_table
 from landfall.plans.ingest import land_files
-from landfall.queries.common import TABLES, land, land_json_arrays, load, new_db
+from landfall.queries.common import TABLES, land, land_json_arrays, landing, load, new_db
 from landfall.sources.files import latest_file, list_files, list_keys
 from landfall.sources.readers import (
     infer_xml, long_rows, read_csv, read_first_csv, read_json, read_landing, read_table, read_text, read_tsv, read_xml,
 )
+from landfall.sources.xml_records import cut_xml
 from landfall.workspace import fresh_folder
 
 
@@ -102,6 +103,25 @@ def scan_xml_marks(spark, sf):
     return read_xml(spark, path, schema="page_id bigint, html string", **options)
 
 
+def scan_xml_large(spark, sf):
+    """One file of all pages, cut over many tasks, marks as above and one record in five inside another; types inferred."""
+    html = F.replace("html", F.lit("]]>"), F.lit(""))
+    record = F.format_string("<page><page_id>%d</page_id><html><![CDATA[%s</page><page>]]></html>", "page_id", html)
+    inner = F.when(F.col("page_id") % 5 == 0, F.lit("<seen><page><page_id>0</page_id></page></seen>")).otherwise("")
+    text = F.concat(record, inner, F.lit("</page><!-- <page><page_id>0</page_id></page> -->"))
+    prolog = f"<?xml version='1.0'?><!-- {'> ' * 100} </page> --><pages>"
+    ends = spark.createDataFrame([(0, None, prolog), (2, None, "</pages>")], "part int, page_id bigint, value string")
+    rows = load(spark, sf, "pages").select(F.lit(1).alias("part"), F.col("page_id").cast("bigint"), text.alias("value"))
+    path = f"{fresh_folder(spark, 'zone')}/pages.xml"
+    with landing():
+        rows.unionByName(ends).repartition(1).sortWithinPartitions("part", "page_id").select("value").write.text(path)
+    records = cut_xml(spark, path, "page", split=True)
+    columns = collect_columns(infer_xml(spark, path, "page", records=records))
+    kinds = F.lit(",".join(f"{c.name}:{c.type}" for c in columns))
+    read = read_xml(spark, path, "page", "page_id bigint, html string", records=records, ignoreSurroundingSpaces=False)
+    return read.withColumn("columns", kinds)
+
+
 def scan_catalog_table(spark, sf):
     """A registered table."""
     db = new_db(spark, "scan")
@@ -193,7 +213,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_csv, scan_csv_inferred, scan_first_csv, scan_tsv, scan_json_lines, scan_json_array, scan_json_texts,
-        scan_text_lines, scan_opaque, scan_xml, scan_xml_split, scan_xml_marks, scan_catalog_table, scan_unknown_extension,
+        scan_text_lines, scan_opaque, scan_xml, scan_xml_split, scan_xml_marks, scan_xml_large, scan_catalog_table, scan_unknown_extension,
         pad_short_rows, long_row_report, file_inventory, file_keys, latest_file_per_group, table_name_from_path,
     )
 }
@@ -218,6 +238,9 @@ ORACLE = {
     "scan_xml": "SELECT * FROM customer",
     "scan_xml_split": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
     "scan_xml_marks": "SELECT page_id, replace(html, ']]>', '') || '</page><page>' AS html FROM pages",
+    "scan_xml_large": """
+        SELECT page_id, replace(html, ']]>', '') || '</page><page>' AS html, 'page_id:int,html:string,seen:string' AS columns FROM pages
+    """,
     "scan_catalog_table": "SELECT * FROM part",
     "scan_unknown_extension": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation

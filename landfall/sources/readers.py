@@ -7,6 +7,7 @@ from landfall.operators.clean import fill_blank_names, source_name
 from landfall.operators.infer import collect_columns, infer_json, infer_present, storage_schema
 from landfall.sources.files import LOOSE, first_file, list_keys, scan
 from landfall.sources.records import json_records, json_forms, tag_order, xml_tags
+from landfall.sources.xml_records import cut_xml, record_options
 from landfall.workspace import written
 
 # Attributes and a record's own text are no columns; their names here cannot clash with tags.
@@ -61,34 +62,69 @@ def read_xml(
     row_tag: str | None = None,
     schema=None,
     source_column: str | None = None,
+    split: bool | None = None,
+    records: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """XML records of the built-in source; ``row_tag`` defaults to the first child of the root.
+    """XML records; ``row_tag`` defaults to the first child of the root.
 
-    A file is streamed by one task, whatever its size.
+    The built-in source reads them, one task a file. Files larger than a split,
+    or all with ``split``, are cut into record texts over many tasks, and its
+    parser then reads each of those. ``records`` gives texts that are cut already.
     """
     row_tag = row_tag or xml_tags(spark, path, **options)[1]
     if row_tag is None:
         raise ValueError("XML has no records.")
+    if records is None:
+        records = cut_xml(spark, path, row_tag, split, **options)
+    if records is not None:
+        shape = schema if schema is not None else _xml_of_texts(records, row_tag, **options).schema
+        return _parsed(records, F.from_xml("value", shape, record_options(options)), source_column)
     reader = spark.read.option("rowTag", row_tag).options(**options)
     df = scan((reader.schema(schema) if schema is not None else reader).xml(path), options)
     return df.select("*", source_name(df).alias(source_column)) if source_column else df
 
 
-def infer_xml_columns(spark: SparkSession, path, row_tag: str, **options) -> T.StructType:
+def _xml_of_texts(records: DataFrame, row_tag: str, **options) -> DataFrame:
+    """What the built-in source makes of record texts; it takes them as a typed data set of the JVM only."""
+    reader = records.sparkSession.read.options(**{**record_options(options), "rowTag": row_tag})
+    jvm = records.sparkSession._jvm
+    texts = getattr(records.select("value")._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    return reader._df(reader._jreader.xml(texts))
+
+
+def infer_xml_columns(
+    spark: SparkSession, path, row_tag: str, records: DataFrame | None = None, **options
+) -> T.StructType:
     """Text columns for the children of the records, in order of first appearance."""
-    reader = spark.read.options(rowTag=row_tag, inferSchema=False, **XML_NAMES).options(**options)
-    names = [n for n in reader.xml(path).schema.names if not n.startswith("@")]
+    as_text = {"inferSchema": False, **XML_NAMES, **options}
+    if records is not None:
+        found = _xml_of_texts(records, row_tag, **as_text)
+    else:
+        found = spark.read.options(rowTag=row_tag, **as_text).xml(path)
+    names = [n for n in found.schema.names if not n.startswith("@")]
     return T.StructType([T.StructField(n, T.StringType()) for n in tag_order(spark, path, row_tag, names, **options)])
 
 
-def infer_xml(spark: SparkSession, path, row_tag: str, empty_as: str = "string", widen: bool = False, **options) -> DataFrame:
+def infer_xml(
+    spark: SparkSession,
+    path,
+    row_tag: str,
+    empty_as: str = "string",
+    widen: bool = False,
+    split: bool | None = None,
+    records: DataFrame | None = None,
+    **options,
+) -> DataFrame:
     """Columns of XML records, typed by the text that reading them as text gives.
 
     Of a repeated child the last counts, as in reading. A child that is missing says nothing.
     """
-    shape = infer_xml_columns(spark, path, row_tag, **options)
-    return infer_present(read_xml(spark, path, row_tag, shape, **options), empty_as, widen)
+    if records is None:
+        records = cut_xml(spark, path, row_tag, split, **options)
+    shape = infer_xml_columns(spark, path, row_tag, records, **options)
+    split = None if records is not None else False
+    return infer_present(read_xml(spark, path, row_tag, shape, split=split, records=records, **options), empty_as, widen)
 
 
 def read_landing(spark: SparkSession, path, fmt: str, **options) -> DataFrame:
