@@ -59,14 +59,45 @@ def _chained(maps: DataFrame, *by: str) -> DataFrame:
     return maps.groupBy(*by).applyInArrow(_running, schema)
 
 
-def _measures(text: Column, tag: str) -> tuple[Column, Column]:
-    """State at the end of a text that begins as plain markup, and how many records it opens."""
+def _measured(pieces: DataFrame, tag: str) -> DataFrame:
+    """``pieces`` with the map (code) of each and the number of records that it opens, by the state it begins in.
+
+    A step per column, so that no text is searched twice; most texts hold no marks and are only looked through for them.
+    """
+    rests = [F.col("value")]
+    for s, close in enumerate(CLOSES, 1):
+        at = F.instr("value", close)
+        rests.append(F.when(at > 0, F.substring("value", at + len(close), F.length("value"))))
+    df = pieces.withColumns({f"rest{s}": r for s, r in enumerate(rests)})
+
+    def marked(name: str) -> Column:
+        return F.contains(F.col(name), F.lit("<!")) | F.contains(F.col(name), F.lit("<?"))
+
     # Sections go from left to right, so a mark inside another section is none.
-    bare = F.regexp_replace(text, f"(?s){_SECTION}", " ")
-    mark = F.regexp_extract(bare, _OPEN, 0)
-    state = F.when(mark == OPENS[0], 1).when(mark == OPENS[1], 2).when(mark == OPENS[2], 3).otherwise(0)
-    plain = F.regexp_replace(bare, f"(?s)(?:{_OPEN}).*", "")
-    return state, F.regexp_count(plain, F.lit(rf"<{re.escape(tag)}[\s>]"))
+    bare = {
+        f"bare{s}": F.when(marked(f"rest{s}"), F.regexp_replace(f"rest{s}", f"(?s){_SECTION}", " ")).otherwise(F.col(f"rest{s}"))
+        for s in range(4)
+    }
+    marks = {f"mark{s}": F.when(marked(f"bare{s}"), F.regexp_extract(f"bare{s}", _OPEN, 0)).otherwise("") for s in range(4)}
+    plain = {
+        f"plain{s}": F.when(F.col(f"mark{s}") == "", F.col(f"bare{s}")).otherwise(
+            F.call_function("substring_index", F.col(f"bare{s}"), F.col(f"mark{s}"), F.lit(1))
+        )
+        for s in range(4)
+    }
+    df = df.withColumns(bare).withColumns(marks).withColumns(plain)
+    counts = {
+        f"opened{s}": F.when(
+            F.contains(F.col(f"plain{s}"), F.lit(f"<{tag}")), F.regexp_count(f"plain{s}", F.lit(rf"<{re.escape(tag)}[\s>]"))
+        ).otherwise(0)
+        for s in range(4)
+    }
+    state = F.create_map(*[F.lit(x) for pair in zip(OPENS, (1, 2, 3), strict=True) for x in pair])
+    images = [
+        F.when(F.col(f"rest{s}").isNull(), s).otherwise(F.coalesce(F.element_at(state, F.col(f"mark{s}")), F.lit(0))) * 4**s
+        for s in range(4)
+    ]
+    return df.withColumns({**counts, "code": (images[0] + images[1] + images[2] + images[3]).cast("int")})
 
 
 def xml_pieces(spark: SparkSession, path: str | list[str], tag: str, **options) -> DataFrame:
@@ -78,24 +109,15 @@ def xml_pieces(spark: SparkSession, path: str | list[str], tag: str, **options)
     name = re.escape(tag)
     other = rf"</{name}\s+>|<{name}(?:\s(?:[^\"'>/]++|\"[^\"]*+\"|'[^']*+'|/(?!>))*+)?/>"
     pieces = _pieces(spark, path, f"</{tag}>", _size=True, **options)
-    ends, opened = [], []
-    for s in range(4):
-        if s == 0:
-            end, n = _measures(F.col("value"), tag)
-        else:
-            at = F.instr("value", CLOSES[s - 1])
-            rest = F.substring("value", at + len(CLOSES[s - 1]), F.length("value"))
-            end, n = (F.when(at > 0, m).otherwise(none) for m, none in zip(_measures(rest, tag), (s, 0), strict=True))
-        ends.append(end * 4**s)
-        opened.append(n.alias(f"opened{s}"))
+    may_be = F.contains(F.col("value"), F.lit("/>")) | F.contains(F.col("value"), F.lit(f"</{tag}"))
     return written(
         spark,
-        pieces.select(
+        _measured(pieces, tag).select(
             "value", "file", "block", "seq", "size",
             (F.octet_length("value") + len(f"</{tag}>".encode())).alias("bytes"),
-            (ends[0] + ends[1] + ends[2] + ends[3]).cast("int").alias("code"),
-            *opened,
-            F.col("value").rlike(other).alias("other"),
+            "code",
+            *[f"opened{s}" for s in range(4)],
+            F.when(may_be, F.col("value").rlike(other)).otherwise(False).alias("other"),
         ),
         "xml-pieces",
     )
