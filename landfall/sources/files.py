@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.functions.names import FORMATS, base_name, decoded, file_format, inside_folder, key_matches, table_name, unit_path
+from landfall.sources.listing import all_files
 
 # Reader option of this package: leave out the files of delivered folders. Its value is a loose file, whose header counts.
 LOOSE = "looseFiles"
-LISTING = "path string, modificationTime timestamp, length bigint"
 
 
 def scan(df: DataFrame, options: dict[str, str]) -> DataFrame:
@@ -43,12 +43,18 @@ def empty_files(spark: SparkSession, path: str, files: DataFrame, formats: list[
     """Supported deliveries below ``path`` of which every file has no byte: table_name, format, unit.
 
     ``files`` is the listing of those that have some. Scans pass empty files
-    over, but the reader that lists them knows their names.
+    over, so tasks list the folders; only what is empty leaves them.
     """
     wanted = formats or list(FORMATS.values())
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    names = spark.createDataFrame([(p,) for p in reader.load(path).inputFiles()], "path string")
-    units = names.select(unit_path(decoded(F.col("path"))).alias("unit")).distinct()
+    names = all_files(spark, path)
+    if names is None:
+        # No task can list there: the driver's reader does, which knows names but no sizes.
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        listed = spark.createDataFrame([(p,) for p in reader.load(path).inputFiles()], "path string")
+        names = listed.select(decoded(F.col("path")).alias("path"))
+    else:
+        names = names.filter("length = 0")
+    units = names.select(unit_path(F.col("path")).alias("unit")).distinct()
     units = units.withColumn("format", file_format(F.col("unit"))).filter(F.col("format").isin(wanted))
     units = units.withColumn("table_name", table_name(F.col("unit")))
     return units.join(files.select("table_name", "format").distinct(), ["table_name", "format"], "left_anti")

@@ -11,7 +11,7 @@ from landfall.functions.names import catalog_name, failure_text, glob_for, join_
 from landfall.operators.audit import batch_log
 from landfall.operators.tables import ensure_database
 from landfall.plans.ingest import STATUS, FileGroup, sync_group
-from landfall.sources.files import LISTING
+from landfall.sources.listing import LISTING
 from landfall.workspace import written
 
 FILES_PER_BATCH = 500
