@@ -48,14 +48,22 @@ def write_files(
     max_files: int | None = None,
     partition_by: list[str] | None = None,
     max_records_per_file: int | None = None,
+    balanced: bool = False,
     **options,
 ) -> int:
     """Write files in csv, tsv, json, text, xml or parquet and return the row count.
 
     Writers stay parallel unless ``max_files`` asks for that many tasks at the
     end; what comes before them stays parallel. ``max_records_per_file`` makes
-    a task start another file after so many rows.
+    a task start another file after so many rows. ``balanced`` deals the rows
+    out so that each file gets about spark.sql.adaptive.advisoryPartitionSizeInBytes
+    of them, as measured in the shuffle: small tasks share a file, large ones
+    become several, and the number of files follows the data.
     """
+    if balanced and max_files is not None:
+        raise ValueError("files are either balanced by size or so many at most")
+    if balanced:
+        df = df.hint("rebalance")
     if max_files is not None:
         df = df.repartition(max_files)
     if max_records_per_file is not None:

@@ -236,6 +236,7 @@ def sync_group(
     on_mismatch: str = "version",
     ingest_columns: bool = False,
     max_files: int | None = None,
+    balanced: bool = False,
     target_part: str | None = None,
     read_options: dict[str, str] | None = None,
     landing_path: str | None = None,
@@ -278,7 +279,7 @@ def sync_group(
         place = join_location(home, target_part)
     else:
         home = place = join_location(base, f"run-{run_ts:%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}")
-    rows = write_files(df, place, source, max_files=max_files)
+    rows = write_files(df, place, source, max_files=max_files, balanced=balanced)
     schema = spark.table(qualified(curated_db, table)).schema if existing else df.schema
     upsert_table(spark, curated_db, table, home, schema, source, recursiveFileLookup="true", **READ_BACK.get(source, {}))
     if landed.registered:
@@ -312,7 +313,7 @@ def sync_files(
     the same goes to the batch log table.
 
     Options: detect_types, row_tag, bad_lines, long_lines, on_mismatch,
-    ingest_columns, max_files.
+    ingest_columns, max_files, balanced.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ensure_database(spark, landing_db)

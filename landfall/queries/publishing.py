@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from landfall.operators.audit import guard_status, row_counts
 from landfall.operators.publish import (
-    append_table, copy_files, replace_table, write_catalog_files, write_files,
+    READ_BACK, append_table, copy_files, replace_table, write_catalog_files, write_files,
 )
 from landfall.operators.tables import (
     FORMAT_PROPERTY, ensure_table, list_tables, lookup, mark_table_format, set_location, table_properties, upsert_table,
@@ -43,6 +43,15 @@ def publish_few_files(spark, sf):
     return read_csv(spark, path, schema=df.schema).withColumn("written", F.lit(written).cast("bigint"))
 
 
+def publish_balanced_files(spark, sf):
+    """K2: files by size, from tasks of which one holds most rows; quoted values span lines."""
+    df = load(spark, sf, "documents")
+    skewed = df.repartition(8, F.when(F.col("doc_id") % 10 > 0, 0).otherwise(F.col("doc_id")))
+    path = fresh_folder(spark, "documents")
+    written = write_files(skewed, path, balanced=True)
+    return read_csv(spark, path, schema=df.schema, **READ_BACK["csv"]).withColumn("written", F.lit(written).cast("bigint"))
+
+
 def publish_formats(spark, sf):
     """K9: the same rows through every target format."""
     df = load(spark, sf, "nation")
@@ -232,7 +241,7 @@ def empty_guard(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        publish_overwrite, publish_append, publish_few_files, publish_formats, publish_replace_table,
+        publish_overwrite, publish_append, publish_few_files, publish_balanced_files, publish_formats, publish_replace_table,
         publish_append_table, publish_table_clean_names, publish_catalog_files, append_by_name, copy_files_unchanged,
         convert_json_to_csv, convert_xml_to_csv, copy_table_clean, copy_latest_file, register_path_table, ensure_table_once,
         upsert_table_schema, mark_table_format_kept, repoint_table, table_prefix_filter, row_counts_guard, empty_guard,
@@ -243,6 +252,7 @@ ORACLE = {
     "publish_overwrite": "SELECT * FROM part",
     "publish_append": "SELECT * FROM part UNION ALL SELECT * FROM part",
     "publish_few_files": "SELECT *, (SELECT count(*) FROM customer) AS written FROM customer",
+    "publish_balanced_files": "SELECT *, (SELECT count(*) FROM documents) AS written FROM documents",
     "publish_formats": "SELECT fmt, nation.* FROM nation, unnest(['csv', 'tsv', 'json', 'xml', 'parquet']) AS f(fmt)",
     "publish_replace_table": "SELECT s_suppkey, s_nationkey, s_acctbal * 2 AS s_acctbal FROM supplier",
     "publish_append_table": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from landfall import workspace
 from landfall.operators.infer import infer_groups, infer_json, infer_table, json_keys
+from landfall.operators.publish import write_files
 from landfall.operators.schema import INVENTORY, evolution
 from landfall.sources.readers import LONG, checked_rows, read_csv
 from landfall.sources.records import json_documents, json_lines
@@ -114,3 +115,25 @@ def test_keys_are_numbered_without_a_list_of_all(spark, zone):
     assert [(r["pos"], r["name"]) for r in found.orderBy("pos").collect()] == list(enumerate(keys, 1))
     text = plan(found)
     assert "collect_list" not in text and "BroadcastHashJoin" in text
+
+
+def test_balanced_files_are_alike_whatever_the_tasks(spark, tmp_path):
+    # One task holds nine tenths of the rows.
+    skewed = spark.range(0, 200_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    skewed = skewed.repartition(8, F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")))
+    folder = {}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(2 * 2**20))
+    try:
+        for name, balanced in (("as-is", False), ("balanced", True)):
+            path = tmp_path / name
+            assert write_files(skewed, str(path), balanced=balanced) == 200_000
+            folder[name] = sorted(p.stat().st_size for p in path.glob("part-*"))
+        # What is small shares a file.
+        assert write_files(skewed.limit(2000), str(tmp_path / "small"), balanced=True) == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert folder["as-is"][-1] > 5 * folder["as-is"][0]
+    assert len(folder["balanced"]) > 3 and folder["balanced"][-1] <= 2 * folder["balanced"][0]
+    assert len(list((tmp_path / "small").glob("part-*"))) == 1
+    with pytest.raises(ValueError, match="either"):
+        write_files(skewed, str(tmp_path / "both"), max_files=1, balanced=True)
