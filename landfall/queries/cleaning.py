@@ -63,15 +63,19 @@ def add_ingest_columns_from_files(spark, sf):
 
 
 def parse_inferred_values(spark, sf):
-    """T1 and storage types: numbers in many spellings become plain values."""
+    """T1 and storage types: numbers in many spellings become plain values; a null says nothing about its column."""
+    quantity = F.col("l_quantity").cast("string")
+    # A sign and an exponent for those without; a very large or small double is written with one.
+    sign = F.when(quantity.startswith("-"), "").otherwise("+")
+    exponent = F.when(quantity.rlike("[EIN]"), "").otherwise("e0")
     df = load(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.concat(F.lit(" "), "l_partkey", F.lit("\t")).alias("padded"),
-        F.concat(F.lit("+"), "l_quantity", F.lit("e0")).alias("signed"),
+        F.concat(sign, quantity, exponent).alias("signed"),
         F.when(F.col("l_returnflag") == "A", "-inf").otherwise(F.lit("1_0.5")).alias("spelled"),
     )
-    columns = collect_columns(infer_table(df))
+    columns = collect_columns(infer_table(df, empty_as="ignore"))
     return df.select(*storage_values(df, columns))
 
 

@@ -49,3 +49,15 @@ def test_query(spark, duck, name):
     assert {c: DUCK_TYPES[t] for c, t in df.dtypes} == types
     want = sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall())
     assert got == want
+
+
+def test_values_parse_as_their_sql_says_for_any_number(spark, duck, tmp_path):
+    """Negative, huge, tiny, endless and missing numbers; the given tables hold none of them."""
+    odd = [-3.5, 12_500_000.0, 2.5e-7, float("inf"), float("-inf"), 0.0, None]
+    rows = [(i, 1, None if i == 2 else i * 10, q, "NAR"[i % 3]) for i, q in enumerate(odd)]
+    names = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_returnflag string"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = QUERIES["parse_inferred_values"](spark, str(tmp_path))
+    result = duck.execute(f"WITH lineitem AS (SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet') {ORACLE['parse_inferred_values']}")
+    assert [DUCK_TYPES[t] for _, t in df.dtypes] == [str(c[1]) for c in result.description]
+    assert sorted(tuple(map(plain, r)) for r in df.collect()) == sorted(tuple(map(plain, r)) for r in result.fetchall())
