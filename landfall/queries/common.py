@@ -4,13 +4,15 @@ import datetime as dt
 import time
 import uuid
 from contextlib import contextmanager
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from landfall.functions.names import join_location
+from landfall.functions.names import join_location, literal_path
 from landfall.operators.publish import write_files
 from landfall.operators.tables import ensure_database
-from landfall.workspace import fresh_folder
+from landfall.workspace import fresh_folder, written
 
 RUN_TS = dt.datetime(2025, 1, 2, 3, 4, 5)
 
@@ -71,6 +73,18 @@ def land(spark: SparkSession, df: DataFrame, file_name: str, zone: str | None =
     return path
 
 
+def land_in_order(spark: SparkSession, df: DataFrame, file_name: str, *by: str) -> str:
+    """Land rows as one file in the order of some columns.
+
+    They are sorted by many tasks and written once. The task that makes the file
+    takes those parts one after the other, so it neither sorts nor keeps rows.
+    """
+    with landing():
+        parts = sorted(written(spark, df.orderBy(*by), "ordered").inputFiles())
+    ordered = [spark.read.schema(df.schema).parquet(literal_path(unquote(p))) for p in parts]
+    return land(spark, reduce(DataFrame.unionByName, ordered).coalesce(1), file_name)
+
+
 def land_loose(spark: SparkSession, df: DataFrame, zone: str, file_name: str, key: str, files: int) -> None:
     """Land rows as ``files`` CSV files of one name, each in a folder of its own."""
     parts = fresh_folder(spark, "parts")

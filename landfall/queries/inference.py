@@ -10,7 +10,7 @@ from landfall.operators.infer import (
 from landfall.operators.ranks import infer_new_files
 from landfall.operators.schema import as_inventory, tidy
 from landfall.queries.common import (
-    TABLES, as_text, inventory_sql, label_sql, land, land_json_arrays, load, load_all, rank_sql, types_sql,
+    TABLES, as_text, inventory_sql, label_sql, land, land_in_order, land_json_arrays, load, load_all, rank_sql, types_sql,
 )
 from landfall.sources.files import list_files
 from landfall.sources.heads import head_files
@@ -60,7 +60,7 @@ def infer_types_head_bytes(spark, sf):
         F.when(F.col("o_orderkey") % 50 == 7, "1.5").otherwise(key).alias("early"),
     )
     # One file in key order, as its head depends on the order.
-    path = land(spark, rows.orderBy("o_orderkey").coalesce(1), "orders.csv")
+    path = land_in_order(spark, rows, "orders.csv", "o_orderkey")
     heads = head_files(spark, path, kb=16, more_kb=4, whole_lines=True)
     return infer_table(read_csv(spark, heads, recursiveFileLookup="true")).drop("storage")
 

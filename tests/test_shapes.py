@@ -3,6 +3,8 @@
 import contextlib
 import io
 import json
+import pathlib
+import random
 import re
 
 import pytest
@@ -12,6 +14,7 @@ from landfall import workspace
 from landfall.operators.infer import infer_groups, infer_json, infer_table, json_keys
 from landfall.operators.publish import write_files
 from landfall.operators.schema import INVENTORY, evolution
+from landfall.queries import common, inference
 from landfall.sources.readers import LONG, checked_rows, read_csv
 from landfall.sources.records import json_documents, json_lines
 
@@ -137,3 +140,20 @@ def test_balanced_files_are_alike_whatever_the_tasks(spark, tmp_path):
     assert len(list((tmp_path / "small").glob("part-*"))) == 1
     with pytest.raises(ValueError, match="either"):
         write_files(skewed, str(tmp_path / "both"), max_files=1, balanced=True)
+
+
+def test_one_ordered_file_is_written_by_a_task_that_sorts_nothing(spark, tmp_path, monkeypatch):
+    def write(df, path, *args, **options):
+        plans.append((plan(df), path))
+        return write_files(df, path, *args, **options)
+
+    plans = []
+    monkeypatch.setattr(common, "write_files", write)
+    rows = [(k, 5, "O", "2-HIGH") for k in random.Random(3).sample(range(40_000), 5_000)]
+    shape = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    spark.createDataFrame(rows, shape).repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
+    inference.infer_types_head_bytes(spark, str(tmp_path)).collect()
+    [(text, path)] = plans
+    assert "Sort" not in text
+    [file] = pathlib.Path(path.removeprefix("file:")).glob("part-*.csv")
+    assert [int(line.split(",")[0]) for line in file.read_text().splitlines()[1:]] == sorted(r[0] for r in rows)
