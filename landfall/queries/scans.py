@@ -17,6 +17,9 @@ from landfall.sources.readers import (
 from landfall.sources.xml_records import cut_xml
 from landfall.workspace import fresh_folder
 
+# Bytes of a landed file of pages, two splits as Spark sets them. A file is written by one task, so files grow in number.
+XML_FILE_BYTES = 256 << 20
+
 
 def scan_csv(spark, sf):
     """A CSV with its registered schema."""
@@ -104,19 +107,24 @@ def scan_xml_marks(spark, sf):
 
 
 def scan_xml_large(spark, sf):
-    """One file of all pages, cut over many tasks, marks as above and one record in five inside another; types inferred."""
+    """All pages in files of some splits each, cut over many tasks, marks as above and one record in five inside another; types inferred."""
     html = F.replace("html", F.lit("]]>"), F.lit(""))
     record = F.format_string("<page><page_id>%d</page_id><html><![CDATA[%s</page><page>]]></html>", "page_id", html)
     inner = F.when(F.col("page_id") % 5 == 0, F.lit("<seen><page><page_id>0</page_id></page></seen>")).otherwise("")
     text = F.concat(record, inner, F.lit("</page><!-- <page><page_id>0</page_id></page> -->"))
     prolog = f"<?xml version='1.0'?><!-- {'> ' * 100} </page> --><pages>"
-    ends = spark.createDataFrame([(0, None, prolog), (2, None, "</pages>")], "part int, page_id bigint, value string")
-    rows = load(spark, sf, "pages").select(F.lit(1).alias("part"), F.col("page_id").cast("bigint"), text.alias("value"))
+    pages = load(spark, sf, "pages").select(F.lit(1).alias("part"), F.col("page_id").cast("bigint"), text.alias("value"))
+    with landing():
+        files = (pages.agg(F.sum(F.octet_length("value"))).first()[0] or 0) // XML_FILE_BYTES + 1
+    marks = F.array(*[F.struct(F.lit(n).alias("part"), F.lit(mark).alias("value")) for n, mark in ((0, prolog), (2, "</pages>"))])
+    ends = spark.range(files).select(F.col("id").alias("file"), F.inline(marks))
     path = f"{fresh_folder(spark, 'zone')}/pages.xml"
     with landing():
-        rows.unionByName(ends).repartition(1).sortWithinPartitions("part", "page_id").select("value").write.text(path)
-    records = cut_xml(spark, path, "page", split=True)
-    columns = collect_columns(infer_xml(spark, path, "page", records=records))
+        rows = pages.withColumn("file", F.pmod(F.xxhash64("page_id"), F.lit(files))).unionByName(ends, allowMissingColumns=True)
+        rows = rows.repartitionByRange(files, "file").sortWithinPartitions("file", "part", "page_id")
+        rows.select("file", "value").write.partitionBy("file").text(path)
+    records = cut_xml(spark, path, "page", split=True, recursiveFileLookup=True)
+    columns = collect_columns(infer_xml(spark, path, "page", records=records, recursiveFileLookup=True))
     kinds = F.lit(",".join(f"{c.name}:{c.type}" for c in columns))
     read = read_xml(spark, path, "page", "page_id bigint, html string", records=records, ignoreSurroundingSpaces=False)
     return read.withColumn("columns", kinds)

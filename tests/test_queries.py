@@ -7,7 +7,7 @@ import pathlib
 import duckdb
 import pytest
 
-from landfall.queries import ORACLE, QUERIES
+from landfall.queries import ORACLE, QUERIES, scans
 
 DATA = pathlib.Path("/root/testdata/sf0.001")
 DUCK_TYPES = {
@@ -61,3 +61,23 @@ def test_values_parse_as_their_sql_says_for_any_number(spark, duck, tmp_path):
     result = duck.execute(f"WITH lineitem AS (SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet') {ORACLE['parse_inferred_values']}")
     assert [DUCK_TYPES[t] for _, t in df.dtypes] == [str(c[1]) for c in result.description]
     assert sorted(tuple(map(plain, r)) for r in df.collect()) == sorted(tuple(map(plain, r)) for r in result.fetchall())
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test data")
+def test_pages_land_in_files_of_bounded_size(spark, duck, monkeypatch):
+    """No task writes all pages, and files of many splits, cut side by side, give the same rows."""
+    def cut(spark, path, *args, **options):
+        sizes.extend(r["length"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length").collect())
+        return cut_xml(spark, path, *args, **options)
+
+    sizes, cut_xml = [], scans.cut_xml
+    monkeypatch.setattr(scans, "cut_xml", cut)
+    monkeypatch.setattr(scans, "XML_FILE_BYTES", 40_000, raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        df = scans.scan_xml_large(spark, str(DATA))
+        got = sorted(tuple(map(plain, r)) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(sizes) > 2 and max(sizes) < 80_000
+    assert got == sorted(tuple(map(plain, r)) for r in duck.execute(ORACLE["scan_xml_large"]).fetchall())
