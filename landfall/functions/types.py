@@ -22,6 +22,10 @@ DOUBLE_PATTERN = (
     rf"|inf|infinity|nan){SPACE}\z"
 )
 
+# Most numbers are written plainly; that is found out faster.
+PLAIN_INT = r"^-?[0-9]+\z"
+PLAIN_DOUBLE = r"^-?[0-9]+\.[0-9]+\z"
+
 # Ranks, narrowest first. 0-3 are integers of growing width.
 INT32, INT64, INT128, INT_ANY, DOUBLE, STRING = range(6)
 
@@ -33,8 +37,9 @@ STORAGE = ["bigint", "bigint", "decimal(38,0)", "string", "double", "string"]
 def text_rank(value: Column, empty_as: str = "string") -> Column:
     """Rank of a text value; null and empty text rank as string unless ignored.
 
-    A leading letter settles most text without a regular expression. Widths go
-    by length first, because a failing cast is slow.
+    A leading letter or a colon settles most text without a regular expression,
+    and a point tells which plain form to try. Widths go by length first,
+    because a failing cast is slow.
     """
     first = F.ascii(value)
     letter = (first.between(ord("A"), ord("Z")) | first.between(ord("a"), ord("z"))) & ~first.isin(
@@ -47,7 +52,10 @@ def text_rank(value: Column, empty_as: str = "string") -> Column:
         .when(value.try_cast("decimal(38,0)").isNotNull(), INT128)
         .otherwise(INT_ANY)
     )
-    rank = F.when(letter, STRING).when(value.rlike(INT_PATTERN), width).when(value.rlike(DOUBLE_PATTERN), DOUBLE)
+    point = F.contains(value, F.lit("."))
+    whole = ~point & (value.rlike(PLAIN_INT) | value.rlike(INT_PATTERN))
+    broken = (point & value.rlike(PLAIN_DOUBLE)) | value.rlike(DOUBLE_PATTERN)
+    rank = F.when(letter | F.contains(value, F.lit(":")), STRING).when(whole, width).when(broken, DOUBLE)
     if empty_as == "ignore":
         return F.when(value.rlike(rf"^{SPACE}\z"), None).otherwise(
             F.when(value.isNotNull(), rank.otherwise(STRING))
@@ -107,12 +115,16 @@ def parse_value(value: Column, storage: str) -> Column:
     """Convert text to its storage type, accepting every spelling the lattice accepts."""
     if storage == "string":
         return value.cast("string")
-    text = F.trim(value.cast("string"), F.lit(SPACES))
+    text = value.cast("string")
+    # Trimming looks every end up in a list, so values that end in visible ASCII at both sides are left alone.
+    visible = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    text = F.when(visible, text).otherwise(F.trim(text, F.lit(SPACES)))
     if storage != "double":
         return text.try_cast(storage)
     # The cast knows inf and nan; signed nan and digit groups need help, and a
     # bare NaN of a JSON file arrives quoted.
-    plain = F.translate(text, '_"', "").try_cast("double")
+    marked = F.contains(text, F.lit("_")) | F.contains(text, F.lit('"'))
+    plain = F.when(marked, F.translate(text, '_"', "")).otherwise(text).try_cast("double")
     signed_nan = F.when(F.lower(text).isin("+nan", "-nan"), float("nan"))
     return F.coalesce(plain, signed_nan)
 
