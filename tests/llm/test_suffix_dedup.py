@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from landfall.llm.queries import op8_suffix_dedup
-from landfall.llm.suffix_dedup import HOT_REGIONS, PREFIX, Entry, repeated_stretches, without_repeats
+from landfall.llm.suffix_dedup import HOT_REGIONS, PREFIX, Entry, repeated_places, repeated_stretches, without_repeats
 from landfall.llm.suffix_runs import front_coded, merge
 
 
@@ -75,6 +75,36 @@ def test_memory_of_the_largest_group():
     assert peak / count * HOT_REGIONS < 300e6
 
 
+def shuffled_rows(df, key):
+    """Rows written by the shuffles by ``key`` of an executed frame."""
+    rows, nodes = [], [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Exchange" and f"hashpartitioning({key}#" in node.simpleString(100):
+            rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+    return rows
+
+
+def test_rows_of_a_hot_gram_are_not_dealt_by_gram(spark, tmp_path):
+    rows = [(7, i % 9, i) for i in range(3000)] + [(8, i, 5) for i in range(20)] + [(100 + i, i, 6) for i in range(50)] + [(9, 1, 8), (9, 1, 9)]
+    spark.createDataFrame(rows, "gram long, short long, place long").write.parquet(str(tmp_path / "rows"))
+    # As for tables too large for a broadcast.
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = repeated_places(spark.read.parquet(str(tmp_path / "rows")), 20)
+        places = {r["short"]: (sorted(r["merged"]), sorted(r["counted"])) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    wanted = {i: ([5] + [8, 9] * (i == 1), [p for p in range(3000) if p % 9 == i] if i < 9 else []) for i in range(20)}
+    assert places == wanted
+    assert 0 < sum(shuffled_rows(found, "gram")) < 500
+
+
 def test_segments_of_a_long_text(spark, monkeypatch):
     import landfall.llm.suffix_dedup as module
 
