@@ -7,7 +7,9 @@ from collections import Counter
 import pytest
 
 from landfall.llm.queries import op8_suffix_dedup
-from landfall.llm.suffix_dedup import HOT_REGIONS, PREFIX, Entry, repeated_places, repeated_stretches, without_repeats
+from landfall.llm.suffix_dedup import (
+    HOT_REGIONS, PREFIX, Entry, counted_stretches, regions, repeated_places, repeated_stretches, window_rows, without_repeats,
+)
 from landfall.llm.suffix_runs import front_coded, merge
 
 
@@ -105,6 +107,27 @@ def test_rows_of_a_hot_gram_are_not_dealt_by_gram(spark, tmp_path):
     assert 0 < sum(shuffled_rows(found, "gram")) < 500
 
 
+def test_windows_of_a_periodic_text_travel_once(spark, tmp_path):
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n)).encode()
+    line = noise(30)
+    data = noise(50) + line * 40 + noise(70) + line * 3 + noise(20)
+    first, last, _ = regions(data, 40, 16)
+    hashes, starts, sizes, held = window_rows(data, first, last, 40)
+    assert sum(held) == len(data) - 39 and len(hashes) < 300
+    covered = lambda ranges: {i for a, b in ranges for i in range(a, b)}
+    seen = Counter(data[i : i + 40] for i in range(len(data) - 39))
+    wanted = covered((i, i + 40) for i in range(len(data) - 39) if seen[data[i : i + 40]] > 1)
+    often = {h for h, n in zip(hashes, held, strict=True) if n > 1}
+    assert covered((a, a + n) for h, a, n in zip(hashes, starts.tolist(), sizes.tolist(), strict=True) if h in often) == wanted
+    rows = [(b"1" * 16, data, copies, first.tolist()) for copies in (1, 2)]
+    spark.createDataFrame(rows[:1], "key binary, data binary, copies int, counted array<long>").write.parquet(str(tmp_path / "rows"))
+    found = counted_stretches(spark.read.parquet(str(tmp_path / "rows")), 40, 16)
+    assert covered((r["start"], r["end"]) for r in found.collect()) == wanted
+    assert found.count() < 100
+    assert counted_stretches(spark.createDataFrame(rows[1:], "key binary, data binary, copies int, counted array<long>"), 40, 16).count() == 0
+
+
 def test_segments_of_a_long_text(spark, monkeypatch):
     import landfall.llm.suffix_dedup as module
 
